@@ -85,11 +85,11 @@ orphans AS (SELECT r.*, CASE WHEN f.link_id IS NULL THEN 'missing' WHEN r.loaded
             WHERE NOT EXISTS (SELECT 1 FROM link l WHERE l.link_id = r.link_id AND l.valid_from <= r.loaded_at AND (l.valid_to IS NULL OR r.loaded_at < l.valid_to)))"""
 
 _PERIODS = """
-i AS (SELECT link_id, CAST(round(t0_hour * 60) AS BIGINT) AS s, CAST(round(t3_hour * 60) AS BIGINT) AS e FROM link_t2
-      WHERE link_id IS NOT NULL AND t0_hour IS NOT NULL AND t3_hour IS NOT NULL AND NOT isnan(t0_hour) AND NOT isnan(t3_hour)),
+i AS (SELECT link_id, CAST(round(t0_hour * 60) AS BIGINT) AS s, CAST(round(t3_hour * 60) AS BIGINT) AS e, count(*) AS c FROM link_t2
+      WHERE link_id IS NOT NULL AND t0_hour IS NOT NULL AND t3_hour IS NOT NULL AND NOT isnan(t0_hour) AND NOT isnan(t3_hour) GROUP BY ALL),
 m AS (SELECT *, max(e) OVER (PARTITION BY link_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i WHERE e > s),
 n AS (SELECT *, sum(CASE WHEN before IS NULL OR s > before THEN 1 ELSE 0 END) OVER (PARTITION BY link_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS piece FROM m),
-p AS (SELECT link_id, min(s) AS start_min, max(e) AS end_min, count(*) AS n_rows FROM n GROUP BY link_id, piece),
+p AS (SELECT link_id, min(s) AS start_min, max(e) AS end_min, CAST(sum(c) AS BIGINT) AS n_rows FROM n GROUP BY link_id, piece),
 q AS (SELECT *, lead(start_min) OVER (PARTITION BY link_id ORDER BY start_min) AS nxt FROM p)"""
 
 SQL = {
