@@ -89,12 +89,12 @@ QUERIES = {
     for f in (p1_found, p1_percentiles, p1_digest, p2_found, p2_survivors, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_statistics, p10_sketches, p10_agreement)
 }
 
-_V = r"""
+_V = """
 v AS (SELECT upper(trim(tmc_code, ' \t\r\n')) AS k, CAST(measurement_tstamp AS DATE) AS day, speed AS x FROM readings
       WHERE nullif(trim(tmc_code, ' \t\r\n'), '') IS NOT NULL AND speed BETWEEN 0 AND 120 AND NOT isnan(speed)),
 o AS (SELECT *, upper(trim(tmc_code, ' \t\r\n')) AS k FROM stage0_outputs)"""
 
-_P = r"""
+_P = """
 f AS (SELECT *, TRY_CAST(trim(link_id, ' \t\r\n') AS DECIMAL(38, 9)) AS y, nullif(upper(trim(period, ' \t\r\n')), '') AS p FROM link_performance),
 a AS (SELECT 'link_performance' AS table_name, CAST(y AS BIGINT) AS link_id, p AS period, perf_id AS row_id, CAST(iteration_no AS DOUBLE) AS trust, loaded_at AS seen,
              count(*) OVER (PARTITION BY CAST(y AS BIGINT), p) AS n, volume, speed_mph, travel_time, doc FROM f WHERE y = CAST(y AS BIGINT) AND p IS NOT NULL),
