@@ -9,13 +9,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-# What the words of road names are reduced to, words without meaning, and directions.
+# What the words of road names are reduced to, words that say nothing of the road, and directions.
 ROAD_WORDS = {
-    "interstate": "i", "highway": "hwy", "route": "rt", "road": "rd", "street": "st", "avenue": "ave", "boulevard": "blvd", "parkway": "pkwy", "drive": "dr",
-    "expressway": "expy", "turnpike": "tpke", "bridge": "br", "connector": "conn", "bypass": "byp", "tollway": "tlwy",
+    "INTERSTATE": "I", "UNITED STATES": "US", "HIGHWAY": "HWY", "BOULEVARD": "BLVD", "AVENUE": "AVE", "PARKWAY": "PKWY", "TURNPIKE": "TPKE", "ROAD": "RD", "STREET": "ST",
+}
+STOP_WORDS = ["N", "S", "E", "W", "NB", "SB", "EB", "WB", "NORTHBOUND", "SOUTHBOUND", "EASTBOUND", "WESTBOUND", "RD", "ST", "AVE", "BLVD", "PKWY", "HWY", "TPKE"]
+DIRECTIONS = {
+    "NORTHBOUND": "NB", "SOUTHBOUND": "SB", "EASTBOUND": "EB", "WESTBOUND": "WB", "NORTHEASTBOUND": "NEB", "NORTHWESTBOUND": "NWB", "SOUTHEASTBOUND": "SEB", "SOUTHWESTBOUND": "SWB",
+    "CLOCKWISE": "CW", "COUNTERCLOCKWISE": "CCW",
 }
-STOP_WORDS = ["the", "of", "at", "to", "nb", "sb", "eb", "wb", "northbound", "southbound", "eastbound", "westbound", "lanes"]
-DIRECTIONS = {"NORTHBOUND": "NB", "SOUTHBOUND": "SB", "EASTBOUND": "EB", "WESTBOUND": "WB", "N": "NB", "S": "SB", "E": "EB", "W": "WB"}
 TRUE_TEXTS = ["true", "1", "yes", "y"]
 CLOSED_TEXTS = ["", "0", "closed", "nan", "none"]
 
@@ -29,25 +31,33 @@ def truth(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c.cast("string"))).isin(TRUE_TEXTS), F.lit(False))
 
 
+def _plain(c: Column) -> Column:
+    """Upper-case words of a road name, parted by single blanks, with the usual abbreviations."""
+    x = F.trim(F.regexp_replace(F.regexp_replace(F.upper(c), "&", " AND "), r"[^A-Z0-9]+", " "))
+    for long, short in ROAD_WORDS.items():
+        x = F.regexp_replace(x, rf"\b{long}\b", short)
+    return x
+
+
 def road_tokens(c: Column) -> Column:
-    """Lower-case words of a road name, abbreviated, without words that carry no meaning."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(c), r"[^a-z0-9]+", " ")), " +")
-    short = F.create_map(*[F.lit(x) for kv in ROAD_WORDS.items() for x in kv])
-    words = F.transform(words, lambda w: F.coalesce(F.try_element_at(short, w), w))
-    return F.array_distinct(F.filter(words, lambda w: (w != "") & ~w.isin(STOP_WORDS)))
+    """Words of a road name without those that say nothing of the road."""
+    return F.filter(F.split(_plain(c), " "), lambda w: (w != "") & ~w.isin(STOP_WORDS))
 
 
 def route_ids(c: Column) -> Column:
-    """Sorted distinct route identifiers such as i 66, us 50, va 7, sr 28."""
-    found = F.regexp_extract_all(F.lower(c), F.lit(r"\b(i|us|va|sr|rt)[ -]*([0-9]{1,4})\b"), F.lit(0))
-    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, r"[ -]+|(?<=[a-z])(?=[0-9])", " "))))
+    """Sorted distinct routes such as I-66, US-50, VA-7; state and plain routes count as VA."""
+    text = F.concat_ws(" ", road_tokens(c))
+    found = F.regexp_extract_all(text, F.lit(r"\b((?:I|US|VA|SR) ?|ROUTE )[0-9]+\b"), F.lit(0))
+    number = lambda x: F.regexp_replace(F.regexp_extract(x, r"[0-9]+", 0), r"^0+(?=[0-9])", "")
+    kind = lambda x: F.regexp_replace(F.regexp_extract(x, r"^[A-Z]+", 0), "^(SR|ROUTE)$", "VA")
+    return F.array_sort(F.array_distinct(F.transform(found, lambda x: F.concat(kind(x), F.lit("-"), number(x)))))
 
 
 def token_overlap(a: Column, b: Column) -> Column:
-    """The larger of Jaccard share and containment of two token lists; null if one is empty."""
-    both = F.size(F.array_intersect(a, b))
-    union, least = F.size(F.array_union(a, b)), F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.greatest(both / F.nullif(union, F.lit(0)), both / F.nullif(least, F.lit(0))))
+    """The larger of Jaccard share and containment of two word lists; null if they share none."""
+    both, union = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    least = F.least(F.size(F.array_distinct(a)), F.size(F.array_distinct(b)))
+    return F.when(both > 0, F.greatest(both / F.nullif(union, F.lit(0)), both / F.nullif(least, F.lit(0))))
 
 
 @pandas_udf("double")
@@ -59,12 +69,17 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def road_name_score(a: Column, b: Column) -> Column:
-    """1 or 0 where both name routes; else the larger of token overlap and sequence similarity, the latter only from 0.5."""
-    ra, rb = route_ids(a), route_ids(b)
+    """1 or 0 where both name routes; else word overlap where words are shared; else sequence similarity, at least 0.5 (neutral). Null if a name has no words."""
+    ra, rb, ta, tb = route_ids(a), route_ids(b), road_tokens(a), road_tokens(b)
     routes = F.when((F.size(ra) > 0) & (F.size(rb) > 0), F.arrays_overlap(ra, rb).cast("double"))
-    ta, tb = road_tokens(a), road_tokens(b)
-    ratio = sequence_ratio(F.array_join(ta, " "), F.array_join(tb, " "))
-    return F.coalesce(routes, F.greatest(F.coalesce(token_overlap(ta, tb), F.lit(0.0)), F.when(ratio >= 0.5, ratio).otherwise(0.0)))
+    similar = F.greatest(F.lit(0.5), sequence_ratio(F.array_join(ta, " "), F.array_join(tb, " ")))
+    return F.when((F.size(ta) > 0) & (F.size(tb) > 0), F.coalesce(routes, token_overlap(ta, tb), similar))
+
+
+def road_class(c: Column) -> Column:
+    """Class inferred from a road's name: 1 interstate, 2 US route, 3 state route, 3.5 otherwise; null without words."""
+    routes = F.array_join(route_ids(c), " ")
+    return F.when(routes.rlike(r"\bI-"), 1.0).when(routes.rlike(r"\bUS-"), 2.0).when(routes.rlike(r"\bVA-"), 3.0).when(F.size(road_tokens(c)) > 0, 3.5)
 
 
 def facility_class(link_type: Column) -> Column:
@@ -74,24 +89,26 @@ def facility_class(link_type: Column) -> Column:
 
 
 def direction_short(c: Column) -> Column:
+    """Abbreviation of a travel direction: the usual one, else the initials of its words, else UNKNOWN."""
     x = F.upper(F.trim(c))
     known = F.create_map(*[F.lit(v) for kv in DIRECTIONS.items() for v in kv])
-    return F.coalesce(F.try_element_at(known, x), x)
+    initials = F.array_join(F.transform(F.regexp_extract_all(x, F.lit("[A-Z0-9]+"), F.lit(0)), lambda w: F.substring(w, 1, 1)), "")
+    return F.coalesce(F.try_element_at(known, x), F.nullif(initials, F.lit("")), F.lit("UNKNOWN"))
 
 
 def corridor_key(road: Column, direction: Column) -> Column:
-    """Lower-case words joined by underscores, with the direction."""
-    clean = lambda c: F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
-    return F.concat_ws("_", clean(road), clean(direction_short(direction)))
+    """Letters and digits of the road's name, an underscore and the direction's abbreviation."""
+    name = F.nullif(F.regexp_replace(F.upper(F.trim(road)), "[^A-Z0-9]+", ""), F.lit(""))
+    return F.concat(F.coalesce(name, F.lit("UNNAMED")), F.lit("_"), direction_short(direction))
 
 
 def is_managed(name: Column) -> Column:
-    return F.coalesce(name.rlike(r"(?i)\b(express|hov|hot|managed|tollway)\b"), F.lit(False))
+    return F.coalesce(F.trim(name).rlike("(?i)(HOV|EXPRESS|HOT|MANAGED)"), F.lit(False))
 
 
 def base_road(name: Column) -> Column:
-    """The road's name without words for managed lanes."""
-    return F.trim(F.regexp_replace(F.regexp_replace(name, r"(?i)\b(express lanes?|hov|hot|managed lanes?)\b", ""), r"\s+", " "))
+    """The road's name in upper case without what stands in brackets."""
+    return F.trim(F.regexp_replace(F.upper(name), r"\s*\([^)]*\)", ""))
 
 
 def is_open(allowed_use: Column) -> Column:

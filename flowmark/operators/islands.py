@@ -21,8 +21,8 @@ def islands(df: DataFrame, by: list[str], t: str, flag: Column, step: int, keep:
 
 
 def threshold_minutes(v: Column, limit: Column, step: int) -> Column:
-    """Aggregate: minutes at or below the limit."""
-    return F.count_if(v <= limit) * step
+    """Aggregate: minutes at or below the limit; null if there is no valid pair."""
+    return F.when(F.count(v + limit) > 0, F.count_if(v <= limit) * step)
 
 
 def accuracy(obs: Column, mod: Column, least: float = 5.0) -> list[Column]:

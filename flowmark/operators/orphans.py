@@ -43,36 +43,36 @@ def find_orphans(refs: DataFrame, parents: DataFrame, key: str = "link_id", at:
 
     refs needs key (bigint; rows with null are no references and never come out), at, row_id. parents needs key, valid_from,
     valid_to (null = still valid), one row per version; repeated versions don't matter. A null valid_from holds never; a null
-    load time falls into no version and counts as missing or deleted. Columns of refs are kept as they are.
+    load time falls into no version and counts as missing or deleted. Columns of refs are kept as they are (a `reason` of
+    their own is replaced); repeated references come out as often as they are there.
     """
     known = parents.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), micros("valid_from").alias("_from"), micros("valid_to").alias("_to"))
     ids = known.select("_k").distinct()
     blocks = block_count(known, "_k")
-    named = refs.where(F.col(key).isNotNull()).withColumn("_k", F.col(key)).withColumn("_at", micros(at)).withColumn("_block", _block("_k", blocks))
+    named = refs.where(F.col(key).isNotNull()).select(F.struct("*").alias("_row"), F.col(key).alias("_k"), micros(at).alias("_at"), F.col(row_id).alias("_id"), _block(key, blocks).alias("_block"))
     bloom = bloom_blocks(ids, "_k", blocks).withColumnRenamed("block", "_block")
-    tested = named.join(F.broadcast(bloom), "_block", "left")
+    tested = named.join(F.broadcast(bloom), "_block", "left")  # at most MOST_BLOCKS rows
     maybe = F.lit(True)
     for i in range(4):
         maybe = maybe & (F.col(f"w{i}").bitwiseAND(_bit("_k", i)) != 0)
     tested = tested.withColumn("_maybe", F.coalesce(maybe, F.lit(False)))
-    plain = [c for c in refs.columns]
-    proven = tested.where(~F.col("_maybe")).select(*plain, F.lit("missing").alias("reason"))
+    proven = tested.where(~F.col("_maybe")).select("_row", F.lit("missing").alias("_reason"))
 
-    rest = tested.where("_maybe").select(*plain, "_k", "_at")
-    busy = F.broadcast(hot_keys(rest, "_k", hot).select("_k", F.lit(True).alias("_hot")))
-    rest = rest.join(busy, "_k", "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
+    rest = tested.where("_maybe").select("_row", "_k", "_at", "_id")
+    busy = F.broadcast(hot_keys(rest, "_k", hot).select("_k", F.lit(True).alias("_hot")))  # at most rows / hot keys
+    rest = rest.join(busy, "_k", "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
     spread = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     begun = F.coalesce("_from", F.lit(_LOW + 1))
     till = F.when(F.col("_from").isNull(), F.lit(_LOW + 1)).otherwise(F.coalesce("_to", F.lit(_HIGH)))
-    versions = known.select("_k", begun.alias("_t"), till.alias("_till")).unionAll(ids.select("_k", F.lit(_LOW).alias("_t"), F.lit(_LOW).alias("_till")))
-    versions = versions.join(busy, "_k", "left").select("_k", spread.alias("_salt"), "_t", "_till", F.lit(0).alias("_kind"))
-    lines = versions.withColumn("_row", F.lit(None).cast(rest.select(F.struct(*plain).alias("x")).schema["x"].dataType))
-    asked = rest.select("_k", "_salt", F.coalesce("_at", F.lit(_HIGH)).alias("_t"), F.lit(None).cast("bigint").alias("_till"), F.lit(1).alias("_kind"), F.struct(*plain).alias("_row"))
+    versions = known.select("_k", begun.alias("_t"), till.alias("_till")).unionAll(ids.select("_k", F.lit(_LOW).alias("_t"), F.lit(_LOW).alias("_till"))).distinct()
+    versions = versions.join(busy, "_k", "left").select("_k", spread.alias("_salt"), "_t", "_till", F.lit(0).alias("_kind"), F.lit(None).cast(rest.schema["_row"].dataType).alias("_row"))
+    asked = rest.select("_k", "_salt", F.coalesce("_at", F.lit(_HIGH)).alias("_t"), F.lit(None).cast("bigint").alias("_till"), F.lit(1).alias("_kind"), "_row")
     w = Window.partitionBy("_k", "_salt").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = lines.unionByName(asked).withColumn("_most", F.max("_till").over(w)).where("_kind = 1")
+    seen = versions.unionByName(asked).withColumn("_most", F.max("_till").over(w)).where("_kind = 1")
     lost = seen.where(F.col("_most").isNull() | (F.col("_most") <= F.col("_t")) | (F.col("_t") == _HIGH))
     reason = F.when(F.col("_most").isNull(), "missing").when(F.col("_most") == _LOW, "later").otherwise("deleted")
-    return proven.unionByName(lost.select(reason.alias("reason"), "_row.*").select(*plain, "reason"))
+    plain = [F.col(f"_row.`{c}`") for c in refs.columns if c != "reason"]
+    return proven.unionByName(lost.select("_row", reason.alias("_reason"))).select(*plain, F.col("_reason").alias("reason"))
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

@@ -239,10 +239,12 @@ def _convert(batches):
 def normalise_timestamps(df: DataFrame, feeds: DataFrame, id_col: str = "raw_id", text: str = "measurement_tstamp", feed: str = "feed_id") -> DataFrame:
     """(id, utc_us): the instant each text names in UTC microseconds, null where it names none. One row per row of df.
 
-    feeds: (feed_id, tz_name, date_order), one row per feed. Ids may repeat; extra columns are left out.
+    feeds: (feed_id, tz_name, date_order); of several rows of a feed the first by zone and order counts. Ids may repeat and
+    may be null; extra columns are left out.
     """
     trimmed = F.btrim(F.col(text), F.lit(BLANKS))
-    know = feeds.select(F.col("feed_id").alias("_feed"), F.col("tz_name").alias("_zone"), F.lower("date_order").alias("_order"))
+    know = feeds.where("feed_id is not null").groupBy(F.col("feed_id").alias("_feed")).agg(F.min(F.struct(F.col("tz_name").alias("z"), F.lower("date_order").alias("o"))).alias("x"))
+    know = know.select("_feed", F.col("x.z").alias("_zone"), F.col("x.o").alias("_order"))
     rows = df.select(F.col(id_col).alias("_id"), F.col(feed).alias("_f"), F.when(F.length(trimmed) <= LONGEST, trimmed).alias("_text"))
     rows = rows.join(know, F.col("_f") == F.col("_feed"), "left")
     rows = rows.select("_id", F.coalesce("_text", F.lit("")).alias("_text"), F.coalesce(shape(F.col("_text")), F.lit("")).alias("_mask"), "_zone", "_order")

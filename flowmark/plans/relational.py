@@ -483,7 +483,7 @@ def regime_classes(spark, d):
     return table(spark, d, "link_t2").select("t2_id", regime(F.col("p_hr") * 60, F.col("min_speed_mph"), F.lit(45.0)).alias("regime"))
 
 
-@query(f"""WITH {_M} SELECT tmc, CASE WHEN regexp_matches(road, '(?i)\\b(express|hov|hot|managed|tollway)\\b') THEN true ELSE false END AS managed, lower(regexp_replace(trim(road), '[^A-Za-z0-9]+', '_', 'g')) || '_' || lower(direction) AS key,
+@query(f"""WITH {_M} SELECT tmc, regexp_matches(road, '(?i)(HOV|EXPRESS|HOT|MANAGED)') AS managed, regexp_replace(upper(trim(road)), '[^A-Z0-9]+', '', 'g') || '_' || upper(trim(direction))[1] AS key,
 CASE WHEN regexp_matches(road, '(?i)\\bpike\\b') THEN 'pike' ELSE 'other' END AS family FROM meta WHERE place = 1 AND road IS NOT NULL AND direction IS NOT NULL""")
 def road_names(spark, d):
     meta = profiles.latest_metadata(table(spark, d, "tmc_metadata")).where("road is not null and direction is not null")
