@@ -25,13 +25,18 @@ def letter_weight(text: str) -> Column:
     return 0.25 + 0.75 * F.coalesce(share, F.lit(0.0))
 
 
+def distinct_targets(targets: DataFrame) -> DataFrame:
+    """One row per named source; of repeated ones the greatest share and repeats count."""
+    return targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+
+
 def source_plan(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source that has tokens: target_share, max_repeats, size, budget, epochs (complete), rest (tokens).
 
     Sources without any token can't contribute; the others keep their proportions. Null sources are no source.
     """
     sizes = docs.where("source is not null").groupBy("source").agg(F.sum("n_tokens").alias("size"), F.count("*").alias("n_docs"))
-    rows = targets.where("source is not null and target_share > 0 and max_repeats > 0").join(sizes, "source").where("size > 0")
+    rows = distinct_targets(targets).where("target_share > 0 and max_repeats > 0").join(sizes, "source").where("size > 0")
     total = F.min(F.col("max_repeats") * F.col("size") / F.col("target_share")).over(Window.partitionBy(F.lit(1)))
     rows = rows.withColumn("budget", total * F.col("target_share"))
     epochs = F.least(F.floor(F.col("budget") / F.col("size") + 1e-9), F.col("max_repeats").cast("bigint"))
@@ -44,7 +49,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFram
     docs: doc_id, source, n_tokens, weight (above 0). Documents of no tokens or no target source are left out. The last
     document of a source is taken if at least half of it fits. Ties in the key are broken by doc_id.
     """
-    docs = docs.where("source is not null and n_tokens > 0")
+    docs = docs.where("source is not null and n_tokens > 0 and weight > 0").select("doc_id", "source", "n_tokens", "weight")
     plan = source_plan(docs, targets).select("source", "max_repeats", "epochs", "rest")
     rows = docs.join(F.broadcast(plan), "source").withColumn("key", sampling_key("doc_id", "weight", seed))  # targets are a fixed small table
     rows = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-0.6 * F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
@@ -65,6 +70,6 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFram
 def mixture_report(mix: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source: target_share, tokens, share reached, documents and the most repeats; zeros for sources that give nothing."""
     got = mix.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("n_docs"), F.max("repeats").alias("most_repeats"))
-    rows = targets.join(got, "source", "left").na.fill(0, ["tokens", "n_docs", "most_repeats"])
+    rows = distinct_targets(targets).join(got, "source", "left").na.fill(0, ["tokens", "n_docs", "most_repeats"])
     share = F.col("tokens") / F.nullif(F.sum("tokens").over(Window.partitionBy(F.lit(1))), F.lit(0))
     return rows.select("source", "target_share", "max_repeats", "tokens", share.alias("share"), "n_docs", "most_repeats")

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowmark.session import cut
+
 STATS = ["n_words", "mean_word", "symbol_ratio", "digit_ratio", "end_punct_share", "common_share", "distinct_share", "other_share"]
 TAIL = 3.0  # robust z beyond which a value is in the tail
 QS = [0.005, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.995]
@@ -210,14 +212,24 @@ def statistic_sketches(stats: DataFrame) -> DataFrame:
 
 
 def robust_scores(stats: DataFrame) -> DataFrame:
-    """stats with z_<statistic>: distance from the language's median in robust standard deviations (interquartile range / 1.349, with a floor)."""
-    s = stats.groupBy("lang").agg(*(F.percentile_approx(c, [0.25, 0.5, 0.75], F.lit(2000)).alias(f"m_{c}") for c in STATS))
-    out = stats.join(F.broadcast(s), "lang", "left")  # at most 677 languages
+    """stats with z_<statistic>: distance from the median in robust standard deviations (interquartile range / 1.349, with a floor).
+
+    Taken against the document's language and against the whole corpus; the farther one counts, so that languages of few
+    documents, or of mostly unnatural ones, are judged too.
+    """
+    sketch = [F.percentile_approx(c, [0.25, 0.5, 0.75], F.lit(2000)).alias(f"m_{c}") for c in STATS]
+    both = stats.groupingSets([["lang"], []], "lang").agg(F.grouping("lang").alias("_all"), *sketch)
+    own = both.where("_all = 0").drop("_all")
+    all_ = both.where("_all = 1").select(*(F.col(f"m_{c}").alias(f"a_{c}") for c in STATS))
+    out = stats.join(F.broadcast(own), "lang", "left").join(F.broadcast(all_))  # at most 677 languages, and one row
+
+    def z(c: str, m: Column) -> Column:
+        return (F.col(c) - m[1]) / F.greatest((m[2] - m[0]) / 1.349, F.abs(m[1]) * 0.02, F.lit(0.02))
+
     for c in STATS:
-        m = F.col(f"m_{c}")
-        floor = F.greatest(F.abs(m[1]) * 0.02, F.lit(0.02))
-        out = out.withColumn(f"z_{c}", (F.col(c) - m[1]) / F.greatest((m[2] - m[0]) / 1.349, floor))
-    return out.drop(*(f"m_{c}" for c in STATS))
+        a, b = z(c, F.col(f"m_{c}")), z(c, F.col(f"a_{c}"))
+        out = out.withColumn(f"z_{c}", F.when(F.abs(a) >= F.abs(b), a).otherwise(b))
+    return out.drop(*(f"{p}_{c}" for c in STATS for p in "ma"))
 
 
 def flag_tails(scores: DataFrame, tail: float = TAIL) -> DataFrame:
@@ -230,13 +242,14 @@ def flag_tails(scores: DataFrame, tail: float = TAIL) -> DataFrame:
 
 def unnatural_documents(docs: DataFrame) -> DataFrame:
     """doc_id, kind of the documents of which more than half is no natural prose. Repeated texts are judged alike."""
-    return flag_tails(robust_scores(document_statistics(docs))).where("kind is not null").select("doc_id", "kind")
+    stats = cut(document_statistics(docs), "statistics")  # read twice below, made once
+    return flag_tails(robust_scores(stats)).where("kind is not null").select("doc_id", "kind")
 
 
 def label_agreement(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled documents per label and found kind: held-out accuracy, since nothing is fitted to the labels."""
-    found = flag_tails(robust_scores(document_statistics(docs))).select("doc_id", F.coalesce("kind", F.lit("prose")).alias("found"))
-    return labels.join(found, "doc_id").groupBy("label", "found").agg(F.count("*").alias("n_docs"))
+    found = flag_tails(robust_scores(cut(document_statistics(docs), "statistics"))).select("doc_id", F.coalesce("kind", F.lit("prose")).alias("found"))
+    return labels.select("doc_id", "label").join(found, "doc_id").groupBy("label", "found").agg(F.count("*").alias("n_docs"))
 
 
 def profile(values: np.ndarray) -> list[float]:

@@ -73,7 +73,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return quality.flag_tails(quality.robust_scores(quality.document_statistics(table(spark, d, "documents"))))
+    return quality.flag_tails(quality.robust_scores(cut(quality.document_statistics(table(spark, d, "documents")), "statistics")))
 
 
 def p10_sketches(spark: SparkSession, d: str) -> DataFrame:
