@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 # What the words of road names are reduced to, words that say nothing of the road, and directions.
 ROAD_WORDS = {
@@ -60,7 +61,7 @@ def token_overlap(a: Column, b: Column) -> Column:
     return F.when(both > 0, F.greatest(both / F.nullif(union, F.lit(0)), both / F.nullif(least, F.lit(0))))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity, which has no built-in counterpart; each distinct pair of a batch is scored once."""
     pairs = pd.Series(list(zip(a, b)), dtype=object)

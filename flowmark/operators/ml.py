@@ -44,8 +44,11 @@ def temporal_holdout(day: Column, cut_day: Column) -> Column:
     return F.when(day < cut_day, "train").otherwise("test")
 
 
-def pipeline(numbers: list[str], texts: list[str], target: str, model: str = "ridge", alpha: float = 10.0, rows: int | None = None) -> Pipeline:
-    """Median imputation, scaling, one-hot texts and a regressor: ridge (penalty alpha on the sum of squares), forest or boosted."""
+def pipeline(numbers: list[str], texts: list[str], target: str, model: str = "ridge", alpha: float = 10.0, rows: int = 1, spread: float = 1.0) -> Pipeline:
+    """Median imputation, scaling, one-hot texts and a regressor: ridge (penalty alpha on the sum of squares), forest or boosted.
+
+    The solver divides the penalty by rows and by the label's deviation, so both are given for ridge.
+    """
     guard(numbers + texts)
     stages = [Imputer(strategy="median", inputCols=numbers, outputCols=[f"{n}_i" for n in numbers]), VectorAssembler(inputCols=[f"{n}_i" for n in numbers], outputCol="_num"), StandardScaler(inputCol="_num", outputCol="_scaled", withMean=True)]
     if texts:
@@ -53,7 +56,7 @@ def pipeline(numbers: list[str], texts: list[str], target: str, model: str = "ri
     stages.append(VectorAssembler(inputCols=["_scaled", *(f"{t}_h" for t in texts)], outputCol="_features"))
     common = {"featuresCol": "_features", "labelCol": target, "predictionCol": "prediction"}
     if model == "ridge":
-        stages.append(LinearRegression(**common, regParam=alpha / max(rows or 1, 1), elasticNetParam=0.0, standardization=False, solver="normal"))
+        stages.append(LinearRegression(**common, regParam=alpha / max(rows, 1) * spread, elasticNetParam=0.0, standardization=False, solver="normal"))
     elif model == "forest":
         stages.append(RandomForestRegressor(**common, numTrees=30, maxDepth=8, seed=17))
     else:
@@ -65,13 +68,16 @@ def cross_predict(df: DataFrame, numbers: list[str], texts: list[str], target: s
     """df with fold and prediction, each row predicted by a model of the other folds."""
     d = df.where(F.col(target).isNotNull()).withColumn("fold", group_fold(group, folds))
     out = None
-    sizes = {r["fold"]: r["count"] for r in d.groupBy("fold").count().collect()}  # one row per fold
+    moments = d.groupBy("fold").agg(F.count("*").alias("n"), F.sum(target).alias("s"), F.sum(F.col(target) * F.col(target)).alias("q")).collect()  # one row per fold
     for k in range(folds):
         train, test = d.where(F.col("fold") != k), d.where(F.col("fold") == k)
-        fitted: PipelineModel = pipeline(numbers, texts, target, model, rows=sum(n for f, n in sizes.items() if f != k)).fit(train)
+        n, s, q = (sum(m[c] for m in moments if m["fold"] != k) for c in ("n", "s", "q"))
+        if not n:
+            continue
+        fitted: PipelineModel = pipeline(numbers, texts, target, model, rows=n, spread=max(q / n - (s / n) ** 2, 0.0) ** 0.5).fit(train)
         part = fitted.transform(test).select(*d.columns, "prediction")
         out = part if out is None else out.unionByName(part)
-    return out
+    return out if out is not None else d.withColumn("prediction", F.lit(None).cast("double"))
 
 
 def error_measures(df: DataFrame, by: list[str], target: str, prediction: str = "prediction") -> DataFrame:

@@ -7,25 +7,16 @@ from pyspark.sql import functions as F
 
 from flowmark.functions import clock, physics
 from flowmark.operators import calibrate, episodes, ml, profiles, screen
-from flowmark.plans.measurement import _PERIOD, _W, r, rounded, slots, thresholds
+from flowmark.plans.measurement import _PERIOD, _W, r, registry, rounded, slots, thresholds
 from flowmark.plans.relational import _H, _J, _P, _REP, joined, performance_rows
 from flowmark.operators import ranking
 from flowmark.session import cut, table
 
 QUERIES, SQL = {}, {}
+query = registry(QUERIES, SQL)
 CAP = 2000.0
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def series(spark: SparkSession, d: str) -> DataFrame:
     """Daily series of quarter hours with free-flow speed, flow from the S3 curve, and capacity."""
     s = slots(spark, d)
@@ -73,10 +64,10 @@ def qvdf_calibration(spark, d):
 
 
 @query("""WITH x AS (SELECT period, ln(p_hr) AS lp, ln(45 / min_speed_mph - 1) AS lr FROM link_t2 WHERE p_hr > 0 AND min_speed_mph > 0 AND min_speed_mph < 45)
-SELECT period, count(*) AS n, round(regr_slope(lr, lp), 5) AS s, round(exp(regr_intercept(lr, lp)), 5) AS f_p, round(regr_r2(lr, lp), 5) AS r2 FROM x GROUP BY period""")
+SELECT period, count(*) AS n, round(regr_slope(lr, lp), 8) AS s, round(exp(regr_intercept(lr, lp)), 8) AS f_p, round(regr_r2(lr, lp), 8) AS r2 FROM x GROUP BY period""")
 def qvdf_least_squares(spark, d):
     x = table(spark, d, "link_t2").where("p_hr > 0 and min_speed_mph > 0 and min_speed_mph < 45").select("period", F.log("p_hr").alias("lp"), F.log(45 / F.col("min_speed_mph") - 1).alias("lr"))
-    return x.groupBy("period").agg(F.count("*").alias("n"), r(F.regr_slope("lr", "lp"), 5).alias("s"), r(F.exp(F.regr_intercept("lr", "lp")), 5).alias("f_p"), r(F.regr_r2("lr", "lp"), 5).alias("r2"))
+    return x.groupBy("period").agg(F.count("*").alias("n"), r(F.regr_slope("lr", "lp")).alias("s"), r(F.exp(F.regr_intercept("lr", "lp"))).alias("f_p"), r(F.regr_r2("lr", "lp")).alias("r2"))
 
 
 @query()
@@ -88,7 +79,7 @@ def s3_curve_fit(spark, d):
 f AS (SELECT *, {_PERIOD.format(m='CAST(t2 AS BIGINT)')} AS period FROM e), g AS (SELECT *, CASE period WHEN 'AM' THEN 360 WHEN 'MD' THEN 540 WHEN 'PM' THEN 900 ELSE 1140 END AS ps, CASE period WHEN 'AM' THEN 540 WHEN 'MD' THEN 900 WHEN 'PM' THEN 1140 ELSE 1800 END AS pe FROM f),
 h AS (SELECT g.*, greatest(t0, ps) AS es, least(t3, pe) AS ee, t_min, speed * 30 AS flow FROM g JOIN p ON g.key = p.tmc_code),
 q AS (SELECT key, id, period, sum(greatest(least(t_min + 15, ee) - greatest(t_min, es), 0) / 60 * flow) AS ed, sum(greatest(least(t_min + 15, pe) - greatest(t_min, ps), 0) / 60 * flow) AS pd FROM h GROUP BY key, id, period)
-SELECT id, period, round(ed, 6) AS episode_demand, round(pd, 6) AS period_demand, round(CASE WHEN pd > 0 THEN ed / pd END, 6) AS qdf, round(CASE WHEN pd > 0 AND ed > 0 THEN 1 / (ed / pd * {_H}) END, 6) AS plf FROM q""")
+SELECT id, period, round(ed, 6) AS episode_demand, round(pd, 6) AS period_demand, round(CASE WHEN pd > 0 THEN ed / pd END, 8) AS qdf, round(CASE WHEN pd > 0 AND ed > 0 THEN 1 / (ed / pd * {_H}) END, 8) AS plf FROM q""")
 def qdf_and_plf(spark, d):
     e = ranking.representative(table(spark, d, "link_t2").where("link_id is not null"), ["link_id", "period"]).where("tmc is not null and t0_hour is not null and t2_hour is not null and t3_hour > t0_hour")
     m = lambda c: F.round(F.col(f"{c}_hour") * 60).alias(c)
@@ -109,12 +100,12 @@ def overlap_selection(spark, d):
 
 @query(f"""WITH {_REP}, e AS (SELECT link_id AS key, t0_hour * 60 AS t0, t2_hour * 60 AS t2, t3_hour * 60 AS t3, min_speed_mph AS v2 FROM rep WHERE place = 1 AND period = 'AM' AND min_speed_mph > 0 AND t3_hour > t2_hour AND t2_hour > t0_hour),
 b AS (SELECT key, t0, t2, t3, v2, CAST(unnest(range(300, 615, 15)) AS INT) AS t_min FROM e), x AS (SELECT *, (t_min - t0) / (t3 - t0) AS x, (t2 - t0) / (t3 - t0) AS rho FROM b)
-SELECT key AS link_id, t_min, round(CASE WHEN x > 0 AND x < 1 THEN least(60, 1 / (1 / 45.0 + pow(x / rho, 4 * rho) * pow((1 - x) / (1 - rho), 4 * (1 - rho)) * (1 / v2 - 1 / 45.0))) ELSE 60 END, 5) AS speed FROM x""")
+SELECT key AS link_id, t_min, round(CASE WHEN x > 0 AND x < 1 THEN least(60, 1 / (1 / 45.0 + pow(x / rho, 4 * rho) * pow((1 - x) / (1 - rho), 4 * (1 - rho)) * (1 / v2 - 1 / 45.0))) ELSE 60 END, 8) AS speed FROM x""")
 def reconstructed_speeds(spark, d):
     e = ranking.representative(table(spark, d, "link_t2").where("link_id is not null and period = 'AM'"), ["link_id", "period"]).where("min_speed_mph > 0 and t3_hour > t2_hour and t2_hour > t0_hour")
     e = e.select(F.col("link_id").alias("key"), *((F.col(f"{c}_hour") * 60).alias(c) for c in ("t0", "t2", "t3")), F.col("min_speed_mph").alias("v2"))
     bins = e.select("key", F.explode(F.sequence(F.lit(300), F.lit(600), F.lit(15))).alias("t_min"), F.lit(60.0).alias("base"))
-    return episodes.reconstruct(bins, e, F.lit(45.0)).select(F.col("key").alias("link_id"), "t_min", r("speed", 5).alias("speed"))
+    return episodes.reconstruct(bins, e, F.lit(45.0)).select(F.col("key").alias("link_id"), "t_min", r("speed").alias("speed"))
 
 
 @query()
@@ -127,17 +118,17 @@ def flow_conservation(spark, d):
     return rounded(out.select("tmc_code", F.size("q").alias("n"), demand.alias("demand"), total.alias("achieved"), (F.abs(total - demand) <= 1e-6 * demand).alias("conserved")))
 
 
-@query(f"""WITH {_J} SELECT perf_id, round(volume / nullif(lanes * {_H}, 0), 5) AS demand, round(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 6) AS doc, round(pow(greatest(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 0), 1.1), 6) AS p_hr,
-round(least(greatest(45 / (1 + 0.28125 * pow(pow(greatest(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 0), 1.1), 4)), 1), 45), 5) AS vt2 FROM j WHERE volume IS NOT NULL AND lanes IS NOT NULL AND lanes <> 0 AND capacity <> 0""")
+@query(f"""WITH {_J} SELECT perf_id, round(volume / nullif(lanes * {_H}, 0), 6) AS demand, round(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 8) AS doc, round(pow(greatest(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 0), 1.1), 8) AS p_hr,
+round(least(greatest(45 / (1 + 0.28125 * pow(pow(greatest(volume / nullif(lanes * {_H}, 0) / nullif(capacity, 0), 0), 1.1), 4)), 1), 45), 8) AS vt2 FROM j WHERE volume IS NOT NULL AND lanes IS NOT NULL AND lanes <> 0 AND capacity <> 0""")
 def queue_vdf(spark, d):
     j = joined(spark, d).where("volume is not null and lanes is not null and lanes != 0 and capacity != 0")
     x = episodes.queue_profile(F.col("volume"), F.col("lanes").cast("double"), clock.period_hours(F.col("period")), F.lit(1.0), F.col("capacity"), F.lit(45.0), n=1.1)
-    return j.select("perf_id", x.alias("x")).select("perf_id", r("x.demand", 5).alias("demand"), r("x.doc").alias("doc"), r("x.p_hr").alias("p_hr"), r("x.vt2", 5).alias("vt2"))
+    return j.select("perf_id", x.alias("x")).select("perf_id", r("x.demand").alias("demand"), r("x.doc").alias("doc"), r("x.p_hr").alias("p_hr"), r("x.vt2").alias("vt2"))
 
 
 def five_minutes(spark, d) -> DataFrame:
     """Average weekday by five minutes per sensor, keyed by a hash of its code."""
-    from flowmark.plans.measurement import readings
+    from flowmark.plans.measurement import readings, registry
 
     s = readings(spark, d).where("speed between 1 and 150").withColumn("t", clock.slot_seconds("ts", 5))
     return s.where(clock.weekday_of(F.col("t")) < 5).groupBy(F.xxhash64("tmc_code").alias("key"), clock.minute_of_day(F.col("t")).alias("t_min")).agg(F.avg("speed").alias("speed"))
@@ -160,11 +151,11 @@ def projection_status(spark, d):
     return performance_rows(spark, d).join(x, ["link_id", "period"], "left").select("perf_id", status.alias("status"))
 
 
-@query("""SELECT t2_id, round((t2_hour - 6) * 60, 5) AS t2_rel, round(ln((t3_hour - t0_hour) * 60), 6) AS log_span, round(ln(greatest(least((t2_hour - t0_hour) / (t3_hour - t0_hour), 0.9999), 0.0001) / (1 - greatest(least((t2_hour - t0_hour) / (t3_hour - t0_hour), 0.9999), 0.0001))), 5) AS logit_place
+@query("""SELECT t2_id, round((t2_hour - 6) * 60, 8) AS t2_rel, round(ln((t3_hour - t0_hour) * 60), 8) AS log_span, round(ln(greatest(least((t2_hour - t0_hour) / (t3_hour - t0_hour), 0.9999), 0.0001) / (1 - greatest(least((t2_hour - t0_hour) / (t3_hour - t0_hour), 0.9999), 0.0001))), 8) AS logit_place
 FROM link_t2 WHERE t3_hour > t0_hour AND t2_hour IS NOT NULL""")
 def boundary_targets(spark, d):
     x = ml.boundaries_to_targets(F.col("t0_hour"), F.col("t2_hour"), F.col("t3_hour"), F.lit(6.0))
-    return table(spark, d, "link_t2").where("t3_hour > t0_hour and t2_hour is not null").select("t2_id", x.alias("x")).select("t2_id", r("x.t2_rel", 5).alias("t2_rel"), r("x.log_span").alias("log_span"), r("x.logit_place", 5).alias("logit_place"))
+    return table(spark, d, "link_t2").where("t3_hour > t0_hour and t2_hour is not null").select("t2_id", x.alias("x")).select("t2_id", r("x.t2_rel").alias("t2_rel"), r("x.log_span").alias("log_span"), r("x.logit_place").alias("logit_place"))
 
 
 def features(spark, d) -> DataFrame:
@@ -177,13 +168,13 @@ def features(spark, d) -> DataFrame:
 @query()
 def ridge_fill(spark, d):
     out = ml.cross_predict(features(spark, d), ["lanes", "free_speed", "capacity", "doc"], ["period", "link_type"], "target", F.col("district"))
-    return ml.error_measures(out, ["period"], "target").select("period", "n", *(r(c, 3).alias(c) for c in ("mae", "median", "p90", "rmse")))
+    return ml.error_measures(out, ["period"], "target").select("period", "n", *(r(c).alias(c) for c in ("mae", "median", "p90", "rmse")))
 
 
 @query()
 def forest_fill(spark, d):
     out = ml.cross_predict(features(spark, d), ["lanes", "free_speed", "capacity", "doc"], ["period"], "target", F.col("district"), "forest", 2)
-    return ml.error_measures(out, ["period"], "target").select("period", "n", *(r(c, 2).alias(c) for c in ("mae", "median", "p90", "rmse")))
+    return ml.error_measures(out, ["period"], "target").select("period", "n", *(r(c).alias(c) for c in ("mae", "median", "p90", "rmse")))
 
 
 @query()

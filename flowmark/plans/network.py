@@ -6,22 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmark.operators import network
-from flowmark.plans.measurement import rounded
+from flowmark.plans.measurement import registry, rounded
 from flowmark.plans.relational import links
 from flowmark.session import table
 from flowmark.streaming import readings as streams
 
 QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+query = registry(QUERIES, SQL)
 
 
 _E = "e AS (SELECT DISTINCT from_node_id AS a, to_node_id AS b FROM link WHERE from_node_id IS NOT NULL AND to_node_id IS NOT NULL), s AS (SELECT min(a) AS node_id FROM e)"
@@ -37,7 +28,7 @@ def reachable_nodes(spark, d):
 
 
 @query(f"""WITH RECURSIVE {_E}, w AS (SELECT from_node_id AS a, to_node_id AS b, min(length) AS w FROM link WHERE length > 0 AND from_node_id IS NOT NULL AND to_node_id IS NOT NULL GROUP BY ALL),
-t(node_id, cost, hops) AS (SELECT node_id, 0.0::DOUBLE, 0 FROM s UNION SELECT b, cost + w, hops + 1 FROM t JOIN w ON t.node_id = w.a WHERE cost + w <= 1.2 AND hops < 12) SELECT (SELECT node_id FROM s) AS source_id, node_id, round(min(cost), 6) AS cost FROM t GROUP BY node_id""")
+t(node_id, cost, hops) AS (SELECT node_id, 0.0::DOUBLE, 0 FROM s UNION SELECT b, cost + w, hops + 1 FROM t JOIN w ON t.node_id = w.a WHERE cost + w <= 1.2 AND hops < 12) SELECT (SELECT node_id FROM s) AS source_id, node_id, round(min(cost), 8) AS cost FROM t GROUP BY node_id""")
 def shortest_costs(spark, d):
     e = table(spark, d, "link").where("from_node_id is not null and to_node_id is not null").withColumn("cost", F.col("length"))
     return rounded(network.shortest_costs(e, first_node(spark, d), 1.2))
@@ -64,12 +55,12 @@ def corridor_paths(spark, d):
 
 
 @query("""WITH lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST) AS place FROM link),
-e AS (SELECT streetname AS corridor, link_id, from_node_id, to_node_id, length AS miles FROM lr WHERE place = 1 AND streetname IS NOT NULL AND length > 0) SELECT a.corridor, a.link_id, b.link_id AS next_id, round((a.miles + b.miles) / 2, 6) AS cost FROM e a JOIN e b ON a.corridor = b.corridor AND a.to_node_id = b.from_node_id AND a.link_id <> b.link_id""")
+e AS (SELECT streetname AS corridor, link_id, from_node_id, to_node_id, length AS miles FROM lr WHERE place = 1 AND streetname IS NOT NULL AND length > 0) SELECT a.corridor, a.link_id, b.link_id AS next_id, round((a.miles + b.miles) / 2, 8) AS cost FROM e a JOIN e b ON a.corridor = b.corridor AND a.to_node_id = b.from_node_id AND a.link_id <> b.link_id""")
 def line_graph(spark, d):
     return rounded(network.line_graph(corridor_edges(spark, d)))
 
 
-@query("SELECT epoch_us(ts) // 900000000 * 900 AS slot_s, event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY ALL")
+@query("SELECT epoch_us(ts) // 900000000 * 900 AS slot_s, event_type, count(*) AS n, round(avg(value), 8) AS mean FROM events GROUP BY ALL")
 def stream_tumbling(spark: SparkSession, d: str):
     return rounded(streams.run_tumbling(spark, d))
 
