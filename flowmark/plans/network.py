@@ -46,12 +46,12 @@ def corridor_edges(spark, d) -> DataFrame:
 
 @query()
 def corridor_paths(spark, d):
-    e = corridor_edges(spark, d)
-    pairs = e.groupBy("corridor").agg(F.min("from_node_id").alias("start_id"), F.max("to_node_id").alias("end_id"))
-    area = links(spark, d).withColumn("corridor", F.explode(F.array(F.lit("north"), F.lit("south")))).where("length > 0").select("corridor", "from_node_id", "to_node_id", F.col("length").alias("cost"))
-    del pairs
-    ends = area.groupBy("corridor").agg(F.min("from_node_id").alias("start_id"), F.max("to_node_id").alias("end_id"))
-    return rounded(network.corridor_paths(area.where("from_node_id is not null"), ends, 3))
+    """Up to three paths inside each street between the ends of its links and of successive links."""
+    e = corridor_edges(spark, d).where("from_node_id is not null and to_node_id is not null")
+    ends = e.select("corridor", "link_id", F.col("from_node_id").alias("start_id"), F.col("to_node_id").alias("end_id"))
+    far = network.line_graph(e).join(ends.drop("end_id"), ["corridor", "link_id"]).join(ends.select("corridor", F.col("link_id").alias("next_id"), "end_id"), ["corridor", "next_id"])
+    pairs = ends.select("corridor", "start_id", "end_id").unionByName(far.select("corridor", "start_id", "end_id")).where("start_id != end_id").distinct()
+    return network.corridor_paths(e, pairs, 3)
 
 
 @query("""WITH lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST) AS place FROM link),
