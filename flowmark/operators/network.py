@@ -106,7 +106,9 @@ def corridor_paths(edges: DataFrame, pairs: DataFrame, k: int = 6, cutoff: float
         return pd.DataFrame(rows, columns=["corridor", "start_id", "end_id", "place", "cost", "path"])
 
     e = edges.where("corridor is not null and from_node_id is not null and to_node_id is not null and cost is not null").groupBy("corridor")
-    return e.cogroup(pairs.where("corridor is not null and start_id is not null and end_id is not null").groupBy("corridor")).applyInPandas(work, PATHS)
+    own = pairs.where("corridor is not null and start_id is not null and end_id is not null")
+    own = own.select(*(F.coalesce(F.col(c), F.col(c)).alias(c) for c in ("corridor", "start_id", "end_id")))  # columns of its own, as pairs may come from edges
+    return e.cogroup(own.groupBy("corridor")).applyInPandas(work, PATHS)
 
 
 def gap_bridges(edges: DataFrame, gaps: DataFrame, own: str = "on_corridor", ramp: str = "is_ramp", off_factor: float = 6.0, ramp_factor: float = 12.0, longest: float = 3.0) -> DataFrame:

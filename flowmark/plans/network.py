@@ -49,7 +49,10 @@ def corridor_paths(spark, d):
     """Up to three paths inside each street between the ends of its links and of successive links."""
     e = corridor_edges(spark, d).where("from_node_id is not null and to_node_id is not null")
     ends = e.select("corridor", "link_id", F.col("from_node_id").alias("start_id"), F.col("to_node_id").alias("end_id"))
-    far = network.line_graph(e).join(ends.drop("end_id"), ["corridor", "link_id"]).join(ends.select("corridor", F.col("link_id").alias("next_id"), "end_id"), ["corridor", "next_id"])
+    nxt = ends.select(F.col("corridor").alias("c"), F.col("link_id").alias("n"), F.col("end_id").alias("far_id"))
+    first = ends.select(F.col("corridor").alias("c0"), F.col("link_id").alias("l"), "start_id")
+    far = network.line_graph(e).join(first, (F.col("corridor") == F.col("c0")) & (F.col("link_id") == F.col("l"))).join(nxt, (F.col("corridor") == F.col("c")) & (F.col("next_id") == F.col("n")))
+    far = far.select("corridor", "start_id", F.col("far_id").alias("end_id"))
     pairs = ends.select("corridor", "start_id", "end_id").unionByName(far.select("corridor", "start_id", "end_id")).where("start_id != end_id").distinct()
     return network.corridor_paths(e, pairs, 3)
 
