@@ -22,6 +22,7 @@ from flowmark.session import code, cut, number
 
 RUN_BITS = 20  # a run holds at most 2**20 values
 FEW = 128
+RUNS_TOGETHER = 8  # runs of one key and day that stay in one task; more are spread by salt
 
 
 def clean_values(df: DataFrame, key: str, ts: str, value: str, lowest: float, highest: float) -> DataFrame:
@@ -31,10 +32,10 @@ def clean_values(df: DataFrame, key: str, ts: str, value: str, lowest: float, hi
 
 
 def value_runs(values: DataFrame) -> DataFrame:
-    """(k, day, n, vals): sorted runs; a run comes from one block of at most 2**RUN_BITS rows of one partition."""
+    """(k, day, block, n, vals): sorted runs; a run comes from one block of at most 2**RUN_BITS rows of one partition."""
     block = F.expr(f"shiftright(monotonically_increasing_id(), {RUN_BITS})")
     runs = values.withColumn("block", block).groupBy("k", "day", "block").agg(F.sort_array(F.collect_list("v")).alias("vals"))
-    return runs.select("k", "day", F.size("vals").alias("n"), "vals")
+    return runs.select("k", "day", "block", F.size("vals").alias("n"), "vals")
 
 
 def digest(values: DataFrame, width: float = 0.5) -> DataFrame:
@@ -104,11 +105,13 @@ def _gather(batches):
         yield pa.RecordBatch.from_arrays([pa.array(tids, "int64"), pa.array(lists, pa.list_(pa.float64()))], names=["tid", "vs"])
 
 
-def _with_targets(runs: DataFrame, state: DataFrame, *fields: str) -> DataFrame:
-    """Runs with the list of targets that their day counts for; the runs are hashed by (k, day) already and stay where they are."""
+def _with_targets(runs: DataFrame, busy: DataFrame, state: DataFrame, *fields: str) -> DataFrame:
+    """Runs with the list of targets that their day counts for; the runs are hashed by (k, day, salt) already and stay where they are."""
     nan = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
     wide = state.select("k", F.explode(F.sequence("d0", "d1")).alias("day"), F.struct("tid", nan("lo"), nan("hi"), *map(nan, fields)).alias("x"))
-    return runs.join(wide.groupBy("k", "day").agg(F.collect_list("x").alias("targets")), ["k", "day"]).select("vals", "targets")
+    packs = wide.groupBy("k", "day").agg(F.collect_list("x").alias("targets")).join(busy, ["k", "day"], "left")
+    packs = packs.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
+    return runs.join(packs, ["k", "day", "salt"]).select("vals", "targets")
 
 
 def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int = FEW) -> DataFrame:
@@ -118,8 +121,12 @@ def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int =
     """
     spark = runs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    runs = cut(runs, "runs").repartition(parts, "k", "day").persist(StorageLevel.DISK_ONLY)
-    sizes = runs.groupBy("k", "day").agg(F.sum("n").alias("n"))
+    runs = cut(runs, "runs")
+    sizes = cut(runs.groupBy("k", "day").agg(F.sum("n").alias("n"), F.ceil(F.count("*") / RUNS_TOGETHER).cast("int").alias("salts")), "sizes")
+    busy = sizes.where("salts > 1").select("k", "day", "salts")
+    salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).otherwise(0)
+    runs = runs.join(busy, ["k", "day"], "left").withColumn("salt", salt).select("k", "day", "salt", "vals")
+    runs = runs.repartition(parts, "k", "day", "salt").persist(StorageLevel.DISK_ONLY)
     days = spans.select("k", "d0", "d1", F.explode(F.sequence("d0", "d1")).alias("day"))
     totals = days.join(sizes, ["k", "day"]).groupBy("k", "d0", "d1").agg(F.sum("n").alias("n"))
     state = totals.withColumn("q", F.explode(F.array(*map(F.lit, qs))))
@@ -136,13 +143,13 @@ def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int =
         turn += 1
         open_ = state.where(F.col("v0").isNull() & (F.col("active") > few))
         share = F.lit(0.5) if turn % 3 == 0 else (F.col("rank") - F.col("below") + 0.5) / F.col("active")
-        asked = _with_targets(runs, open_.withColumn("share", share), "share").mapInArrow(_propose, "tid bigint, p double, c bigint")
+        asked = _with_targets(runs, busy, open_.withColumn("share", share), "share").mapInArrow(_propose, "tid bigint, p double, c bigint")
         w = Window.partitionBy("tid").orderBy("p")
         weight = asked.groupBy("tid", "p").agg(F.sum("c").alias("c"))
         weight = weight.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("c").over(Window.partitionBy("tid")))
         pivots = weight.where(F.col("upto") * 2 >= F.col("all")).groupBy("tid").agg(F.min("p").alias("pivot"))
         open_ = cut(open_.join(pivots, "tid"), "pivots")
-        counts = _with_targets(runs, open_, "pivot").mapInArrow(_count, "tid bigint, lt bigint, eq bigint, max_lt double, min_gt double")
+        counts = _with_targets(runs, busy, open_, "pivot").mapInArrow(_count, "tid bigint, lt bigint, eq bigint, max_lt double, min_gt double")
         counts = counts.groupBy("tid").agg(F.sum("lt").alias("lt"), F.sum("eq").alias("eq"), F.max("max_lt").alias("max_lt"), F.min("min_gt").alias("min_gt"))
         s = open_.join(counts, "tid").withColumn("r", F.col("rank") - F.col("below"))
         two = F.col("frac") > 0
@@ -160,7 +167,7 @@ def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int =
         done = state.where(F.col("v0").isNotNull() | (F.col("active") <= few))
         state = cut(done.unionByName(s.select(*columns)), f"select-{turn}")
     rest = state.where("v0 is null")
-    few_values = _with_targets(runs, rest).mapInArrow(_gather, "tid bigint, vs array<double>")
+    few_values = _with_targets(runs, busy, rest).mapInArrow(_gather, "tid bigint, vs array<double>")
     few_values = few_values.groupBy("tid").agg(F.sort_array(F.flatten(F.collect_list("vs"))).alias("vs"))
     r = (F.col("rank") - F.col("below")).cast("int")
     ends = rest.join(few_values, "tid").withColumn("v0", F.get("vs", r)).withColumn("v1", F.when(F.col("frac") > 0, F.get("vs", r + 1)).otherwise(F.get("vs", r)))

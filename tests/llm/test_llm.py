@@ -25,7 +25,7 @@ def readings(spark, rows):
     return spark.createDataFrame([(i, c, t, v, "x", 1) for i, (c, t, v) in enumerate(rows)], READ)
 
 
-def test_multi_select_equals_numpy(spark):
+def test_multi_select_equals_numpy(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows, by = [], {}
     for c, n in (("A", 3000), ("b ", 40), ("C", 1), ("D", 2)):
@@ -38,7 +38,8 @@ def test_multi_select_equals_numpy(spark):
     rows += [("A", None, 5.0), (None, datetime(2025, 1, 1), 5.0), ("A", datetime(2025, 1, 1), None), ("A", datetime(2025, 1, 1), 255.0), ("A", datetime(2025, 1, 1), float("nan"))]
     spans = [("a", 1, 1), ("A", 1, 3), ("B", 1, 3), ("C", 1, 3), ("D", 1, 3), ("A", 3, 2), ("Z", 1, 2), (None, 1, 2), ("A", 1, 3)]
     outs = spark.createDataFrame([(i, c, date(2025, 1, a), date(2025, 1, b), 1.0, 1.0, 9.0, "q") for i, (c, a, b) in enumerate(spans)], OUT)
-    for few in (1, 16, 10_000):  # rounds down to single candidates, some rounds, none
+    for few, bits in ((1, 20), (1, 4), (16, 6), (10_000, 20)):  # rounds down to single candidates, many short runs in salts, some rounds, none
+        monkeypatch.setattr(percentiles, "RUN_BITS", bits)
         got = {(r["k"], r["d0"], r["d1"], r["q"]): r["value"] for r in percentiles.span_percentiles(readings(spark, rows), outs, [0.0, 0.5, 0.95, 0.99, 1.0], few=few).collect()}
         base = (date(2025, 1, 1) - date(1970, 1, 1)).days - 1
         want = {}
