@@ -262,3 +262,31 @@ def test_fallback_levels(spark):
     known = spark.createDataFrame([("a", "x", float(i)) for i in range(5)] + [("a", "y", 100.0)], "p string, q string, v double")
     got = {(r["p"], r["q"]): (r["v"], r["level"]) for r in ranking.fallback_lookup(spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "p string, q string"), known, [["p", "q"], ["p"]], "v").collect()}
     assert got == {("a", "x"): (2.0, 0), ("a", "y"): (2.5, 1), ("b", "x"): (2.5, 2)}
+
+
+def test_corridor_matching_follows_the_parallel_chain(spark):
+    from flowmark.operators import matching
+
+    mile = 5280.0
+    sensors = spark.createDataFrame([("c", f"t{i}", "Main St", float(i), 1.0, i * mile, 0.0, (i + 1) * mile, 0.0) for i in range(3)], "corridor string, tmc string, road string, road_order double, miles double, start_x double, start_y double, end_x double, end_y double")
+    rows = [("c", 10 + i, i, i + 1, 1.0, "Main St", "arterial", i * mile, 60.0, (i + 1) * mile, 60.0) for i in range(3)]
+    rows += [("c", 20 + i, i + 1, i, 1.0, "Main St", "arterial", (i + 1) * mile, 60.0, i * mile, 60.0) for i in range(3)]  # the other direction
+    rows += [("c", 30 + i, 100 + i, 101 + i, 1.0, "Side Rd", "arterial", i * mile, 900.0, (i + 1) * mile, 900.0) for i in range(3)]
+    links = spark.createDataFrame(rows, "corridor string, link_id bigint, from_node_id bigint, to_node_id bigint, miles double, streetname string, facility string, ax double, ay double, bx double, by double")
+    got = matching.match_corridors(sensors, links).orderBy("place").collect()
+    assert [r["links"] for r in got] == ["10", "11", "12"] and [r["transition"] for r in got] == ["predecessor_no_path", "node_connected", "node_connected"]
+    assert got[0]["confidence"] > 90 and got[0]["mean_turn"] == pytest.approx(0)
+    order = [(r["link_id"], r["link_order"]) for r in matching.ordered_links(matching.match_corridors(sensors, links)).orderBy("link_order").collect()]
+    assert order == [(10, 1), (11, 2), (12, 3)]
+    chain = {r["tmc"]: r["before"] for r in matching.predecessors(sensors).collect()}
+    assert chain == {"t1": "t0", "t2": "t1"}
+    none = matching.match_corridors(sensors, links.limit(0)).collect()
+    assert len(none) == 3 and all(r["links"] is None for r in none)
+
+
+def test_sql_functions(spark):
+    from flowmark.functions.registry import register
+
+    register(spark)
+    r = spark.sql("select period_of(450), period_of(1799), qvdf_vt2(1, 45, 0.28125, 4), spelled_code('301.0'), inverse_s3(42, 60, 2000/42D, 3.886, 2000)").first()
+    assert (r[0], r[1], r[3]) == ("AM", "NT", "301") and r[2] == pytest.approx(45 / 1.28125) and r[4] == pytest.approx(2000, rel=1e-3)
