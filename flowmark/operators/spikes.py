@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from flowmark.session import code, micros, number
 
 LOWEST, HIGHEST = 0.0, 120.0
-TIMES, OUTSIDE = 8.0, 6.0  # a group stands apart by TIMES scatters from the trend across it and by OUTSIDE from both sides' values
+TIMES, OUTSIDE = 8.0, 7.0  # a group stands apart by TIMES scatters from the trend across it and by OUTSIDE from both sides' values
 EDGE = 12.0  # the same where there is traffic on one side only
 LONGEST_SPIKE, LEAST_RUN = 3, 12
 QUIET_S = 7200.0  # readings further apart than this (or 8 usual intervals) aren't around each other
@@ -130,8 +130,9 @@ def _flag(t, v, ids, halo, scatter):
     dt, dv = t[first] / 1e6, v[first]
     stuck = _runs(dv) >= LEAST_RUN
     sane = (dv >= LOWEST) & (dv <= HIGHEST)
+    moving = sane & ~stuck  # what is stuck is no traffic to compare with
     apart = np.zeros(len(dv))
-    apart[sane] = spikes_of(dt[sane], dv[sane], scatter)
+    apart[moving] = spikes_of(dt[moving], dv[moving], scatter)
     kind[apart[group] > 0] = "spike"
     kind[stuck[group]] = "stuck"
     kind[(v < LOWEST) | (v > HIGHEST) | ~sane[group]] = "impossible"
