@@ -25,7 +25,7 @@ VOCABULARY = os.environ.get("FLOWMARK_VOCABULARY", "/opt/tokenizers/byte_bpe_50k
 # Fixed value: the pre-token pattern that the public vocabulary was made with.
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-MOST_STATES, MOST_WORDS = 400_000, 300_000
+MOST_STATES, MOST_WORDS, MOST_PAIRS = 200_000, 200_000, 500_000  # about 300 MB a process
 
 
 class Transducer:
@@ -36,15 +36,16 @@ class Transducer:
         self.split = regex.compile(PRE_TOKENS).findall
         self.pairs: dict[tuple[int, int], bool] = {}
         self.text_of = {v: k for k, v in ranks.items()}
+        self.words: dict[str, tuple[int, ...]] = {}
         self.reset()
 
     def reset(self) -> None:
+        """Forget all states; between pre-tokens only."""
         self.ids: dict[tuple[int | None, bytes], int] = {}
         self.keys: list[tuple[int | None, bytes]] = []
         self.lasts: list[list[int]] = []  # per state: last token of each prefix of its pending bytes
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
         self.ends: list[tuple[int, ...]] = []
-        self.words: dict[str, tuple[int, ...]] = {}
         self._state(None, b"", [])
 
     def merged(self, b: bytes) -> list[bytes]:
@@ -62,7 +63,7 @@ class Transducer:
     def neighbours(self, a: int, b: int) -> bool:
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > MOST_PAIRS:
                 self.pairs.clear()
             x, y = self.text_of[a], self.text_of[b]
             known = self.pairs[a, b] = x + y not in self.ranks and self.merged(x + y) == [x, y]
@@ -139,7 +140,6 @@ class Transducer:
             if ids is None:
                 if len(self.keys) > MOST_STATES:
                     self.reset()
-                    words = self.words
                 ids = self.word(w)
                 if len(w) <= 24:
                     if len(words) > MOST_WORDS:
