@@ -37,10 +37,13 @@ def resample_median(readings: DataFrame, minutes: int = 15, limits: tuple[float,
 
 
 def weekday_profile(slots: DataFrame) -> DataFrame:
-    """(tmc_code, t_min, speed, n_days): average weekday per sensor and minute of the day."""
+    """(tmc_code, t_min, speed, n_days): average weekday per sensor and minute of the day.
+
+    Speeds have nine digits, so that equal averages are equal however their rows were partitioned.
+    """
     s = F.col("slot_s")
     rows = slots.where(weekday_of(s) < 5).withColumn("t_min", minute_of_day(s)).withColumn("day", day_number(s))
-    return rows.groupBy("tmc_code", "t_min").agg(F.avg("speed").alias("speed"), F.countDistinct("day").alias("n_days"))
+    return rows.groupBy("tmc_code", "t_min").agg(F.round(F.avg("speed"), 9).alias("speed"), F.countDistinct("day").alias("n_days"))
 
 
 def free_flow(slots: DataFrame, share: float = 0.85) -> DataFrame:

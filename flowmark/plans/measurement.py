@@ -54,7 +54,7 @@ _R = """r AS (SELECT upper(trim(tmc_code, ' \t\r\n')) AS tmc_code, measurement_t
       WHERE nullif(trim(tmc_code, ' \t\r\n'), '') IS NOT NULL AND measurement_tstamp IS NOT NULL)"""
 _S = f"""{_R}, s AS (SELECT tmc_code, us // 900000000 * 900 AS slot_s, median(speed) AS speed, count(*) AS n FROM r WHERE speed BETWEEN 1 AND 150 GROUP BY tmc_code, us // 900000000 * 900),
 w AS (SELECT *, slot_s // 86400 AS day, (slot_s // 86400 + 3) % 7 AS wd, slot_s % 86400 // 60 AS t_min FROM s)"""
-_W = f"""{_S}, p AS (SELECT tmc_code, CAST(t_min AS INT) AS t_min, avg(speed) AS speed, count(DISTINCT day) AS n_days FROM w WHERE wd < 5 GROUP BY tmc_code, t_min)"""
+_W = f"""{_S}, p AS (SELECT tmc_code, CAST(t_min AS INT) AS t_min, round(avg(speed), 9) AS speed, count(DISTINCT day) AS n_days FROM w WHERE wd < 5 GROUP BY tmc_code, t_min)"""
 _M = """m AS (SELECT upper(trim(tmc, ' \t\r\n')) AS tmc, road, direction, miles, road_order, start_latitude, start_longitude, end_latitude, end_longitude, active_start_date FROM tmc_metadata WHERE tmc IS NOT NULL),
 meta AS (SELECT *, row_number() OVER (PARTITION BY tmc ORDER BY TRY_CAST(active_start_date AS DATE) DESC NULLS LAST, road_order DESC NULLS LAST, miles DESC NULLS LAST,
          road ASC NULLS LAST, direction ASC NULLS LAST, start_latitude ASC NULLS LAST) AS place FROM m),

@@ -57,7 +57,7 @@ def corridor_paths(spark, d):
     return network.corridor_paths(e, pairs, 3)
 
 
-@query("""WITH lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST) AS place FROM link),
+@query("""WITH lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST, free_speed ASC NULLS LAST, capacity ASC NULLS LAST, streetname ASC NULLS LAST, from_node_id ASC NULLS LAST, to_node_id ASC NULLS LAST) AS place FROM link),
 e AS (SELECT streetname AS corridor, link_id, from_node_id, to_node_id, length AS miles FROM lr WHERE place = 1 AND streetname IS NOT NULL AND length > 0) SELECT a.corridor, a.link_id, b.link_id AS next_id, round((a.miles + b.miles) / 2, 8) AS cost FROM e a JOIN e b ON a.corridor = b.corridor AND a.to_node_id = b.from_node_id AND a.link_id <> b.link_id""")
 def line_graph(spark, d):
     return rounded(network.line_graph(corridor_edges(spark, d)))

@@ -31,7 +31,8 @@ def performance_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def links(spark: SparkSession, d: str) -> DataFrame:
     """The latest version of each link, its type in normal form."""
-    rows = ranking.pick_first(table(spark, d, "link"), ["link_id"], [F.col("valid_from").desc_nulls_last(), F.col("valid_to").desc_nulls_first(), F.col("length").asc_nulls_last(), F.col("lanes").asc_nulls_last(), F.col("link_type").asc_nulls_last()])
+    rest = [F.col(c).asc_nulls_last() for c in ("length", "lanes", "link_type", "free_speed", "capacity", "streetname", "from_node_id", "to_node_id")]
+    rows = ranking.pick_first(table(spark, d, "link"), ["link_id"], [F.col("valid_from").desc_nulls_last(), F.col("valid_to").desc_nulls_first(), *rest])
     return rows.withColumn("link_type", text.normal_code(F.col("link_type")))
 
 
@@ -45,7 +46,7 @@ def joined(spark: SparkSession, d: str) -> DataFrame:
     return performance.performance_columns(p).withColumn("district", (F.col("from_node_id") % 10).cast("int"))
 
 
-_L = """lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST) AS place FROM link),
+_L = """lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST, free_speed ASC NULLS LAST, capacity ASC NULLS LAST, streetname ASC NULLS LAST, from_node_id ASC NULLS LAST, to_node_id ASC NULLS LAST) AS place FROM link),
 lk AS (SELECT link_id, from_node_id, to_node_id, nullif(regexp_replace(trim(link_type), '\\.0+$', ''), '') AS link_type, length, lanes, free_speed, capacity, streetname FROM lr WHERE place = 1)"""
 _P = """pr AS (SELECT *, TRY_CAST(trim(link_id, ' \t\r\n') AS DECIMAL(38, 9)) AS x, upper(trim(period, ' \t')) AS p FROM link_performance),
 pk AS (SELECT *, row_number() OVER (PARTITION BY CAST(x AS BIGINT), p ORDER BY iteration_no DESC NULLS LAST, loaded_at DESC NULLS LAST, perf_id) AS place FROM pr WHERE x = CAST(x AS BIGINT) AND p IS NOT NULL),
