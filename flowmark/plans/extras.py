@@ -17,13 +17,13 @@ query = registry(QUERIES, SQL)
 
 
 @query(f"""WITH {_F}, l AS (SELECT *, lag(speed, 2) OVER q AS before, lead(speed) OVER q AS nxt, thr / 0.7 AS vf FROM k WINDOW q AS (PARTITION BY tmc_code ORDER BY t_min))
-SELECT tmc_code, t_min, CASE WHEN speed > thr AND nxt <= thr THEN 'breakdown' WHEN speed > thr AND speed - before >= 8 THEN 'recovery' WHEN speed > thr AND before - speed >= 10 THEN 'breakdown' WHEN speed <= 0.5 * thr THEN 'severe' WHEN speed <= thr THEN 'congested' WHEN speed >= 0.85 * vf THEN 'free' ELSE 'normal' END AS state FROM l""")
+SELECT tmc_code, t_min, CASE WHEN speed > thr AND nxt <= thr THEN 'breakdown' WHEN speed > thr AND speed - before >= 8 THEN 'recovery' WHEN speed > thr AND before - speed >= 10 THEN 'breakdown' WHEN speed <= 0.5 * thr THEN 'severe' WHEN speed <= thr THEN 'congested' WHEN speed >= round(0.85 * vf, 8) THEN 'free' ELSE 'normal' END AS state FROM l""")
 def state_labels(spark: SparkSession, d: str) -> DataFrame:
     """Traffic states by level, then change over two steps, then a step ahead of congestion; later rules win."""
     w = Window.partitionBy("tmc_code").orderBy("t_min")
     v, thr = F.col("speed"), F.col("thr")
     before, nxt = F.lag("speed", 2).over(w), F.lead("speed").over(w)
-    state = classes.ordered([((v > thr) & (nxt <= thr), "breakdown"), ((v > thr) & (v - before >= 8), "recovery"), ((v > thr) & (before - v >= 10), "breakdown"), (v <= 0.5 * thr, "severe"), (v <= thr, "congested"), (v >= 0.85 * F.col("free_speed"), "free")], "normal")
+    state = classes.ordered([((v > thr) & (nxt <= thr), "breakdown"), ((v > thr) & (v - before >= 8), "recovery"), ((v > thr) & (before - v >= 10), "breakdown"), (v <= 0.5 * thr, "severe"), (v <= thr, "congested"), (v >= F.round(0.85 * F.col("free_speed"), 8), "free")], "normal")
     return thresholds(spark, d).select("tmc_code", "t_min", state.alias("state"))
 
 
