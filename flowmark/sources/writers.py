@@ -83,3 +83,30 @@ def changed(folder: str) -> list[str]:
     with open(os.path.join(folder, "manifest.json"), "w") as f:
         f.write(text)
     return sorted(k for k in before.keys() | now.keys() if before.get(k) != now.get(k))
+
+
+#: Numbered folders of a run's results, in order of the steps.
+STEPS = ["01-input-and-qc", "02-fundamental-diagram", "03-episodes", "04-screening", "05-calibration", "06-reconstruction", "07-tables"]
+
+
+def write_step(df: DataFrame, root: str, step: str, name: str) -> str:
+    """One result of a step under its numbered folder; refuses an existing one. Returns the path."""
+    folder = next((s for s in STEPS if s.split("-", 1)[1] == step), None)
+    if folder is None:
+        raise ValueError(f"unknown step {step!r}")
+    path = f"{root}/{folder}/{name}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def install(df: DataFrame, path: str) -> None:
+    """Replace a table: written beside, the old one kept as <path>.before, then renamed into place."""
+    spark = df.sparkSession
+    P = spark._jvm.org.apache.hadoop.fs.Path
+    new, old, now = P(path + ".new"), P(path + ".before"), P(path)
+    fs = now.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").parquet(path + ".new")
+    if fs.exists(now):
+        fs.delete(old, True)
+        fs.rename(now, old)
+    fs.rename(new, now)

@@ -290,3 +290,32 @@ def test_sql_functions(spark):
     register(spark)
     r = spark.sql("select period_of(450), period_of(1799), qvdf_vt2(1, 45, 0.28125, 4), spelled_code('301.0'), inverse_s3(42, 60, 2000/42D, 3.886, 2000)").first()
     assert (r[0], r[1], r[3]) == ("AM", "NT", "301") and r[2] == pytest.approx(45 / 1.28125) and r[4] == pytest.approx(2000, rel=1e-3)
+
+
+def test_overlap_share_and_weights(spark):
+    from flowmark.operators import resources
+
+    c = lambda *xs: [F.lit(float(x)) for x in xs]
+    r = one(
+        spark, resources.overlap_share(*c(0, 1, 10, 1, 0, 0, 10, 0), 2.0), resources.overlap_share(*c(5, 1, 15, 1, 0, 0, 10, 0), 2.0), resources.overlap_share(*c(0, 5, 10, 5, 0, 0, 10, 0), 2.0),
+        resources.overlap_share(*c(5, -4, 5, 4, 0, 0, 10, 0), 2.0), resources.weighted_profile(F.lit(1.0), F.lit(2.0), F.lit(0.25)), resources.weighted_profile(F.lit(1.0), F.lit(None).cast("double"), F.lit(0.25)),
+    )
+    assert list(r) == pytest.approx([1.0, 0.5, 0.0, 0.5, 1.25, 1.0])
+
+
+def test_anchor_curve_steps(spark):
+    from flowmark.operators import resources
+
+    a = spark.createDataFrame([("k", 0, 40.0), ("k", 100, 60.0)], "key string, t_min int, speed double")
+    b = spark.createDataFrame([("k", t) for t in (-5, 0, 50, 100, 120)], "key string, t_min int")
+    assert [x["speed"] for x in resources.anchor_curve(b, a).orderBy("t_min").collect()] == [40, 40, 50, 60, 60]
+
+
+def test_inputs_are_required(spark):
+    from flowmark.operators import resources
+
+    df = spark.createDataFrame([("all", 1)], "k string, v int")
+    assert resources.with_default(resources.require(df, ["k", "v"]), "k").count() == 1
+    for bad in (lambda: resources.require(df, ["x"]), lambda: resources.require(df.limit(0), ["k"]), lambda: resources.with_default(df, "k", "none")):
+        with pytest.raises(ValueError):
+            bad()

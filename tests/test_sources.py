@@ -68,3 +68,14 @@ def test_windows_close_behind_the_watermark(spark, tmp_path):
     out = streams.finish(streams.tumbling(streams.source(spark, str(tmp_path)), late="1 hour")).collect()
     assert sorted(r["n"] for r in out) == [1, 1, 2]
     assert streams.finish(streams.sessions(streams.source(spark, str(tmp_path)), "10 minutes", "1 hour").select("user_id", "n")).count() == 4
+
+
+def test_steps_and_install(spark, tmp_path):
+    df = spark.range(3)
+    path = writers.write_step(df, str(tmp_path), "episodes", "selected")
+    assert path.endswith("03-episodes/selected") and spark.read.parquet(path).count() == 3
+    with pytest.raises(ValueError, match="unknown step"):
+        writers.write_step(df, str(tmp_path), "other", "x")
+    for n in (2, 5):
+        writers.install(spark.range(n), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5 and spark.read.parquet(str(tmp_path / "t.before")).count() == 2
