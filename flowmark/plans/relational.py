@@ -270,7 +270,7 @@ def scenario_difference(spark, d):
     return rounded(performance.scenario_difference(p.where("period = 'AM'"), p.where("period = 'PM'"), ["link_id"], ["volume", "speed_mph"]))
 
 
-@query(f"""WITH {_J}, {_MAP}, b AS (SELECT from_node_id, to_node_id, count(*) AS buses FROM mp GROUP BY ALL) SELECT period, count(*) AS n_links, sum(buses) AS buses, round(sum(buses * greatest(t - f, 0)), 6) AS bus_delay_h, round(sum(buses * 25 * greatest(t - f, 0)), 6) AS person_delay_h
+@query(f"""WITH {_J}, {_MAP}, b AS (SELECT from_node_id, to_node_id, count(*) AS buses FROM mp GROUP BY ALL) SELECT period, count(*) AS n_links, CAST(sum(buses) AS BIGINT) AS buses, round(sum(buses * greatest(t - f, 0)), 6) AS bus_delay_h, round(sum(buses * 25 * greatest(t - f, 0)), 6) AS person_delay_h
 FROM j JOIN b USING (from_node_id, to_node_id) GROUP BY period""")
 def bus_delay(spark, d):
     """Transit runs per node pair (candidate rows stand for runs, 25 persons each) times the link's delay."""
