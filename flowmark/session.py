@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CUTS: list[str] = []  # folders written by cut() in this process
+
 #: Characters counted as blanks around a code.
 BLANKS = " \t\r\n "
 
@@ -33,18 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: a durable cut of the lineage that survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _CUTS.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_cut(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files behind a table made by cut(), once nothing reads them any more."""
-    jvm = spark._jvm
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(p, True)
-        break
+def release(spark: SparkSession) -> int:
+    """Delete the tables behind all cuts of this process, once no result that reads them is needed any more; returns their number."""
+    jvm, n = spark._jvm, len(_CUTS)
+    while _CUTS:
+        p = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return n
 
 
 def code(c: Column | str) -> Column:

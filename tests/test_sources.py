@@ -79,3 +79,11 @@ def test_steps_and_install(spark, tmp_path):
     for n in (2, 5):
         writers.install(spark.range(n), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5 and spark.read.parquet(str(tmp_path / "t.before")).count() == 2
+
+
+def test_cuts_are_kept_until_released(spark):
+    from flowmark import session
+
+    a = session.cut(spark.range(4), "test")
+    assert a.count() == 4 and session.release(spark) >= 1
+    assert session.release(spark) == 0
