@@ -252,13 +252,13 @@ def normalise_timestamps(df: DataFrame, feeds: DataFrame, id_col: str = "raw_id"
 
 
 def parser_report(df: DataFrame, feeds: DataFrame, id_col: str = "raw_id", text: str = "measurement_tstamp", feed: str = "feed_id") -> DataFrame:
-    """Per feed: texts, texts that name an instant, and the share of them delivered before that instant (a sign of a wrong zone)."""
+    """Per feed: texts, texts that name an instant, those delivered before that instant (a sign of a wrong zone), and the release of the zone tables."""
     got = normalise_timestamps(df, feeds, id_col, text, feed)
     base = df.select(F.col(id_col), F.col(feed).alias("feed_id"), micros("received_at").alias("_r"))
     return (
         base.join(got, id_col)
         .groupBy("feed_id")
-        .agg(F.count("*").alias("n_texts"), F.count("utc_us").alias("n_instants"), F.count_if(F.col("_r") < F.col("utc_us")).alias("n_before_receipt"))
+        .agg(F.count("*").alias("n_texts"), F.count("utc_us").alias("n_instants"), F.count_if(F.col("_r") < F.col("utc_us")).alias("n_before_receipt"), F.lit(tz_version()).alias("tz_release"))
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 _CUTS: list[str] = []  # folders written by cut() in this process
 
 #: Characters counted as blanks around a code.
-BLANKS = " \t\r\n "
+BLANKS = " \t\r\n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
