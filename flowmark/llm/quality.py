@@ -33,18 +33,25 @@ COMMON = {
 }
 _COMMON = frozenset(w for ws in COMMON.values() for w in ws.split())
 
-_WORD = regex.compile(r"[\p{L}\p{M}'’]+")
+_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _BULLET = re.compile(r"\s*(?:[-*+•‣◦▪●–·>o]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|\(?[ivx]{1,4}[.)]|\[[ xX]?\]|[☐☑✓✔])\s+\S")
 _TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-z]{2,6};")
 _CSS = re.compile(r"(?<![\w-])[.#]?[\w-]{1,64}\s{0,8}\{[^{}]{0,400}\}|\{\{[^{}]{0,400}\}\}|(?<![\w-])[\w-]{1,64}\(\)\s{0,8};|\bfunction\s{0,8}\(")
 _CELL = re.compile(r"</?(?:t[rdh]|table|thead|tbody)\b[^<>]{0,200}>", re.I)
 _MOJIBAKE = re.compile("[Â-ô][\u0080-¿]|[ÃÂâÐÑØÙ][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
 _NOISE = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()\-–—/%&$€£°’‘“”«»¿¡。，、；：？！（）「」…،؛؟·]")
+_PLAIN_NOISE = re.compile(r"[^\w\s.,;:!?'\"()\-/%&$]|_")  # the same for ASCII
 _OTHER_SCRIPT = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Arabic}\p{Hebrew}\p{Thai}]")
 _VALUE = re.compile(r"[-+$€£]?\d[\d.,:/%\-]*\s?\w{0,4}|[A-Za-z]?\d*[A-Z]{1,4}\d*\w{0,8}|[A-Z0-9_\-]{2,12}|[a-z]{1,8}|-|")
 _LONG = re.compile(r"[A-Za-z0-9+/=_\-]{40,}")
 _CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxz]{4}")
-_NUMBERISH = re.compile(r"\d")
+_NUMBERISH, _NO_DIGIT = re.compile(r"\d"), re.compile(r"\D+")
+_STOP, _MARK, _WORDY = re.compile(r"[.!?:]\s*$"), re.compile(r"[.!?,;:]"), re.compile(r"[a-z]{3}")
+
+
+def _noise(text: str) -> int:
+    """Characters that are neither letters, digits, blanks nor usual marks."""
+    return len((_PLAIN_NOISE if text.isascii() else _NOISE).findall(text))
 
 
 def _fields(line: str) -> tuple[str, list[str]]:
@@ -62,19 +69,22 @@ def _line(line: str) -> str:
     loud = line.isupper()
     common = sum(w.lower() in _COMMON and (loud or len(w) != 2 or not w.isupper()) for w in words)  # AM, NA and the like are values
     letters = sum(map(len, words))
-    if len(_MOJIBAKE.findall(line)) * 2 > 0.12 * n:
-        return "j"
-    if len(_OTHER_SCRIPT.findall(line)) > 0.25 * n:
-        return "l" if _BULLET.match(line) else "p"
-    if _CELL.search(line):
+    if not line.isascii():
+        if len(_MOJIBAKE.findall(line)) * 2 > 0.12 * n:
+            return "j"
+        if len(_OTHER_SCRIPT.findall(line)) > 0.25 * n:
+            return "l" if _BULLET.match(line) else "p"
+    if "<" in line and _CELL.search(line):
         return "t"
-    marked = sum(map(len, _TAG.findall(line))) + sum(map(len, _CSS.findall(line)))
+    marked = sum(map(len, _TAG.findall(line))) if "<" in line or "&" in line else 0
+    if "{" in line or "(" in line:
+        marked += sum(map(len, _CSS.findall(line)))
     if marked > 0.3 * n:
         return "j"
-    if sum(map(len, _LONG.findall(line))) > 0.5 * n:
+    if max(map(len, line.split()), default=0) >= 40 and sum(map(len, _LONG.findall(line))) > 0.5 * n:
         return "j"
     mark, fields = _fields(line)
-    noise = len(_NOISE.findall(line))
+    noise = _noise(line)
     if mark == "|" and noise - line.count("|") <= 0.05 * n and (re.match(r"\s*\|.*\|\s*$", line) or line.count(" | ") >= 2):
         return "t"
     if letters < 0.2 * n and not _NUMBERISH.search(line):
@@ -87,18 +97,18 @@ def _line(line: str) -> str:
         return "l"
     if mark in (",", ";") and len(fields) >= 3 and common <= 0.12 * max(len(words), 1):
         values = sum(bool(_VALUE.fullmatch(x)) for x in fields)
-        numbers = sum(bool(_NUMBERISH.search(x)) and not re.search(r"[a-z]{3}", x) for x in fields)
+        numbers = sum(bool(_NUMBERISH.search(x)) and not _WORDY.search(x) for x in fields)
         if values >= 0.6 * len(fields) and (numbers >= 0.25 * len(fields) or len(fields) <= 12):
             return "t"
         if max(len(x) for x in fields) <= 60:
             return "m"
-    if len(words) >= 8 and sum(len(w) <= 4 for w in words) <= 0.05 * len(words) and not re.search(r"[.!?,;:]", line) and letters > 0.8 * n:
+    if len(words) >= 8 and sum(len(w) <= 4 for w in words) <= 0.05 * len(words) and not _MARK.search(line) and letters > 0.8 * n:
         return "j"
-    if len(words) >= 9 and common <= 0.05 * len(words) and not re.search(r"[.!?,;:]", line) and letters > 0.8 * n:
+    if len(words) >= 9 and common <= 0.05 * len(words) and not _MARK.search(line) and letters > 0.8 * n:
         return "j"
     if len(words) >= 8 and common <= 0.15 * len(words) and sum(bool(_CLUSTER.search(w)) for w in words) > 0.2 * len(words):
         return "j"
-    if common >= 1 and (len(words) >= 6 or re.search(r"[.!?:]\s*$", line)):
+    if common >= 1 and (len(words) >= 6 or _STOP.search(line)):
         return "p"
     if len(words) >= 9:
         return "p"
@@ -163,8 +173,8 @@ def measures(text: str | None) -> list:
     """n_words, mean_word, symbol_ratio, digit_ratio, end_punct_share, common_share, distinct_share, then the four shares; None without text."""
     if not text or not text.strip():
         return [None] * 11
-    words = _WORD.findall(text)
-    n = sum(not c.isspace() for c in text)
+    words = [w.lower() for w in _WORD.findall(text)]
+    n = len("".join(text.split()))
     lines = [x.rstrip() for x in text.splitlines() if x.strip()]
     kinds = line_kinds(text)
     total = max(sum(kinds.values()), 1)
@@ -172,11 +182,11 @@ def measures(text: str | None) -> list:
     return [
         len(words),
         sum(map(len, words)) / few,
-        len(_NOISE.findall(text)) / n,
-        sum(c.isdigit() for c in text) / n,
+        _noise(text) / n,
+        len(_NO_DIGIT.sub("", text)) / n,
         sum(x[-1] in ".!?:;。！？؟…\"'”)" for x in lines) / max(len(lines), 1),
-        sum(w.lower() in _COMMON for w in words) / few,
-        len({w.lower() for w in words}) / few,
+        sum(map(_COMMON.__contains__, words)) / few,
+        len(set(words)) / few,
         *(kinds[k] / total for k in KINDS),
     ]
 
