@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmark.session import code, micros, number
+from flowmark.session import code, cut, micros, number
 
 LOWEST, HIGHEST = 0.0, 120.0
 TIMES, OUTSIDE = 8.0, 7.0  # a group stands apart by TIMES scatters from the trend across it and by OUTSIDE from both sides' values
@@ -178,11 +178,12 @@ def _scan(hold: int = 200_000):
 
 def _split(rows: DataFrame, hot: int) -> DataFrame:
     """rows with `shard` and `halo`: sources of more than `hot` readings are cut at quantiles of time, with overlaps."""
-    counts = rows.groupBy("k").agg(F.count("*").alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
+    sizes = cut(rows.groupBy("k").agg(F.count("*").alias("n")), "sizes")  # one row per source
+    counts = sizes.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
     if not counts["all"] or counts["most"] <= hot:
         return rows.withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
     least = max(hot, counts["all"] // 10_000)  # at most 10,000 sources are split, so what is broadcast below is bounded
-    busy = rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    busy = sizes.where(F.col("n") > least)
     most = min(4096, int(counts["most"] // hot) + 1)
     grid = [i / most for i in range(1, most)]
     points = [x + d for x in grid for d in (-0.01 / most, 0.0, 0.01 / most)]
@@ -190,13 +191,11 @@ def _split(rows: DataFrame, hot: int) -> DataFrame:
     cuts = lambda d: F.expr(f"filter(p, (x, i) -> i % 3 = {d})")
     edges = edges.select("k", F.array_distinct(cuts(1)).alias("mid"), cuts(0).alias("lo"), cuts(2).alias("hi"), cuts(1).alias("raw"))
     out = rows.join(F.broadcast(edges), "k", "left")
-    own = F.expr("coalesce(size(filter(raw, x -> x <= us)), 0)")
     shards = F.expr(
         "case when raw is null then array(named_struct('shard', 0, 'halo', false)) else "
         "filter(transform(sequence(0, size(raw)), s -> named_struct('shard', s, 'halo', s != size(filter(raw, x -> x <= us)))), "
         "e -> not e.halo or ((e.shard = 0 or us >= lo[e.shard - 1]) and (e.shard = size(raw) or us <= hi[e.shard]))) end"
     )
-    del own
     return out.withColumn("x", F.explode(shards)).select("k", "us", "v", "reading_id", F.col("x.shard").alias("shard"), F.col("x.halo").alias("halo"))
 
 
