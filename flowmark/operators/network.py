@@ -83,27 +83,28 @@ def k_paths(graph: dict, start, goal, k: int, cutoff: float = float("inf")) -> l
     return found
 
 
-PATHS = "corridor string, start_id bigint, end_id bigint, place int, cost double, path string"
+PATHS = "corridor string, start_id bigint, end_id bigint, place int, cost double, path string, miles double"
 
 
 def corridor_paths(edges: DataFrame, pairs: DataFrame, k: int = 6, cutoff: float = float("inf")) -> DataFrame:
     """PATHS: up to k loopless paths per pair inside each corridor's own (bounded) sub-network.
 
-    edges: corridor, from_node_id, to_node_id, cost. pairs: corridor, start_id, end_id.
+    edges: corridor, from_node_id, to_node_id, cost, and miles if known. pairs: corridor, start_id, end_id.
     """
 
     def work(key, e: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         graph: dict = {}
         best: dict = {}
-        for a, b, w in zip(e["from_node_id"], e["to_node_id"], e["cost"]):
+        length: dict = {}
+        for a, b, w, m in zip(e["from_node_id"], e["to_node_id"], e["cost"], e["miles"] if "miles" in e else [float("nan")] * len(e)):
             if w > 0 and w < best.get((a, b), float("inf")):
-                best[a, b] = w
+                best[a, b], length[a, b] = w, m
         for (a, b), w in sorted(best.items()):
             graph.setdefault(a, []).append((b, w))
         rows = []
         for s, t in sorted(set(zip(p["start_id"], p["end_id"]))):
-            rows += [(key[0], s, t, i + 1, c, ";".join(str(int(x)) for x in path)) for i, (c, path) in enumerate(k_paths(graph, s, t, k, cutoff))]
-        return pd.DataFrame(rows, columns=["corridor", "start_id", "end_id", "place", "cost", "path"])
+            rows += [(key[0], s, t, i + 1, c, ";".join(str(int(x)) for x in path), sum(length[x] for x in zip(path, path[1:]))) for i, (c, path) in enumerate(k_paths(graph, s, t, k, cutoff))]
+        return pd.DataFrame(rows, columns=["corridor", "start_id", "end_id", "place", "cost", "path", "miles"])
 
     e = edges.where("corridor is not null and from_node_id is not null and to_node_id is not null and cost is not null").groupBy("corridor")
     own = pairs.where("corridor is not null and start_id is not null and end_id is not null")
@@ -112,9 +113,12 @@ def corridor_paths(edges: DataFrame, pairs: DataFrame, k: int = 6, cutoff: float
 
 
 def gap_bridges(edges: DataFrame, gaps: DataFrame, own: str = "on_corridor", ramp: str = "is_ramp", off_factor: float = 6.0, ramp_factor: float = 12.0, longest: float = 3.0) -> DataFrame:
-    """PATHS that bridge gaps of a corridor: links off it cost more, ramps most; at most `longest` miles of (weighted) cost per off_factor."""
-    cost = F.col("miles") * F.when(F.col(ramp), ramp_factor).when(~F.col(own), off_factor).otherwise(1.0)
-    return corridor_paths(edges.withColumn("cost", cost), gaps, 1, longest * off_factor)
+    """PATHS that bridge gaps of a corridor, of at most `longest` miles: links off it cost off_factor times as much, ramps ramp_factor times, both together.
+
+    edges: corridor, from_node_id, to_node_id, miles, and whether a link is the corridor's own and whether it is a ramp.
+    """
+    cost = F.col("miles") * F.when(F.coalesce(own, F.lit(False)), 1.0).otherwise(off_factor) * F.when(F.coalesce(ramp, F.lit(False)), ramp_factor).otherwise(1.0)
+    return corridor_paths(edges.withColumn("cost", cost), gaps, 1, longest * max(1.0, off_factor)).where(F.col("miles") <= longest)
 
 
 def line_graph(edges: DataFrame) -> DataFrame:

@@ -237,6 +237,7 @@ def test_paths_and_reach(spark):
     pairs = spark.createDataFrame([("c", 1, 4), ("c", 4, 1)], "corridor string, start_id bigint, end_id bigint")
     got = [(r["cost"], r["path"]) for r in network.corridor_paths(df, pairs, 3).orderBy("place").collect()]
     assert got == [(3.0, "1;2;3;4"), (3.5, "1;2;4"), (4.0, "1;3;4")]
+    assert network.corridor_paths(df, pairs, 1).first()["miles"] is None
 
 
 def test_targets_round_trip_and_guard(spark):
@@ -319,3 +320,11 @@ def test_inputs_are_required(spark):
     for bad in (lambda: resources.require(df, ["x"]), lambda: resources.require(df.limit(0), ["k"]), lambda: resources.with_default(df, "k", "none")):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_gap_bridges_prefer_the_corridor(spark):
+    rows = [(1, 2, 1.0, True, False), (2, 3, 1.0, True, False), (1, 3, 0.5, False, False), (1, 4, 0.2, False, True), (4, 3, 0.2, True, False), (3, 9, 2.9, False, False), (1, 8, 2.9, True, False), (8, 9, 0.2, True, False)]
+    e = spark.createDataFrame([("c", *r) for r in rows], "corridor string, from_node_id bigint, to_node_id bigint, miles double, on_corridor boolean, is_ramp boolean")
+    g = spark.createDataFrame([("c", 1, 3), ("c", 3, 9), ("c", 1, 9), ("c", 3, 1)], "corridor string, start_id bigint, end_id bigint")
+    got = {(r["start_id"], r["end_id"]): (r["path"], r["miles"]) for r in network.gap_bridges(e, g).collect()}
+    assert got == {(1, 3): ("1;2;3", 2.0), (3, 9): ("3;9", 2.9)}
