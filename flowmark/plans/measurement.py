@@ -273,7 +273,7 @@ def threshold_duration(spark, d):
 
 
 # observed: first week's days; modelled: the other days, of the same sensor and minute
-_O = f"""{_S}, h AS (SELECT tmc_code, CAST(t_min AS INT) AS t_min, avg(speed) FILTER (day % 2 = 0) AS o, avg(speed) FILTER (day % 2 = 1) AS m FROM w GROUP BY tmc_code, t_min), hp AS (SELECT *, {_PERIOD.format(m='t_min')} AS period FROM h)"""
+_O = f"""{_S}, h AS (SELECT tmc_code, CAST(t_min AS INT) AS t_min, round(avg(speed) FILTER (day % 2 = 0), 9) AS o, round(avg(speed) FILTER (day % 2 = 1), 9) AS m FROM w GROUP BY tmc_code, t_min), hp AS (SELECT *, {_PERIOD.format(m='t_min')} AS period FROM h)"""
 _ACC = """count(*) FILTER (o IS NOT NULL AND m IS NOT NULL) AS n, round(avg(abs(m - o)), 8) AS mae, round(100 * avg(abs(m - o) / o) FILTER (o >= 5), 8) AS mape, round(sqrt(avg((m - o) ** 2)), 8) AS rmse,
 round(avg(m - o), 8) AS bias, round(100 * sum(abs(m - o)) / nullif(sum(abs(o)) FILTER (m IS NOT NULL), 0), 8) AS wmape, round(CASE WHEN isnan(corr(o, m)) THEN NULL ELSE corr(o, m) ** 2 END, 8) AS r2"""
 
@@ -282,7 +282,7 @@ def halves(spark, d) -> DataFrame:
     """Two profiles of each sensor, of even and of odd days, standing for observation and model."""
     s = slots(spark, d)
     even = clock.day_number(F.col("slot_s")) % 2 == 0
-    out = s.groupBy("tmc_code", clock.minute_of_day(F.col("slot_s")).alias("t_min")).agg(F.avg(F.when(even, F.col("speed"))).alias("o"), F.avg(F.when(~even, F.col("speed"))).alias("m"))
+    out = s.groupBy("tmc_code", clock.minute_of_day(F.col("slot_s")).alias("t_min")).agg(F.round(F.avg(F.when(even, F.col("speed"))), 9).alias("o"), F.round(F.avg(F.when(~even, F.col("speed"))), 9).alias("m"))
     return out.withColumn("period", clock.period_of(F.col("t_min")))
 
 
