@@ -3,8 +3,8 @@
 Each line of a document is read as prose, list item, row of values or junk from its marks, fields and function words; the
 shares of the text's characters per kind and the usual statistics (words, symbols, lines) are numbers per document. Their
 distributions per language are kept as mergeable quantile sketches; a document's values become robust z-scores against its
-language, and documents in the tails are flagged. A document is no natural prose if it lies in such a tail and other kinds
-take up more than half of its text; its kind is the one that takes up most.
+language, and the statistics in whose tails it lies are named. A document is no natural prose if other kinds take up more
+than half of its text, whatever the rest of the corpus is like; its kind is the one that takes up most.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmark.session import cut
-
 STATS = ["n_words", "mean_word", "symbol_ratio", "digit_ratio", "end_punct_share", "common_share", "distinct_share", "other_share"]
 TAIL = 3.0  # robust z beyond which a value is in the tail
 QS = [0.005, 0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99, 0.995]
@@ -242,23 +240,26 @@ def robust_scores(stats: DataFrame) -> DataFrame:
     return out.drop(*(f"{p}_{c}" for c in STATS for p in "ma"))
 
 
+def _kind() -> Column:
+    """The kind that takes up most of a document of which more than half is no prose, else null. Tails have no say: they depend on the other documents."""
+    others = [F.struct(F.col(f"{k}_share").alias("s"), F.lit(k).alias("k")) for k in KINDS[1:]]
+    return F.when(F.col("other_share") > 0.5, F.array_max(F.array(*others))["k"])
+
+
 def flag_tails(scores: DataFrame, tail: float = TAIL) -> DataFrame:
     """scores with `tails` (names of the statistics in a tail) and `kind`: list, table or junk for documents that are no natural prose, else null."""
     far = F.array_compact(F.array(*(F.when(F.abs(f"z_{c}") > tail, F.lit(c)) for c in STATS)))
-    others = [F.struct(F.col(f"{k}_share").alias("s"), F.lit(k).alias("k")) for k in KINDS[1:]]
-    kind = F.when((F.size("tails") > 0) & (F.col("other_share") > 0.5), F.array_max(F.array(*others))["k"])
-    return scores.withColumn("tails", far).withColumn("kind", kind)
+    return scores.withColumn("tails", far).withColumn("kind", _kind())
 
 
 def unnatural_documents(docs: DataFrame) -> DataFrame:
     """doc_id, kind of the documents of which more than half is no natural prose. Repeated texts are judged alike."""
-    stats = cut(document_statistics(docs), "statistics")  # read twice below, made once
-    return flag_tails(robust_scores(stats)).where("kind is not null").select("doc_id", "kind")
+    return document_statistics(docs).select("doc_id", _kind().alias("kind")).where("kind is not null")
 
 
 def label_agreement(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled documents per label and found kind. The line rules were revised against labelled documents, so this is held-out only on documents not used for that."""
-    found = flag_tails(robust_scores(cut(document_statistics(docs), "statistics"))).select("doc_id", F.coalesce("kind", F.lit("prose")).alias("found"))
+    found = document_statistics(docs).select("doc_id", F.coalesce(_kind(), F.lit("prose")).alias("found"))
     return labels.select("doc_id", "label").join(found, "doc_id").groupBy("label", "found").agg(F.count("*").alias("n_docs"))
 
 

@@ -199,6 +199,17 @@ def test_quality_edges(spark):
     assert quality.unnatural_documents(df.limit(0)).count() == 0
 
 
+def test_kind_does_not_depend_on_other_documents(spark):
+    """A third of the corpus is one list whose other statistics are ordinary: all copies come out, tails or not."""
+    text = "- The queue reached the bridge.\n- That was confirmed by phone.\n- It did not recover until then."
+    rows = [(i, LINES["prose"] + f" It was seen {i % 7} times.", "en") for i in range(200)] + [(1000 + i, text, "en") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    expected = {1000 + i: "list" for i in range(100)}
+    assert {r["doc_id"]: r["kind"] for r in quality.unnatural_documents(df).collect()} == expected
+    flagged = quality.flag_tails(quality.robust_scores(quality.document_statistics(df))).where("kind is not null")
+    assert {r["doc_id"]: r["kind"] for r in flagged.collect()} == expected
+
+
 def test_sketches_merge_to_quantiles(spark):
     df = spark.createDataFrame([(i, " ".join(["the"] * (i % 50 + 1)), "en") for i in range(500)], "doc_id bigint, text string, lang string").repartition(7)
     s = {r["statistic"]: r["at"] for r in quality.statistic_sketches(quality.document_statistics(df)).collect()}
