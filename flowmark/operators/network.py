@@ -11,38 +11,46 @@ from pyspark.sql import functions as F
 from flowmark.session import cut
 
 
-def reachable(edges: DataFrame, sources: DataFrame, most_hops: int = 64) -> DataFrame:
-    """(node_id, hops): nodes reachable from any source, and the fewest hops. The frontier is cut after each round."""
+def reachable(edges: DataFrame, sources: DataFrame, most_hops: int | None = None) -> DataFrame:
+    """(node_id, hops): nodes reachable from any source (within most_hops, if given), and the fewest hops.
+
+    Rounds end when the frontier is empty, as each takes new nodes only. The frontier is cut after each round, what was seen every 16 rounds.
+    """
     e = edges.select(F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b")).where("a is not null and b is not null").distinct()
+    e = cut(e, "reach-edges")
     seen = cut(sources.select(F.col("node_id"), F.lit(0).alias("hops")).where("node_id is not null").distinct(), "reach-0")
-    frontier = seen
-    for hop in range(1, most_hops + 1):
+    frontier, hop = seen, 0
+    while most_hops is None or hop < most_hops:
+        hop += 1
         new = frontier.join(e, F.col("node_id") == F.col("a")).select(F.col("b").alias("node_id")).distinct().join(seen, "node_id", "left_anti").withColumn("hops", F.lit(hop))
         frontier = cut(new, f"reach-{hop}")
         if frontier.limit(1).count() == 0:
             break
         seen = seen.unionByName(frontier)
+        if hop % 16 == 0:
+            seen = cut(seen, f"reach-seen-{hop}")
     return seen
 
 
-def shortest_costs(edges: DataFrame, sources: DataFrame, cutoff: float, most_rounds: int = 64) -> DataFrame:
+def shortest_costs(edges: DataFrame, sources: DataFrame, cutoff: float = float("inf")) -> DataFrame:
     """(source_id, node_id, cost): least cost from each source to every node within the cutoff; costs are above 0.
 
-    Only improved labels are extended in each round, so a round's join is as small as its frontier.
+    Only improved labels are extended in each round, so a round's join is as small as its frontier. Rounds end when nothing
+    improves, which they do as costs are above 0; so all costs are final.
     """
     e = edges.where("cost > 0").groupBy(F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b")).agg(F.min("cost").alias("w"))
+    e = cut(e, "cost-edges")
     labels = sources.select(F.col("node_id").alias("source_id"), "node_id", F.lit(0.0).alias("cost")).where("node_id is not null").distinct()
     labels = cut(labels, "cost-0")
-    frontier = labels
-    for i in range(1, most_rounds + 1):
+    frontier, i = labels, 0
+    while frontier.limit(1).count():
+        i += 1
         step = frontier.join(e, F.col("node_id") == F.col("a")).select("source_id", F.col("b").alias("node_id"), (F.col("cost") + F.col("w")).alias("cost")).where(F.col("cost") <= cutoff)
         step = step.groupBy("source_id", "node_id").agg(F.min("cost").alias("cost"))
         old = labels.withColumnRenamed("cost", "old")
         both = cut(step.join(old, ["source_id", "node_id"], "full_outer"), f"cost-{i}")
         frontier = both.where("cost is not null and (old is null or cost < old)").select("source_id", "node_id", "cost")
         labels = both.select("source_id", "node_id", F.least("cost", "old").alias("cost"))
-        if frontier.limit(1).count() == 0:
-            break
     return labels
 
 

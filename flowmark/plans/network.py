@@ -34,6 +34,23 @@ def shortest_costs(spark, d):
     return rounded(network.shortest_costs(e, first_node(spark, d), 1.2))
 
 
+def chain_starts(spark, d) -> DataFrame:
+    return network.chain_ends(table(spark, d, "link").where("from_node_id is not null and to_node_id is not null")).where("kind = 'start'").select("node_id")
+
+
+@query()
+def reachable_from_starts(spark, d):
+    """All nodes reachable from any start of a chain, over any number of hops."""
+    return network.reachable(table(spark, d, "link"), chain_starts(spark, d))
+
+
+@query()
+def shortest_costs_from_starts(spark, d):
+    """Least costs from every start of a chain to all nodes it reaches, without a cutoff: up to starts times nodes rows."""
+    e = table(spark, d, "link").where("from_node_id is not null and to_node_id is not null").withColumn("cost", F.col("length"))
+    return rounded(network.shortest_costs(e, chain_starts(spark, d)))
+
+
 @query("""WITH e AS (SELECT DISTINCT from_node_id AS a, to_node_id AS b FROM link WHERE from_node_id IS NOT NULL AND to_node_id IS NOT NULL) SELECT DISTINCT a AS node_id, 'start' AS kind FROM e WHERE a NOT IN (SELECT b FROM e) UNION ALL SELECT DISTINCT b, 'end' FROM e WHERE b NOT IN (SELECT a FROM e)""")
 def chain_ends(spark, d):
     return network.chain_ends(table(spark, d, "link").where("from_node_id is not null and to_node_id is not null"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -240,6 +241,46 @@ def test_paths_and_reach(spark):
     assert network.corridor_paths(df, pairs, 1).first()["miles"] is None
 
 
+def test_reach_and_costs_of_long_chains(spark):
+    """A chain of 70 links: no round limit ends the search early."""
+    df = spark.createDataFrame([(i, i + 1, 0.5) for i in range(70)], "from_node_id bigint, to_node_id bigint, cost double").coalesce(1)
+    src = spark.createDataFrame([(0,)], "node_id bigint").coalesce(1)
+    assert {r["node_id"]: r["hops"] for r in network.reachable(df, src).collect()} == {i: i for i in range(71)}
+    assert {r["node_id"]: r["cost"] for r in network.shortest_costs(df, src, 1e9).collect()} == {i: i / 2 for i in range(71)}
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test data here")
+def test_reach_and_costs_from_all_starts(spark):
+    """Against a search in Python from every start of a chain."""
+    from flowmark.plans import network as plans
+    from flowmark.session import table
+
+    d = "/root/testdata/sf0.001"
+    graph, cost, ends = {}, {}, set()
+    for r in table(spark, d, "link").where("from_node_id is not null and to_node_id is not null").collect():
+        graph.setdefault(r["from_node_id"], set()).add(r["to_node_id"])
+        ends.add(r["to_node_id"])
+        if r["length"] is not None and r["length"] > 0:
+            k = r["from_node_id"], r["to_node_id"]
+            cost[k] = min(r["length"], cost.get(k, math.inf))
+    starts = set(graph) - ends
+    hops, front = dict.fromkeys(starts, 0), starts
+    while front:
+        front = {b for a in front for b in graph.get(a, ())} - set(hops)
+        hops |= dict.fromkeys(front, max(hops.values()) + 1)
+    assert len(starts) > 1 and {r["node_id"]: r["hops"] for r in plans.reachable_from_starts(spark, d).collect()} == hops
+    least = {(s, s): 0.0 for s in starts}
+    again = True
+    while again:
+        again = False
+        for (s, a), c in list(least.items()):
+            for b in graph.get(a, ()):
+                if c + cost.get((a, b), math.inf) < least.get((s, b), math.inf):
+                    least[s, b], again = c + cost[a, b], True
+    got = {(r["source_id"], r["node_id"]): r["cost"] for r in plans.shortest_costs_from_starts(spark, d).collect()}
+    assert set(got) == set(least) and all(abs(got[k] - least[k]) < 1e-6 for k in got)
+
+
 def test_targets_round_trip_and_guard(spark):
     t = ml.boundaries_to_targets(F.lit(6.5), F.lit(7.2), F.lit(8.5), F.lit(6.0))
     b = one(spark, ml.targets_to_boundaries(t["t2_rel"], t["log_span"], t["logit_place"], F.lit(6.0), F.lit(3.0)))[0]
