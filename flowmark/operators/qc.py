@@ -55,10 +55,10 @@ def repair_single_gaps(df: DataFrame, key: str, t: str, v: str) -> DataFrame:
 
 def interpolate(df: DataFrame, key: str, t: str, v: str) -> DataFrame:
     """df with `filled`: nulls interpolated by time, ends carried."""
-    w = Window.partitionBy(key).orderBy(t)
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    w, back = Window.partitionBy(key).orderBy(t), Window.partitionBy(key).orderBy(F.col(t).desc())  # a frame to the end would take squared time
+    before, after = w.rowsBetween(Window.unboundedPreceding, 0), back.rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col(v).isNotNull(), F.col(t))
-    a, ta, b, tb = F.last(v, True).over(before), F.last(known, True).over(before), F.first(v, True).over(after), F.first(known, True).over(after)
+    a, ta, b, tb = F.last(v, True).over(before), F.last(known, True).over(before), F.last(v, True).over(after), F.last(known, True).over(after)
     mid = a + (b - a) * (F.col(t) - ta) / F.nullif(tb - ta, F.lit(0))
     return df.withColumn("filled", F.coalesce(F.col(v), mid, a, b))
 

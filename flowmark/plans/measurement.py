@@ -144,11 +144,16 @@ y AS (SELECT grid.tmc_code, grid.slot_s, s.speed FROM grid LEFT JOIN s ON grid.t
 
 
 def full_grid(spark, d) -> DataFrame:
-    """Every slot of sensors whose readings span at most 30 days, null where nothing was seen."""
-    s = slots(spark, d)
-    ends = s.groupBy("tmc_code").agg(F.min("slot_s").alias("a"), F.max("slot_s").alias("b")).where(F.col("b") - F.col("a") <= 30 * 86400)
-    grid = ends.select("tmc_code", F.explode(F.sequence("a", "b", F.lit(900).cast("bigint"))).alias("slot_s"))
-    return grid.join(s.select("tmc_code", "slot_s", "speed"), ["tmc_code", "slot_s"], "left")
+    """Every slot from a sensor's first to its last, null where nothing was seen. Gaps are filled by stretches of up to 96 slots, so no long array is made.
+
+    The SQL leaves out sensors that span more than 30 days; nothing is left out here.
+    """
+    s = slots(spark, d).select("tmc_code", "slot_s", "speed")
+    step = F.lit(900).cast("bigint")
+    last = F.coalesce(F.lead("slot_s").over(Window.partitionBy("tmc_code").orderBy("slot_s")) - step, F.col("slot_s"))  # before the next reading
+    stretches = s.withColumn("last", last).withColumn("a", F.explode(F.sequence("slot_s", "last", step * 96)))
+    grid = stretches.withColumn("at", F.explode(F.sequence("a", F.least(F.col("a") + step * 95, F.col("last")), step)))
+    return grid.select("tmc_code", F.col("at").alias("slot_s"), F.when(F.col("at") == F.col("slot_s"), F.col("speed")).alias("speed"))
 
 
 @query(f"""WITH {_G}, l AS (SELECT *, lag(speed) OVER q AS x, lead(speed) OVER q AS z FROM y WINDOW q AS (PARTITION BY tmc_code ORDER BY slot_s))

@@ -241,6 +241,21 @@ def test_paths_and_reach(spark):
     assert network.corridor_paths(df, pairs, 1).first()["miles"] is None
 
 
+def test_grid_keeps_sensors_of_many_days(spark, tmp_path):
+    """A sensor that spans 40 days has all its slots in the three queries, like one of an hour."""
+    from flowmark.plans import measurement as plans
+
+    t0, q = datetime(2025, 1, 1), timedelta(minutes=15)
+    rows = [("A", t0, 50.0), ("A", t0 + 2 * q, 54.0), ("A", t0 + 3840 * q, 60.0), ("B", t0, 40.0), ("B", t0 + 2 * q, 44.0)]
+    df = spark.createDataFrame([(i, c, t, v, 60.0, 30.0, t) for i, (c, t, v) in enumerate(rows)], "reading_id bigint, tmc_code string, measurement_tstamp timestamp_ntz, speed double, reference_speed double, confidence_score double, received_at timestamp_ntz")
+    df.write.parquet(f"{tmp_path}/readings.parquet")
+    first = int((t0 - datetime(1970, 1, 1)).total_seconds())
+    assert {(r["tmc_code"], r["slot_s"], r["repaired"]) for r in plans.repair_single_gaps(spark, str(tmp_path)).collect()} == {("A", first + 900, 52.0), ("B", first + 900, 42.0)}
+    assert [(r["tmc_code"], r["start"], r["length"]) for r in plans.missing_runs(spark, str(tmp_path)).collect()] == [("A", first + 3 * 900, 3837)]
+    got = {r["tmc_code"]: (r["n"], r["total"]) for r in plans.interpolate_gaps(spark, str(tmp_path)).collect()}
+    assert got["B"] == (3, 126.0) and got["A"][0] == 3841 and abs(got["A"][1] - (50 + 52 + sum(54 + 6 * i / 3838 for i in range(3839)))) < 1e-4
+
+
 def test_reach_and_costs_of_long_chains(spark):
     """A chain of 70 links: no round limit ends the search early."""
     df = spark.createDataFrame([(i, i + 1, 0.5) for i in range(70)], "from_node_id bigint, to_node_id bigint, cost double").coalesce(1)
