@@ -128,9 +128,36 @@ def _repeated(block: str) -> bool:
     return again * 2 > max(whole, 1) and whole * 2 > len(units)
 
 
+def _repeats(text: str) -> bool:
+    """Whether most of the whole text is copied from earlier in it, at any period and across blank lines.
+
+    Few distinct five-grams alone don't show that, as long prose of stock sentences has few too; they must also recur in long
+    stretches at one distance, which is what a mechanical copy does.
+    """
+    units, least = text.split(), 20
+    if len(units) * 25 < len(text):
+        units, least = [c for c in text if not c.isspace()], 100
+    grams = list(zip(units, units[1:], units[2:], units[3:], units[4:]))
+    if len(grams) < 10 or len(set(grams)) > 0.35 * len(grams):
+        return False
+    last: dict = {}
+    copied = run = distance = 0
+    for i, g in enumerate(grams):
+        back = i - last.get(g, i)
+        last[g] = i
+        if back != distance:
+            copied += run * (run >= least)
+            run, distance = 0, back
+        run += back > 0
+    return copied + run * (run >= least) >= 0.65 * len(grams)
+
+
 def line_kinds(text: str) -> dict[str, int]:
     """Characters of the text (white space at the ends of lines left out) per kind."""
     share = dict.fromkeys(KINDS, 0)
+    if _repeats(text):
+        share["junk"] = sum(len(x.strip()) for x in text.splitlines())
+        return share
     for block in re.split(r"\n[ \t\r\f\v]*\n", text):
         lines = [x.rstrip() for x in block.splitlines()]
         lines = [x for x in lines if x.strip()]

@@ -199,6 +199,21 @@ def test_quality_edges(spark):
     assert quality.unnatural_documents(df.limit(0)).count() == 0
 
 
+def test_repetition_of_any_period():
+    """Copies with a period above 40 words, or of short paragraphs between blank lines, are junk; stock sentences in any order are not."""
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "ru", "sta") for b in ("der", "ling", "mont", "ster", "vale")]
+    long = " ".join(rng.choice(words) for _ in range(90)) + ". The road was closed."
+    assert quality.line_kinds(" ".join([long] * 8))["prose"] == 0
+    assert quality.line_kinds("\n".join([long] * 8))["prose"] == 0
+    assert quality.line_kinds("\n\n".join(["The road was closed until noon."] * 12))["prose"] == 0
+    stock = ["The queue on the bypass reached the bridge before noon.", "That was confirmed by phone.", "It did not recover until the evening and was cleared.", "The sensor at the junction sent no data for an hour.", "We have compared it with the last month."]
+    share = quality.line_kinds(" ".join(rng.choice(stock) for _ in range(400)))
+    assert share["prose"] == sum(share.values())
+    twice = long + "\n\n" + LINES["prose"]
+    assert quality.line_kinds(twice + "\n\n" + twice)["junk"] == 0
+
+
 def test_kind_does_not_depend_on_other_documents(spark):
     """A third of the corpus is one list whose other statistics are ordinary: all copies come out, tails or not."""
     text = "- The queue reached the bridge.\n- That was confirmed by phone.\n- It did not recover until then."
