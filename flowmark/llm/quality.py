@@ -33,9 +33,10 @@ _COMMON = frozenset(w for ws in COMMON.values() for w in ws.split())
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _BULLET = re.compile(r"\s*(?:[-*+•‣◦▪●–·>o]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|\(?[ivx]{1,4}[.)]|\[[ xX]?\]|[☐☑✓✔])\s+\S")
-_TAG = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-z]{2,6};")
-_CSS = re.compile(r"(?<![\w-])[.#]?[\w-]{1,64}\s{0,8}\{[^{}]{0,400}\}|\{\{[^{}]{0,400}\}\}|(?<![\w-])[\w-]{1,64}\(\)\s{0,8};|\bfunction\s{0,8}\(")
-_CELL = re.compile(r"</?(?:t[rdh]|table|thead|tbody)\b[^<>]{0,200}>", re.I)
+# Possessive and between delimiters, so that the time stays in proportion to the line without a limit on what lies between them.
+_TAG = re.compile(r"</?[a-zA-Z][^<>]*+>|&[a-z]{2,6};")
+_CSS = re.compile(r"(?<![\w-])[.#]?[\w-]++\s*+\{[^{}]*+\}|\{\{[^{}]*+\}\}|(?<![\w-])[\w-]++\(\)\s*+;|\bfunction\s*+\(")
+_CELL = re.compile(r"</?(?:t[rdh]|table|thead|tbody)\b[^<>]*+>", re.I)
 _MOJIBAKE = re.compile("[Â-ô][\u0080-¿]|[ÃÂâÐÑØÙ][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
 _NOISE = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()\-–—/%&$€£°’‘“”«»¿¡。，、；：？！（）「」…،؛؟·]")
 _PLAIN_NOISE = re.compile(r"[^\w\s.,;:!?'\"()\-/%&$]|_")  # the same for ASCII

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import sys
+import time
 from datetime import date, datetime
 
 import numpy as np
@@ -214,6 +215,23 @@ def test_repetition_of_any_period():
     assert quality.line_kinds(twice + "\n\n" + twice)["junk"] == 0
 
 
+def test_markup_of_any_length():
+    """Tags, cells and rule blocks count as markup however long they are, in time in proportion to the line."""
+    rng = random.Random(6)
+    style = "; ".join(" ".join(rng.sample(["the", "colour", "of", "queue", "is", "as", "it", "was", "on", "map", "bridge", "before"], 9)) for _ in range(12))
+    prose = " The queue reached the bridge and was cleared."
+    for mark in (f'<div style="{style}">', f".queue {{{style}}}", f"{{{{{style}}}}}", "a" * 30 + "-b" * 30 + f"{{{style}}}"):
+        share = quality.line_kinds(mark + prose)
+        assert share["junk"] == sum(share.values()), mark
+    share = quality.line_kinds(f'<td data-note="{style}">4.5</td>')
+    assert share["table"] == sum(share.values())
+    for text in ("<a" * 200_000, "a{" * 200_000, "{{x " * 100_000, "<a " + "x " * 200_000, "a" + " " * 400_000, "a-" * 200_000):
+        start = time.monotonic()
+        for pattern in (quality._TAG, quality._CSS, quality._CELL):
+            pattern.findall(text)
+        assert time.monotonic() - start < 5
+
+
 def test_kind_does_not_depend_on_other_documents(spark):
     """A third of the corpus is one list whose other statistics are ordinary: all copies come out, tails or not."""
     text = "- The queue reached the bridge.\n- That was confirmed by phone.\n- It did not recover until then."
