@@ -108,6 +108,18 @@ def reconstructed_speeds(spark, d):
     return episodes.reconstruct(bins, e, F.lit(45.0)).select(F.col("key").alias("link_id"), "t_min", r("speed").alias("speed"))
 
 
+@query(f"""WITH {_REP}, e AS (SELECT link_id, period, t0_hour * 60 AS t0, t2_hour * 60 AS t2, t3_hour * 60 AS t3, min_speed_mph AS v2 FROM rep WHERE place = 1 AND min_speed_mph > 0 AND t3_hour > t2_hour AND t2_hour > t0_hour),
+b AS (SELECT *, CAST(unnest(range(0, CAST(greatest(1425, ceil(t3 / 15) * 15) AS INT) + 15, 15)) AS INT) AS t_min FROM e), x AS (SELECT *, (t_min - t0) / (t3 - t0) AS x, (t2 - t0) / (t3 - t0) AS rho FROM b)
+SELECT link_id, period, t_min, round(CASE WHEN x > 0 AND x < 1 THEN least(60, 1 / (1 / 45.0 + pow(x / rho, 4 * rho) * pow((1 - x) / (1 - rho), 4 * (1 - rho)) * (1 / v2 - 1 / 45.0))) ELSE 60 END, 8) AS speed FROM x""")
+def reconstructed_speeds_by_period(spark, d):
+    """Every period's episode over all bins of the day, counting on past midnight as far as the episode goes."""
+    e = ranking.representative(table(spark, d, "link_t2").where("link_id is not null"), ["link_id", "period"]).where("min_speed_mph > 0 and t3_hour > t2_hour and t2_hour > t0_hour")
+    e = e.select(F.struct("link_id", "period").alias("key"), *((F.col(f"{c}_hour") * 60).alias(c) for c in ("t0", "t2", "t3")), F.col("min_speed_mph").alias("v2"))
+    end = F.greatest(F.lit(1425), (F.ceil(F.col("t3") / 15) * 15).cast("int"))
+    bins = e.select("key", F.explode(F.sequence(F.lit(0), end, F.lit(15))).alias("t_min"), F.lit(60.0).alias("base"))
+    return episodes.reconstruct(bins, e, F.lit(45.0)).select("key.link_id", "key.period", "t_min", r("speed").alias("speed"))
+
+
 @query()
 def flow_conservation(spark, d):
     """Flows of a sensor's weekday shifted so that they carry nine tenths of capacity on average, each within capacity."""

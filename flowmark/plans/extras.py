@@ -146,6 +146,12 @@ def unmatched_override_keys(spark, d):
     return joined(spark, d).where("period = 'AM'").join(table(spark, d, "tmc_mapping"), ["from_node_id", "to_node_id"], "left_anti").select("perf_id")
 
 
+@query(f"""WITH {_J} SELECT perf_id, period FROM j WHERE NOT EXISTS (SELECT 1 FROM tmc_mapping m WHERE m.from_node_id = j.from_node_id AND m.to_node_id = j.to_node_id)""")
+def unmatched_override_keys_by_period(spark, d):
+    """The same check over the rows of all periods."""
+    return joined(spark, d).join(table(spark, d, "tmc_mapping"), ["from_node_id", "to_node_id"], "left_anti").select("perf_id", "period")
+
+
 @query(f"""WITH {_W}, q AS (SELECT tmc_code, t_min, speed, {_PERIOD.format(m='t_min')} AS period FROM p) SELECT tmc_code, period, round(avg(speed), 8) AS speed, count(*) AS bins, min(t_min) AS first_min FROM q WHERE period IN ('AM', 'PM') GROUP BY tmc_code, period""")
 def sql_functions(spark, d):
     """The registered SQL functions in a user's query over a temporary view."""

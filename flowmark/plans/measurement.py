@@ -237,6 +237,23 @@ def wide_profile_to_long(spark, d):
     return rounded(profiles.wide_to_long(wide, ["tmc_code"]))
 
 
+DAY = range(0, 1440, 15)
+_BINS = ", ".join(f'round(any_value(speed) FILTER (t_min = {m}), 8) AS "{m}"' for m in DAY)
+
+
+@query(f"WITH {_W} SELECT tmc_code, {_BINS} FROM p GROUP BY tmc_code")
+def profile_panel_day(spark, d):
+    """The panel of all bins of the day."""
+    return rounded(profiles.panel(profiles.weekday_profile(slots(spark, d)), list(DAY)))
+
+
+@query(f"""WITH {_W}, x AS (SELECT tmc_code, CAST(unnest(range(0, 1440, 15)) AS INT) AS t_min FROM (SELECT DISTINCT tmc_code FROM p)) SELECT tmc_code, t_min, round(speed, 8) AS speed FROM x LEFT JOIN p USING (tmc_code, t_min)""")
+def wide_profile_to_long_day(spark, d):
+    """All bins of the day, from wide to long."""
+    wide = profiles.panel(profiles.weekday_profile(slots(spark, d)), list(DAY)).withColumnsRenamed({str(m): f"spd_mph_{m // 60:02d}:{m % 60:02d}" for m in DAY})
+    return rounded(profiles.wide_to_long(wide, ["tmc_code"]))
+
+
 # ---- islands and agreement ------------------------------------------------------------------------------------------
 
 _F = f"{_W}, v AS (SELECT tmc_code, least(greatest(quantile_cont(speed, 0.95), 35), 85) AS vf FROM s GROUP BY tmc_code), k AS (SELECT p.*, vf * 0.7 AS thr, {_PERIOD.format(m='t_min')} AS period FROM p JOIN v USING (tmc_code))"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowmark.functions import clock, physics, text
 from flowmark.operators import islands, performance, profiles, ranking, spatial
 from flowmark.plans.measurement import _M, _PERIOD, r, registry, rounded
+from flowmark.schema import PERIODS
 from flowmark.session import code, spelled_id, table
 
 QUERIES, SQL = {}, {}
@@ -433,6 +434,17 @@ def class_propagation(spark, d):
     return t.join(m, "link_type", "left").select("link_id", r(F.coalesce("own", "v")).alias("t2"), status.alias("status"))
 
 
+@query(f"""WITH {_L}, k AS (SELECT unnest(['AM', 'MD', 'PM', 'NT']) AS period), t AS (SELECT lk.link_id, k.period, link_type, max(t2_hour) FILTER (t2_hour >= 0) AS own FROM lk CROSS JOIN k LEFT JOIN link_t2 x ON lk.link_id = x.link_id AND x.period = k.period GROUP BY ALL), m AS (SELECT link_type, period, avg(own) AS v FROM t WHERE own IS NOT NULL GROUP BY link_type, period)
+SELECT link_id, t.period, round(coalesce(own, m.v), 8) AS t2, CASE WHEN own IS NOT NULL THEN 'carried_original' WHEN m.v IS NOT NULL THEN 'propagated' ELSE 'unmatched' END AS status FROM t LEFT JOIN m ON t.link_type = m.link_type AND t.period = m.period""")
+def class_propagation_by_period(spark, d):
+    """The same for each period: a link takes over the mean of its type in that period."""
+    own = table(spark, d, "link_t2").where("t2_hour >= 0").groupBy("link_id", "period").agg(F.max("t2_hour").alias("own"))
+    t = links(spark, d).select("link_id", "link_type", F.explode(F.array(*map(F.lit, PERIODS))).alias("period")).join(own, ["link_id", "period"], "left")
+    m = t.where("own is not null").groupBy("link_type", "period").agg(F.avg("own").alias("v"))
+    status = F.when(F.col("own").isNotNull(), "carried_original").when(F.col("v").isNotNull(), "propagated").otherwise("unmatched")
+    return t.join(m, ["link_type", "period"], "left").select("link_id", "period", r(F.coalesce("own", "v")).alias("t2"), status.alias("status"))
+
+
 @query(f"""WITH {_L}, {_REP}, o AS (SELECT link_id, t0_hour AS t0, t2_hour AS t2, t3_hour AS t3, coalesce(p_hr > 0, false) AS congested FROM rep WHERE place = 1 AND period = 'AM'), q AS (SELECT link_id, median(t0_hour) AS t0, median(t2_hour) AS t2, median(t3_hour) AS t3 FROM link_t2 WHERE period = 'MD' AND link_id IS NOT NULL GROUP BY link_id),
 s AS (SELECT lk.link_id, q.t0 AS a0, q.t2 AS a2, q.t3 AS a3, o.t0 AS b0, o.t2 AS b2, o.t3 AS b3, CASE WHEN congested AND o.t0 IS NOT NULL AND o.t2 IS NOT NULL AND o.t3 IS NOT NULL THEN 'observed' WHEN congested IS NOT NULL AND NOT congested THEN 'observed_no_congestion' WHEN q.t0 IS NOT NULL AND q.t2 IS NOT NULL AND q.t3 IS NOT NULL THEN 'lookup' ELSE 'none' END AS source
 FROM lk LEFT JOIN q ON lk.link_id = q.link_id LEFT JOIN o ON lk.link_id = o.link_id)

@@ -30,3 +30,11 @@ def test_runs(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_all_periods_and_bins(spark):
+    """What the AM queries and the narrow panels leave out comes out of their whole counterparts."""
+    for name in ("reconstructed_speeds_by_period", "unmatched_override_keys_by_period", "class_propagation_by_period"):
+        assert {r["period"] for r in QUERIES[name](spark, DATA).select("period").distinct().collect()} >= {"AM", "MD", "PM", "NT"}, name
+    assert len(QUERIES["profile_panel_day"](spark, DATA).columns) == 97
+    assert QUERIES["wide_profile_to_long_day"](spark, DATA).select("t_min").distinct().count() == 96
