@@ -24,7 +24,7 @@ from flowmark.session import code, cut, micros, number
 
 LOWEST, HIGHEST = 0.0, 120.0
 TIMES, OUTSIDE = 8.0, 7.0  # a group stands apart by TIMES scatters from the trend across it and by OUTSIDE from both sides' values
-EDGE = 12.0  # the same where there is traffic on one side only
+LEVEL, LEAST_LEVEL = 5, 3  # beside a long silence, levels are medians of the next LEVEL readings, of LEAST_LEVEL at least
 LONGEST_SPIKE, LEAST_RUN = 3, 12
 QUIET_S = 7200.0  # readings further apart than this (or 8 usual intervals) aren't around each other
 FLOOR = 0.2  # mph, the least scatter
@@ -96,22 +96,31 @@ def spikes_of(t: np.ndarray, v: np.ndarray, scatter: float) -> np.ndarray:
         hit = np.flatnonzero(ok & (resid > limit * 0.75) & (least > TIMES * s) & (outside > OUTSIDE * s))
         for k in range(size):
             np.maximum.at(dev, i[hit] + k, least[hit] / s)
-    # beside a long silence there is traffic on one side only
+    # beside a long silence: apart from the level and from the trend of the next readings on this side; in short stretches from the levels across the silences
     starts = np.flatnonzero(~near[:n])
     stops = np.r_[starts[1:], n]
     for a, b in zip(starts, stops):
         for way in (1, -1):
-            x = v[a:b][::way][: LONGEST_SPIKE + 3]
-            for size in range(1, LONGEST_SPIKE + 1):
-                if len(x) < size + 3:
-                    break
-                rest = x[size : size + 3]
-                d = np.abs(x[:size] - rest[0])
-                calm = np.abs(np.diff(rest)).max() <= 3 * s
-                if calm and (np.sign(x[:size] - rest[0]) == np.sign(x[0] - rest[0])).all() and d.min() > EDGE * s:
+            x, tx = (v[a:b], t[a:b]) if way == 1 else (v[a:b][::-1], t[a:b][::-1])
+            across = v[max(0, a - LEVEL) : a] if way == 1 else v[b : b + LEVEL]
+            for size in range(1, min(LONGEST_SPIKE, b - a) + 1):
+                own, group = x[size : size + LEVEL], x[:size]
+                beyond = v[b : b + LEVEL] if way == 1 else v[max(0, a - LEVEL) : a]
+                levels = [np.median(y) for y in ((own,) if len(own) >= LEAST_LEVEL else (across, beyond)) if len(y) >= LEAST_LEVEL]
+                if not levels:
+                    continue
+                d = [group - m for m in levels]
+                if len(own) >= LEAST_LEVEL:
+                    slope = np.median(np.diff(own) / np.diff(tx[size : size + LEVEL]))
+                    d.append(group - own[0] - slope * (tx[:size] - tx[size]))
+                d, sign = np.array(d), np.sign(group[0] - levels[0])
+                if len(own) and ((group - own[0]) * sign).min() <= OUTSIDE * s:
+                    continue
+                least = (d * sign).min()
+                if least > TIMES * s:
                     for k in range(size):
                         at = a + k if way == 1 else b - 1 - k
-                        dev[at] = max(dev[at], d.min() / s)
+                        dev[at] = max(dev[at], least / s)
     return dev
 
 

@@ -204,6 +204,24 @@ def test_spikes_runs_and_range(spark):
     assert spikes.flag_implausible(readings(spark, [])).count() == 0
 
 
+def test_spikes_beside_silences():
+    """Ten scatters beside a silence or at an end of ordinarily noisy series, and a lone reading between silences, are spikes; a ramp's end is none."""
+    rng = np.random.default_rng(4)
+    t = np.arange(300) * 180.0
+    t[100:] += 40_000
+    t[200:] += 40_000
+    v = 55 + rng.normal(0, 1.5, 300)
+    v[[0, 99, 100, 299]] = 55.0
+    s = float(np.median(np.abs(np.diff(v))))
+    for at in (0, 99, 100, 101, 299):
+        v[at] = 55 - 13 * s
+    assert set(np.flatnonzero(spikes.spikes_of(t, v, s))) == {0, 99, 100, 101, 299}
+    alone_t, alone_v = np.r_[t[:100], t[99] + 20_000, t[100:]], np.r_[v[:100], 55 + 30 * s, v[100:]]
+    assert 100 in np.flatnonzero(spikes.spikes_of(alone_t, alone_v, s))
+    ramp = 60 - 3.0 * np.maximum(0, np.arange(300) % 100 - 90)
+    assert not spikes.spikes_of(t, ramp + rng.normal(0, 0.3, 300), 0.5)[95:100].any()
+
+
 def test_esd_limits_near_published_values():
     # two-sided 5 % critical values for n = 54 of the usual worked example
     assert np.allclose(spikes.esd_limits(54, 3, 0.05), [3.158, 3.151, 3.143], atol=0.02)
