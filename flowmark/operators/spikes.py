@@ -1,7 +1,8 @@
 """Implausible spikes in measurements (problem 7).
 
 Per source the series of distinct readings is decomposed into a robust daily season (medians by time of day) and a local
-trend that leaves the suspected group out; residuals beyond generalised extreme studentised deviate limits are candidates.
+trend that leaves the suspected group out; residuals beyond generalised extreme studentised deviate limits, or beyond six
+scatters if that is less, are candidates, which the confirmation at eight supersedes.
 A candidate group of at most three readings is confirmed against the source's usual reading-to-reading scatter. Runs of one
 unchanged value and readings outside the physical range are found separately.
 
