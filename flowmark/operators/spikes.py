@@ -1,14 +1,15 @@
 """Implausible spikes in measurements (problem 7).
 
-Per source the series of distinct readings is decomposed into a robust daily season (medians by time of day) and a local
-trend that leaves the suspected group out; residuals beyond generalised extreme studentised deviate limits, or beyond six
-scatters if that is less, are candidates, which the confirmation at eight supersedes.
-A candidate group of at most three readings is confirmed against the source's usual reading-to-reading scatter. Runs of one
+Per source the series of distinct readings is decomposed robustly: a daily season (medians by time of day), a local trend
+(lines through the next readings of either side, continued to the suspected group, which is left out of them) and a
+remainder, the smaller of the two deviations from the trend. Generalised extreme studentised deviate limits on the
+remainders of the whole source pick the outlying readings; of these, groups of at most three successive ones are spikes if
+they also stand apart from the line across them by eight times the source's usual reading-to-reading scatter. Runs of one
 unchanged value and readings outside the physical range are found separately.
 
-Sources with very many readings are split at quantiles of their time, with an overlap that is itself cut at quantiles and so
-always holds many readings, however uneven the times. The usual scatter is a property of the whole source: a mergeable
-percentile sketch of absolute differences, over all its shards.
+Everything that describes a source (scatter, usual interval, season, limit) is made over all its readings by mergeable exact
+counts of rounded values, and a source of many readings is scanned in shards of equal numbers of readings with an overlap
+that is longer than anything the scan looks at, so the result doesn't depend on how a source is split.
 """
 
 from __future__ import annotations
@@ -16,24 +17,32 @@ from __future__ import annotations
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmark.session import code, cut, micros, number
 
 LOWEST, HIGHEST = 0.0, 120.0
-TIMES, OUTSIDE = 8.0, 7.0  # a group stands apart by TIMES scatters from the trend across it and by OUTSIDE from both sides' values
-LEVEL, LEAST_LEVEL = 5, 3  # beside a long silence, levels are medians of the next LEVEL readings, of LEAST_LEVEL at least
+TIMES = 8.0  # a group stands apart by TIMES scatters from the line across it
+ALPHA = 0.01  # level of the generalised ESD test
+SHARE = 5  # at most one reading in SHARE is taken for an outlier
+NOISE = 1.4826 / 2**0.5  # standard deviation of a remainder in scatters: a difference of two readings has twice its variance
+LEVEL, LEAST_LEVEL = 5, 3  # the trend of a side is a line through its next LEVEL readings, a level if fewer than four, none if fewer than LEAST_LEVEL
 LONGEST_SPIKE, LEAST_RUN = 3, 12
 QUIET_S = 7200.0  # readings further apart than this (or 8 usual intervals) aren't around each other
 FLOOR = 0.2  # mph, the least scatter
-HOT = 100_000  # a source with more readings is split into shards of about this many
+SLOTS = 48  # of the daily season
+WATCHED = 2.5  # remainders of more scatters than this are ranked for the limits; no limit of 20 or more readings lies below
+FINE = 16  # limits are found to 1/FINE of a scatter
+HOT = 100_000  # a source with more distinct readings is scanned in shards of this many
+HALO = 120  # distinct readings of overlap on either side: LEVEL + LONGEST_SPIKE readings, each at most LEAST_RUN from the next, and more
+LISTED = 100_000  # names of split sources are broadcast only up to this many
 SPIKE_SCHEMA = "reading_id bigint, tmc_code string, speed double, kind string, deviation double"
 
 
-def esd_limits(n: int, most: int, alpha: float = 0.01) -> np.ndarray:
+def esd_limits(n: int, most: int, alpha: float = ALPHA) -> np.ndarray:
     """Critical values of the generalised ESD test for the 1st to the most-th outlier among n."""
     i = np.arange(1, most + 1)
     df = np.maximum(n - i - 1, 1).astype(float)
@@ -43,86 +52,111 @@ def esd_limits(n: int, most: int, alpha: float = 0.01) -> np.ndarray:
     return np.maximum(n - i, 1) * t / np.sqrt((df + t * t) * np.maximum(n - i + 1, 1))
 
 
-def daily_season(t: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """A robust smooth time-of-day effect at each reading, zero for sources seen on fewer than three days."""
-    if len(v) < 96 or len(np.unique(t // 86400)) < 3:
-        return np.zeros(len(v))
-    bins = (t % 86400) // 1800
-    med = pd.Series(v).groupby(bins).median().reindex(range(48)).to_numpy()
-    med = np.where(np.isnan(med), np.nanmedian(v), med)
+def esd_limit(n: Column, i: Column, alpha: float = ALPHA) -> Column:
+    """The same for the i-th outlier as an expression; the normal quantile by its rational approximation (error below 0.0005)."""
+    n, i = n.cast("double"), i.cast("double")
+    df = F.greatest(n - i - 1, F.lit(1.0))
+    once = lambda x, f: F.transform(F.array(x), f)[0]  # noqa: E731  names x for f, which uses it more than once
+    tail = F.sqrt(-2 * F.log(F.lit(alpha) / (2 * F.greatest(n - i + 1, F.lit(2.0)))))
+    normal = lambda r: r - (2.515517 + r * (0.802853 + r * 0.010328)) / (1 + r * (1.432788 + r * (0.189269 + r * 0.001308)))
+    student = lambda z: z + z * (z * z + 1) / (4 * df) + z * ((5 * z * z + 16) * z * z + 3) / (96 * df * df)
+    return F.greatest(n - i, F.lit(1.0)) * once(once(once(tail, normal), student), lambda t: t / F.sqrt((df + t * t) * F.greatest(n - i + 1, F.lit(1.0))))
+
+
+def season_at(t: np.ndarray, medians: np.ndarray | None) -> np.ndarray:
+    """The smooth time-of-day effect at times t (seconds), from the medians of the day's SLOTS; zero without them."""
+    if medians is None:
+        return np.zeros(len(t))
+    med = np.where(np.isnan(medians), np.nanmedian(medians), medians)
     ring = np.r_[med[-2:], med, med[:2]]
-    smooth = np.median(np.lib.stride_tricks.sliding_window_view(ring, 5), axis=1)
+    smooth = np.median(sliding_window_view(ring, 5), axis=1)
     smooth = (np.r_[smooth[-1], smooth[:-1]] + 2 * smooth + np.r_[smooth[1:], smooth[0]]) / 4
-    return np.interp(t % 86400, np.arange(-1, 49) * 1800 + 900, np.r_[smooth[-1], smooth, smooth[0]]) - np.median(smooth)
+    wide = 86400 // SLOTS
+    return np.interp(t % 86400, np.arange(-1, SLOTS + 1) * wide + wide / 2, np.r_[smooth[-1], smooth, smooth[0]]) - np.median(smooth)
+
+
+def _side(t: np.ndarray, x: np.ndarray, stretch: np.ndarray, at: np.ndarray, way: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(level, its time, slope) of the trend on one side: the next LEVEL readings from `at` on, within its stretch; NaN levels where there are too few."""
+    i = at[:, None] + way * np.arange(LEVEL)
+    inside = (i >= 0) & (i < len(x))
+    i = np.clip(i, 0, len(x) - 1)
+    inside &= stretch[i] == stretch[at][:, None]
+    y, s, n = np.where(inside, x[i], np.nan), np.where(inside, t[i], np.nan), inside.sum(axis=1)
+    full = n == LEVEL
+    level, mid, slope = np.full(len(at), np.nan), np.full(len(at), np.nan), np.zeros(len(at))
+    level[full], mid[full] = np.median(y[full], axis=1), np.median(s[full], axis=1)
+    slope[full] = np.median(np.diff(y[full], axis=1) / np.diff(s[full], axis=1), axis=1)
+    for j in np.flatnonzero(~full & (n >= LEAST_LEVEL)):
+        level[j], mid[j] = np.median(y[j, : n[j]]), np.median(s[j, : n[j]])
+        slope[j] = np.median(np.diff(y[j, : n[j]]) / np.diff(s[j, : n[j]])) if n[j] >= 4 else 0.0
+    return level, mid, slope
 
 
-def spikes_of(t: np.ndarray, v: np.ndarray, scatter: float) -> np.ndarray:
-    """Deviation in scatters of readings in spike groups (0 elsewhere) of one source; t in seconds ascending, v plausible values."""
+def remainders(t: np.ndarray, v: np.ndarray, at: np.ndarray, scatter: float, quiet: float, season: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(remainder, deviation, remainder of it) per reading, all in scatters and 0 where there is none.
+
+    The first is the largest over the groups of at most three that hold the reading, of the smallest remainder within the
+    group. The others are those of the group that stands apart from the line across it by more than TIMES, if there is one.
+    t: seconds ascending; v: plausible values; at: their places in the series with all others, where a jump of more than
+    LEAST_RUN parts the series as a silence does.
+    """
     n = len(v)
-    dev = np.zeros(n)
+    rem, dev, own = np.zeros(n), np.zeros(n), np.zeros(n)
     if n < 4:
-        return dev
+        return rem, dev, own
     s = max(scatter, FLOOR)
-    gap = np.diff(t)
-    quiet = max(QUIET_S, 8 * float(np.median(gap)))
-    free = v - daily_season(t, v)
-    near = np.r_[False, gap <= quiet, False]  # near[i]: reading i has reading i-1 around it
-    # residual from the trend across each single reading, for the ESD limits
-    one = np.abs(free[1:-1] - (free[:-2] + free[2:]) / 2)
-    scale = max(1.4826 * float(np.median(one)), FLOOR)
-    ranked = np.sort(one / scale)[::-1]
-    most = max(1, len(ranked) // 5)
-    over = np.flatnonzero(ranked[:most] > esd_limits(len(ranked), most))
-    limit = min(ranked[over[-1]] * scale if len(over) else np.inf, TIMES * s)
+    free = v - season
+    stretch = np.r_[0, np.cumsum((np.diff(t) > quiet) | (np.diff(at) > LEAST_RUN))]
+
+    def note(group: np.ndarray, r: np.ndarray, d: np.ndarray):
+        np.maximum.at(rem, group, r)
+        far = d > TIMES
+        np.maximum.at(dev, group[far], d[far])
+        np.maximum.at(own, group[far], r[far])
+
+    levels = {way: _side(t, free, stretch, np.arange(n), way) for way in (-1, 1)}
     for size in range(1, LONGEST_SPIKE + 1):
-        if n < size + 2:
-            break
-        i = np.arange(1, n - size)
-        j = i + size
-        left, right, fl, fr = v[i - 1], v[j], free[i - 1], free[j]
-        span = np.maximum(t[j] - t[i - 1], 1e-6)
-        ok = np.ones(len(i), bool)
-        least, outside, sign = np.full(len(i), np.inf), np.full(len(i), np.inf), None
-        resid = np.full(len(i), np.inf)
-        for k in range(size):
-            ok &= near[i + k]
-            share = (t[i + k] - t[i - 1]) / span
-            e = v[i + k] - (left + (right - left) * share)
-            sign = np.sign(e) if sign is None else sign
-            ok &= np.sign(e) == sign
-            least = np.minimum(least, np.abs(e))
-            resid = np.minimum(resid, np.abs(free[i + k] - (fl + (fr - fl) * share)))
-            outside = np.minimum(outside, np.where(sign > 0, v[i + k] - np.maximum(left, right), np.minimum(left, right) - v[i + k]))
-        ok &= near[j]
-        hit = np.flatnonzero(ok & (resid > limit * 0.75) & (least > TIMES * s) & (outside > OUTSIDE * s))
-        for k in range(size):
-            np.maximum.at(dev, i[hit] + k, least[hit] / s)
-    # beside a long silence: apart from the level and from the trend of the next readings on this side; in short stretches from the levels across the silences
-    starts = np.flatnonzero(~near[:n])
+        left = np.arange(0, n - size - 1)
+        left = left[stretch[left] == stretch[left + size + 1]]
+        right = left + size + 1
+        if not len(left):
+            continue
+        sign = np.sign(v[left + 1] - (v[left] + (v[right] - v[left]) * (t[left + 1] - t[left]) / (t[right] - t[left])))
+        r, d = np.full(len(left), np.inf), np.full(len(left), np.inf)
+        for k in range(1, size + 1):
+            i = left + k
+            d = np.minimum(d, sign * (v[i] - (v[left] + (v[right] - v[left]) * (t[i] - t[left]) / (t[right] - t[left]))))
+            for side, way in ((left, -1), (right, 1)):
+                level, mid, slope = (x[side] for x in levels[way])
+                known = ~np.isnan(level)
+                off = np.where(known, sign * (free[i] - (np.where(known, level, 0) + slope * (t[i] - np.where(known, mid, 0)))), np.inf)
+                r = np.minimum(r, np.minimum(off, sign * (v[i] - v[side])))
+        for k in range(1, size + 1):
+            note(left + k, np.maximum(r, 0) / s, np.maximum(d, 0) / s)
+    # beside a long silence there is one side only; stretches too short for a trend are judged by the levels across the silences
+    starts = np.flatnonzero(np.r_[True, np.diff(stretch) > 0])
     stops = np.r_[starts[1:], n]
     for a, b in zip(starts, stops):
+        before = np.flatnonzero(at[a] - at[max(0, a - LEVEL) : a] <= 3 * LEAST_RUN) + max(0, a - LEVEL)
+        after = np.flatnonzero(at[b : b + LEVEL] - at[b - 1] <= 3 * LEAST_RUN) + b
         for way in (1, -1):
-            x, tx = (v[a:b], t[a:b]) if way == 1 else (v[a:b][::-1], t[a:b][::-1])
-            across = v[max(0, a - LEVEL) : a] if way == 1 else v[b : b + LEVEL]
+            order = np.arange(a, b) if way == 1 else np.arange(a, b)[::-1]
             for size in range(1, min(LONGEST_SPIKE, b - a) + 1):
-                own, group = x[size : size + LEVEL], x[:size]
-                beyond = v[b : b + LEVEL] if way == 1 else v[max(0, a - LEVEL) : a]
-                levels = [np.median(y) for y in ((own,) if len(own) >= LEAST_LEVEL else (across, beyond)) if len(y) >= LEAST_LEVEL]
-                if not levels:
-                    continue
-                d = [group - m for m in levels]
-                if len(own) >= LEAST_LEVEL:
-                    slope = np.median(np.diff(own) / np.diff(tx[size : size + LEVEL]))
-                    d.append(group - own[0] - slope * (tx[:size] - tx[size]))
-                d, sign = np.array(d), np.sign(group[0] - levels[0])
-                if len(own) and ((group - own[0]) * sign).min() <= OUTSIDE * s:
+                group, near = order[:size], order[size : size + LEVEL]
+                if len(near) >= LEAST_LEVEL:
+                    level, mid, slope = (x[near[0]] for x in levels[way])
+                    offs = [v[group] - np.median(v[near]), free[group] - (level + slope * (t[group] - mid))]
+                    least = [v[group] - v[near[0]]]
+                else:
+                    offs = [v[group] - np.median(v[x]) for x in (before, after) if len(x) >= LEAST_LEVEL]
+                    least = [v[group] - v[near[0]]] if len(near) else []
+                if not offs:
                     continue
-                least = (d * sign).min()
-                if least > TIMES * s:
-                    for k in range(size):
-                        at = a + k if way == 1 else b - 1 - k
-                        dev[at] = max(dev[at], least / s)
-    return dev
+                sign = np.sign(offs[0][0])
+                d = min((sign * x).min() for x in offs)
+                r = min([d, *((sign * x).min() for x in least)])
+                note(group, np.full(size, max(r, 0.0)) / s, np.full(size, max(d, 0.0)) / s)
+    return rem, dev, own
 
 
 def _runs(v: np.ndarray) -> np.ndarray:
@@ -132,23 +166,24 @@ def _runs(v: np.ndarray) -> np.ndarray:
     return np.repeat(length, length)
 
 
-def _flag(t, v, ids, halo, scatter):
-    """Kinds and deviations of the flagged rows of one source's shard: rows sorted by time, then id."""
-    kind, dev = np.full(len(v), None, object), np.zeros(len(v))
+def _judge(t, v, halo, scatter, quiet, medians):
+    """(rows, kinds, remainders, deviations, own remainders, first deliveries) of what is stuck, impossible or watched in one shard, whose rows are sorted by time, then id."""
     first = np.r_[True, t[1:] != t[:-1]]  # a re-delivery has the time of the reading
     group = np.cumsum(first) - 1
     dt, dv = t[first] / 1e6, v[first]
     stuck = _runs(dv) >= LEAST_RUN
     sane = (dv >= LOWEST) & (dv <= HIGHEST)
-    moving = sane & ~stuck  # what is stuck is no traffic to compare with
-    apart = np.zeros(len(dv))
-    apart[moving] = spikes_of(dt[moving], dv[moving], scatter)
-    kind[apart[group] > 0] = "spike"
+    moving = np.flatnonzero(sane & ~stuck)  # what is stuck is no traffic to compare with
+    found = np.zeros((3, len(dv)))
+    found[:, moving] = remainders(dt[moving], dv[moving], moving, scatter, quiet, season_at(dt[moving], medians))
+    kind = np.where(found[0][group] > WATCHED, "watched", None)
     kind[stuck[group]] = "stuck"
     kind[(v < LOWEST) | (v > HIGHEST) | ~sane[group]] = "impossible"
-    dev = apart[group]
     keep = np.flatnonzero((kind != None) & ~halo)  # noqa: E711
-    return keep, kind[keep], dev[keep]
+    return keep, kind[keep], *(x[group][keep] for x in found), first[keep]
+
+
+_SCANNED = "reading_id bigint, tmc_code string, speed double, n bigint, kind string, remainder double, deviation double, own double, fresh boolean"
 
 
 def _scan(hold: int = 200_000):
@@ -158,19 +193,25 @@ def _scan(hold: int = 200_000):
 
         def work(tab: pa.Table, final: bool):
             k = tab["k"].combine_chunks().dictionary_encode()
-            codes = k.indices.to_numpy().astype("int64") * 1_000_003 + tab["shard"].to_numpy()
-            change = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            codes, shard = k.indices.to_numpy(), tab["shard"].to_numpy()
+            change = np.flatnonzero(np.r_[True, (codes[1:] != codes[:-1]) | (shard[1:] != shard[:-1])])
             ends = np.r_[change[1:], len(codes)]
             if not final:
                 change, ends = change[:-1], ends[:-1]
-            t, v, ids = tab["us"].to_numpy(), tab["v"].to_numpy(), tab["reading_id"].to_numpy()
-            halo, sc = tab["halo"].to_numpy(), tab["scatter"].to_numpy()
-            out = [(a + x, kd, dv) for a, b in zip(change, ends) for x, kd, dv in [_flag(t[a:b], v[a:b], ids[a:b], halo[a:b], sc[a])] if len(x)]
+            t, v, halo = tab["us"].to_numpy(), tab["v"].to_numpy(), tab["halo"].to_numpy()
+            scatter, quiet, medians = tab["scatter"].to_numpy(), tab["quiet"].to_numpy(), tab["medians"].combine_chunks()
+            out = []
+            for a, b in zip(change, ends):
+                season = medians[int(a)].as_py()
+                got = _judge(t[a:b], v[a:b], halo[a:b], scatter[a], quiet[a], None if season is None else np.array(season, float))
+                if len(got[0]):
+                    out.append((got[0] + a, *got[1:]))
             if out:
-                at = np.concatenate([x for x, _, _ in out])
+                at, kind, rem, dev, own, fresh = (np.concatenate(x) for x in zip(*out))
+                rows = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [tab["reading_id"].combine_chunks().take(pa.array(at)), k.take(pa.array(at)).cast(pa.string()), pa.array(v[at]), pa.array(np.concatenate([x for _, x, _ in out]), pa.string()), pa.array(np.concatenate([x for _, _, x in out]))],
-                    names=["reading_id", "tmc_code", "speed", "kind", "deviation"],
+                    [tab["reading_id"].combine_chunks().take(rows), k.take(rows).cast(pa.string()), pa.array(v[at]), tab["n"].combine_chunks().take(rows), pa.array(kind, pa.string()), pa.array(rem), pa.array(dev), pa.array(own), pa.array(fresh)],
+                    names=[x.split()[0] for x in _SCANNED.split(", ")],
                 )
             return tab.slice(int(ends[-1]) if len(ends) else 0)
 
@@ -186,43 +227,84 @@ def _scan(hold: int = 200_000):
     return run
 
 
-def _split(rows: DataFrame, hot: int) -> DataFrame:
-    """rows with `shard` and `halo`: sources of more than `hot` readings are cut at quantiles of time, with overlaps."""
-    sizes = cut(rows.groupBy("k").agg(F.count("*").alias("n")), "sizes")  # one row per source
-    counts = sizes.agg(F.sum("n").alias("all"), F.max("n").alias("most")).first()
-    if not counts["all"] or counts["most"] <= hot:
+def split_sources(rows: DataFrame, hot: int) -> DataFrame:
+    """rows (k, us, v, reading_id) with `shard` and `halo`: sources of more than `hot` rows come in shards of `hot` distinct times, overlapping by HALO.
+
+    The place of a time in its source is its place in the day, ranked per source and day, after the number of times on the
+    days before; so no source is sorted as a whole. Rows of the overlap come twice, once as halo.
+    """
+    if hot < 2 * HALO:
+        raise ValueError(f"hot must be {2 * HALO} at least")
+    busy = cut(rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("k"), "busy")
+    named = busy.count()
+    if not named:
         return rows.withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
-    least = max(hot, counts["all"] // 10_000)  # at most 10,000 sources are split, so what is broadcast below is bounded
-    busy = sizes.where(F.col("n") > least)
-    most = min(4096, int(counts["most"] // hot) + 1)
-    grid = [i / most for i in range(1, most)]
-    points = [x + d for x in grid for d in (-0.01 / most, 0.0, 0.01 / most)]
-    edges = rows.join(F.broadcast(busy.select("k")), "k", "left_semi").groupBy("k").agg(F.percentile_approx("us", points, F.lit(max(20_000, 1000 * most))).alias("p"))
-    cuts = lambda d: F.expr(f"filter(p, (x, i) -> i % 3 = {d})")
-    edges = edges.select("k", F.array_distinct(cuts(1)).alias("mid"), cuts(0).alias("lo"), cuts(2).alias("hi"), cuts(1).alias("raw"))
-    out = rows.join(F.broadcast(edges), "k", "left")
-    shards = F.expr(
-        "case when raw is null then array(named_struct('shard', 0, 'halo', false)) else "
-        "filter(transform(sequence(0, size(raw)), s -> named_struct('shard', s, 'halo', s != size(filter(raw, x -> x <= us)))), "
-        "e -> not e.halo or ((e.shard = 0 or us >= lo[e.shard - 1]) and (e.shard = size(raw) or us <= hi[e.shard]))) end"
-    )
-    return out.withColumn("x", F.explode(shards)).select("k", "us", "v", "reading_id", F.col("x.shard").alias("shard"), F.col("x.halo").alias("halo"))
-
-
-def flag_implausible(df: DataFrame, row_id: str = "reading_id", key: str = "tmc_code", ts: str = "measurement_tstamp", value: str = "speed", hot: int = HOT) -> DataFrame:
+    names = F.broadcast(busy) if named <= LISTED else busy
+    rest = rows.join(names, "k", "left_anti").withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
+    day = F.floor(F.col("us") / 86_400_000_000)
+    parts = rows.join(names, "k", "left_semi").withColumn("day", day).withColumn("place", F.dense_rank().over(Window.partitionBy("k", "day").orderBy("us")))
+    days = parts.groupBy("k", "day").agg(F.max("place").alias("m"))
+    before = F.coalesce(F.sum("m").over(Window.partitionBy("k").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per day of a source
+    place = F.col("before") + F.col("place") - 1
+    parts = parts.join(days.select("k", "day", before.alias("before")), ["k", "day"]).withColumn("shard", F.floor(place / hot).cast("int")).withColumn("within", place % hot)
+    side = lambda when, by: F.when(when, F.struct((F.col("shard") + by).alias("shard"), F.lit(True).alias("halo")))
+    copies = F.array_compact(F.array(F.struct("shard", F.lit(False).alias("halo")), side((F.col("within") < HALO) & (F.col("shard") > 0), -1), side(F.col("within") >= hot - HALO, 1)))
+    return rest.unionByName(parts.select("k", "us", "v", "reading_id", F.explode(copies).alias("x")).select("k", "us", "v", "reading_id", "x.shard", "x.halo"))
+
+
+def source_seasons(rows: DataFrame) -> DataFrame:
+    """k, medians (by half hour of the day, of values rounded to tenths) of the sources with 96 plausible values or more over at least three days."""
+    slot = F.floor(F.pmod(F.col("us"), F.lit(86_400_000_000)) / (86_400_000_000 // SLOTS)).cast("int")
+    day = F.floor(F.col("us") / 86_400_000_000)
+    per = rows.where(F.col("v").between(LOWEST, HIGHEST)).groupBy("k", slot.alias("slot")).agg(F.percentile(F.round("v", 1), 0.5).alias("m"), F.count("*").alias("n"), F.min(day).alias("a"), F.max(day).alias("b"))
+    per = per.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("slot", "m"))).alias("by"), F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))  # SLOTS rows at most
+    per = per.where("n >= 96 and b - a >= 2")
+    return per.select("k", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.try_element_at("by", i)).alias("medians"))
+
+
+def source_scatters(parts: DataFrame) -> DataFrame:
+    """k, scatter (median difference of successive plausible readings, to a thousandth), n of these, quiet (seconds of silence that part the series)."""
+    w = Window.partitionBy("k", "shard").orderBy("us", "reading_id")
+    sane = F.when(F.col("v").between(LOWEST, HIGHEST), F.col("v"))
+    new = F.lag("us").over(w) < F.col("us")
+    rows = parts.withColumn("d", F.when(new, F.abs(sane - F.lag(sane).over(w)))).withColumn("gap", F.when(new, F.least((F.col("us") - F.lag("us").over(w)) / 10_000_000, F.lit(8640.0))))
+    out = rows.where("not halo and gap is not null").groupBy("k").agg(F.percentile(F.round("d", 3), 0.5).alias("scatter"), F.count("d").alias("n"), F.percentile(F.round("gap"), 0.5).alias("gap"))
+    return out.select("k", F.coalesce("scatter", F.lit(1.0)).alias("scatter"), "n", F.greatest(F.lit(QUIET_S), 80 * F.col("gap")).alias("quiet"))
+
+
+def source_limits(watched: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """k, limit: the least remainder (in scatters) that the generalised ESD test takes for an outlier, of the sources with one.
+
+    The i-th largest remainder is compared with the i-th critical value; the last that exceeds it and all above are outliers.
+    Remainders are ranked by counts per 1/FINE of a scatter, so no source is sorted.
+    """
+    bins = watched.where("fresh").groupBy("tmc_code", F.floor(F.col("remainder") * FINE).alias("bin")).agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    ranked = bins.withColumn("i", F.sum("c").over(Window.partitionBy("tmc_code").orderBy(F.desc("bin"))))  # bins are bounded by the range of speeds
+    over = ranked.where((F.col("i") <= F.greatest(F.floor(F.col("n") / SHARE), F.lit(1))) & (F.col("bin") / FINE / NOISE > esd_limit(F.col("n"), F.col("i"), alpha)))
+    return over.groupBy("tmc_code").agg((F.min("bin") / FINE).alias("limit"))
+
+
+def flag_implausible(df: DataFrame, row_id: str = "reading_id", key: str = "tmc_code", ts: str = "measurement_tstamp", value: str = "speed", hot: int = HOT, alpha: float = ALPHA, seasonal: bool = True) -> DataFrame:
     """The implausible rows of df, SPIKE_SCHEMA: kind is impossible, stuck or spike.
 
     Rows with a null source, time or value are skipped. Rows of one source and time are deliveries of one reading: the first
     by id stands for it in the series, and all share its flag. A source's scatter is the median absolute difference of
-    successive plausible readings, 0.2 at least. An empty table gives none; ties are broken by row id.
+    successive plausible readings, 0.2 at least. An empty table gives none; ties are broken by row id. The result is the same
+    for any `hot`. `seasonal` = False leaves the daily season out of the decomposition.
     """
     rows = df.select(code(key).alias("k"), micros(ts).alias("us"), number(value).alias("v"), F.col(row_id).alias("reading_id"))
     rows = rows.where("k is not null and us is not null and v is not null and reading_id is not null")
-    parts = _split(rows, hot).repartition("k", "shard")
+    parts = split_sources(rows, hot).repartition("k", "shard")
+    about = source_scatters(parts)
+    about = about.join(source_seasons(rows), "k", "left") if seasonal else about.withColumn("medians", F.lit(None).cast("array<double>"))
+    about = parts.select("k", "shard").distinct().join(about, "k", "left")  # by shard, so that the readings aren't gathered by source
+    ordered = parts.join(about, ["k", "shard"], "left")
     w = Window.partitionBy("k", "shard").orderBy("us", "reading_id")
-    sane = F.when(F.col("v").between(LOWEST, HIGHEST), F.col("v"))
-    diffs = parts.withColumn("d", F.when(F.lag("us").over(w) < F.col("us"), F.abs(sane - F.lag(sane).over(w))))
-    usual = diffs.where("d is not null and not halo").groupBy("k").agg(F.percentile_approx("d", 0.5, F.lit(1000)).alias("scatter"))
-    ordered = parts.join(usual, "k", "left").withColumn("scatter", F.coalesce("scatter", F.lit(1.0)))
-    ordered = ordered.repartition("k", "shard").sortWithinPartitions("k", "shard", "us", "reading_id")
-    return ordered.select("k", "shard", "us", "v", "reading_id", "halo", "scatter").mapInArrow(_scan(), SPIKE_SCHEMA)
+    once = F.when(F.row_number().over(w) == 1, F.col("medians"))  # one season per shard is enough for the batch
+    fill = [F.coalesce("scatter", F.lit(1.0)).alias("scatter"), F.coalesce("quiet", F.lit(QUIET_S)).alias("quiet"), F.coalesce("n", F.lit(0)).alias("n")]
+    ordered = ordered.select("k", "shard", "us", "v", "reading_id", "halo", *fill, once.alias("medians")).sortWithinPartitions("k", "shard", "us", "reading_id")
+    found = cut(ordered.mapInArrow(_scan(), _SCANNED), "scanned")
+    limits = source_limits(found.where("kind = 'watched'"), alpha)
+    judged = found.where("kind <> 'watched' or deviation > 0").join(limits, "tmc_code", "left")
+    spike = (F.col("kind") == "watched") & (F.col("own") >= F.col("limit"))
+    return judged.where((F.col("kind") != "watched") | spike).select("reading_id", "tmc_code", "speed", F.when(spike, "spike").otherwise(F.col("kind")).alias("kind"), "deviation")

@@ -195,7 +195,7 @@ def test_spikes_runs_and_range(spark):
     rows = [("s1", t0 + timedelta(minutes=3 * i), float(x)) for i, x in enumerate(v)]
     rows += [("S1 ", t0 + timedelta(minutes=300), float(v[100])), ("S1", t0 + timedelta(minutes=9000), None), (None, t0, 999.0), ("tiny", t0, 50.0), ("tiny", t0, 50.0), ("nul", None, 50.0)]
     want = set(planted) | set(range(2000, 2012)) | {2500, 2600, 3000}
-    for hot in (100_000, 500):  # whole and cut into shards with overlaps
+    for hot in (100_000, 2_000, 300):  # whole and cut into shards with overlaps
         got = spikes.flag_implausible(readings(spark, rows), hot=hot).collect()
         assert len(got) == len({r["reading_id"] for r in got})
         assert {r["reading_id"] for r in got} == want
@@ -215,11 +215,35 @@ def test_spikes_beside_silences():
     s = float(np.median(np.abs(np.diff(v))))
     for at in (0, 99, 100, 101, 299):
         v[at] = 55 - 13 * s
-    assert set(np.flatnonzero(spikes.spikes_of(t, v, s))) == {0, 99, 100, 101, 299}
+    limit = spikes.esd_limits(300, 1)[0] * spikes.NOISE
+    found = lambda t, v, s: set(np.flatnonzero(spikes.remainders(t, v, np.arange(len(v)), s, 7200.0, np.zeros(len(v)))[2] > limit))
+    assert found(t, v, s) == {0, 99, 100, 101, 299}
     alone_t, alone_v = np.r_[t[:100], t[99] + 20_000, t[100:]], np.r_[v[:100], 55 + 30 * s, v[100:]]
-    assert 100 in np.flatnonzero(spikes.spikes_of(alone_t, alone_v, s))
+    assert 100 in found(alone_t, alone_v, s)
     ramp = 60 - 3.0 * np.maximum(0, np.arange(300) % 100 - 90)
-    assert not spikes.spikes_of(t, ramp + rng.normal(0, 0.3, 300), 0.5)[95:100].any()
+    assert not found(t, ramp + rng.normal(0, 0.3, 300), 0.5) & set(range(95, 100))
+
+
+def test_season_and_esd_limits_decide(spark):
+    """A short dip at the same time every day is usual for its source; a stricter test level finds less."""
+    rng = np.random.default_rng(5)
+    t0 = datetime(2025, 1, 1)
+    n = 48 * 10
+    v = 60 + rng.normal(0, 1, n)
+    dips = {day * 48 + 18 + k for day in range(10) for k in range(3)}
+    v[sorted(dips)] -= 20  # 9:15, 9:45 and 10:15
+    v[250] -= 20
+    df = readings(spark, [("S", t0 + timedelta(minutes=15 + 30 * i), float(x)) for i, x in enumerate(v)])
+    ids = lambda **kw: {r["reading_id"] for r in spikes.flag_implausible(df, **kw).collect()}
+    assert ids() == {250}
+    assert ids(seasonal=False) == {250} | dips
+    assert ids(alpha=1e-300) == set()
+
+
+def test_esd_limit_expression_equals_the_function(spark):
+    rows = [(n, i) for n in (25, 300, 100_000) for i in (1, 2, 5)]
+    got = spark.createDataFrame(rows, "n bigint, i bigint").select("n", "i", spikes.esd_limit(F.col("n"), F.col("i")).alias("x")).collect()
+    assert all(abs(r["x"] - spikes.esd_limits(r["n"], 5)[r["i"] - 1]) < 0.01 for r in got)
 
 
 def test_esd_limits_near_published_values():
