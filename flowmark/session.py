@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from spark.checkpoint.dir; a local folder only where that is unset (tests)."""
+    """The folder all executors share, from spark.checkpoint.dir; a local folder only where that is unset on a local master (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
         return known
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share; master is {master}")
     own = os.path.join(tempfile.gettempdir(), f"flowmark-{os.getpid()}")
     os.makedirs(own, exist_ok=True)
     return f"file://{own}"
