@@ -2,7 +2,7 @@
 
 The largest total is taken at which every source can give its share within its cap. Each source gives its complete epochs
 first; the rest of its budget is filled by weighted sampling without replacement after Efraimidis and Spirakis: documents
-in ascending order of -ln(u) / weight, u a fixed random number of the document. The prefix sums are made in two levels
+in ascending order of -ln(u) / weight, u a fixed random number of the document and weight its quality (quality.with_weight). The prefix sums are made in two levels
 (tokens per bucket of the key, then inside the one bucket where the budget ends), so no source is sorted in one task.
 """
 
@@ -19,12 +19,6 @@ def sampling_key(doc_id: str, weight: str, seed: int) -> Column:
     return -F.log(u) / F.col(weight)
 
 
-def letter_weight(text: str) -> Column:
-    """Quality weight of a text, 0.25 to 1: more for a larger share of letters among its characters."""
-    share = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]", "")) / F.nullif(F.length(text), F.lit(0))
-    return 0.25 + 0.75 * F.coalesce(share, F.lit(0.0))
-
-
 def distinct_targets(targets: DataFrame) -> DataFrame:
     """One row per named source; of repeated ones the greatest share and repeats count."""
     return targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))

@@ -54,10 +54,14 @@ def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return bpe.round_trip(table(spark, d, "documents"))
 
 
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, source, weight (from the tails of the text's statistics) and n_tokens of each document."""
+    weighted = quality.with_weight(table(spark, d, "documents"), ("source",))
+    return cut(bpe.count_tokens(weighted, "_text", ("doc_id", "source", "weight")), "sizes")
+
+
 def _mixture(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").withColumn("weight", mixing.letter_weight("text"))
-    sized = cut(bpe.count_tokens(docs, keep=("doc_id", "source", "weight")), "sizes")
-    return mixing.mix_sources(sized, table(spark, d, "mix_targets"))
+    return mixing.mix_sources(_sized(spark, d), table(spark, d, "mix_targets"))
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -73,11 +77,16 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return quality.flag_tails(quality.robust_scores(cut(quality.document_statistics(table(spark, d, "documents")), "statistics")))
+    """Statistics, robust scores and tails of each document."""
+    stats = cut(quality.document_statistics(table(spark, d, "documents")), "measured")
+    return quality.flag_tails(quality.robust_scores(stats, cut(quality.statistic_sketches(stats), "sketch")))
 
 
 def p10_sketches(spark: SparkSession, d: str) -> DataFrame:
-    return quality.statistic_sketches(quality.document_statistics(table(spark, d, "documents")))
+    """Quantiles per language and statistic from the sketches of the documents of even and of odd days, merged."""
+    docs = table(spark, d, "documents")
+    stats = cut(quality.document_statistics(docs.withColumn("odd", F.coalesce(F.day("created_at") % 2, F.lit(0))), keep=("odd",)), "measured")
+    return quality.sketch_quantiles(quality.merge_sketches(*(quality.statistic_sketches(stats.where(F.col("odd") == i)) for i in (0, 1))))
 
 
 def p10_agreement(spark: SparkSession, d: str) -> DataFrame:

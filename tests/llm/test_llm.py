@@ -9,6 +9,7 @@ import time
 from datetime import date, datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,7 +189,8 @@ def test_kinds_of_plain_cases():
     for kind, text in LINES.items():
         share = quality.line_kinds(text)
         assert max(share, key=share.get) == kind, (kind, share)
-    assert quality.measures(None)[0] is None and quality.measures(" \n ")[0] is None
+    got = quality.measures(pa.array([None, " \n ", "", "The queue, it's over.\nÉté 12"]))
+    assert all(np.isnan(x[:3]).all() for x in got.values()) and got["n_words"][3] == 5 and got["end_punct_share"][3] == 0.5 and got["longest_word"][3] == 6
     assert quality.line_kinds("your report is ready " * 40)["junk"] > 0.9 * 840
 
 
@@ -239,15 +241,30 @@ def test_kind_does_not_depend_on_other_documents(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     expected = {1000 + i: "list" for i in range(100)}
     assert {r["doc_id"]: r["kind"] for r in quality.unnatural_documents(df).collect()} == expected
-    flagged = quality.flag_tails(quality.robust_scores(quality.document_statistics(df))).where("kind is not null")
-    assert {r["doc_id"]: r["kind"] for r in flagged.collect()} == expected
+
+
+def test_tails_decide(spark):
+    """Without tails nothing comes out; what is usual in a corpus is not in its tails."""
+    rows = [(i, LINES["prose"] + f" It was seen {i} times.", "en") for i in range(60)] + [(100, LINES["junk"], "en")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert [r["doc_id"] for r in quality.unnatural_documents(df).collect()] == [100]
+    assert quality.unnatural_documents(df, tail=1e9).count() == 0
+    stats = quality.document_statistics(df)
+    tails = {r["doc_id"]: r["tails"] for r in quality.flag_tails(quality.robust_scores(stats, quality.statistic_sketches(stats))).collect()}
+    assert "longest_word" in tails[100] and "common_share" in tails[100] and tails[5] == []
+    weights = {r["doc_id"]: r["weight"] for r in quality.with_weight(df, ()).collect()}
+    assert weights[5] == 1.0 and weights[100] < 0.5
 
 
 def test_sketches_merge_to_quantiles(spark):
-    df = spark.createDataFrame([(i, " ".join(["the"] * (i % 50 + 1)), "en") for i in range(500)], "doc_id bigint, text string, lang string").repartition(7)
-    s = {r["statistic"]: r["at"] for r in quality.statistic_sketches(quality.document_statistics(df)).collect()}
-    exact = quality.profile(np.array([i % 50 + 1 for i in range(500)]))
-    assert all(abs(a - b) <= 1.0 for a, b in zip(s["n_words"], exact))
+    df = spark.createDataFrame([(i, " ".join(["the"] * (i + 1)), "en") for i in range(500)], "doc_id bigint, text string, lang string").repartition(7)
+    stats = quality.document_statistics(df)
+    parts = [quality.statistic_sketches(stats.where(f"doc_id % 2 = {i}")) for i in (0, 1)]
+    merged = {r["statistic"]: r for r in quality.sketch_quantiles(quality.merge_sketches(*parts)).collect()}
+    whole = {r["statistic"]: r["at"] for r in quality.sketch_quantiles(quality.statistic_sketches(stats)).collect()}
+    exact = quality.profile(np.arange(1, 501))
+    assert merged["n_words"]["n"] == 500 and {k: r["at"] for k, r in merged.items()} == whole
+    assert all(abs(a - b) <= 0.008 * (b + 1) + 1 for a, b in zip(whole["n_words"], exact))
 
 
 @have_data
