@@ -77,3 +77,15 @@ def natural_order(c: Column) -> list[Column]:
     """Order of codes: numbers first by value, then texts."""
     n = c.try_cast("double")
     return [n.isNull().asc(), n.asc(), c.asc()]
+
+
+def select_groups(members: DataFrame, group: str, member: str, winners: DataFrame, winner: str) -> DataFrame:
+    """(group, n_sensors, n_winning, selected): every group with its members, those of them that win, and whether it holds one."""
+    own = members.where(F.col(group).isNotNull() & F.col(member).isNotNull()).select(group, member).distinct()
+    w = winners.select(F.col(winner).alias(member), F.lit(1).alias("_w")).distinct()
+    return own.join(w, member, "left").groupBy(group).agg(F.count("*").alias("n_sensors"), F.count("_w").alias("n_winning")).withColumn("selected", F.col("n_winning") > 0)
+
+
+def dense_ids(df: DataFrame, key: str, out: str) -> DataFrame:
+    """df with numbers from 0 in order of a unique key, for tables of zones and the like (the order is global)."""
+    return df.withColumn(out, (F.row_number().over(Window.orderBy(key)) - 1).cast("bigint"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,20 @@ def robust_z(df: DataFrame, by: list[str], value: str, reference: Column, out: s
     return d.withColumn(out, F.when((F.col("_n") >= least) & (F.col("_s") > 0), (F.col(value) - F.col("_m")) / F.nullif("_s", F.lit(0.0)))).drop("_m", "_n", "_s")
 
 
-def hard_rules(minutes: str, doc: str, speed: str, mu: str, capacity: str, limit: str) -> dict[str, Column]:
-    """Physical rules, any of which excludes an episode."""
-    m, x, v, u, c, t = (F.col(n) for n in (minutes, doc, speed, mu, capacity, limit))
-    return {
-        "unknown": m.isNull() | x.isNull() | v.isNull(), "longer_than_a_day": m > 1440, "doc_too_high": x > 8, "speed_out_of_range": (v < 0) | (v > 90), "mu_not_positive": u <= 0,
-        "high_doc_without_duration": (x > 1) & (m < 15), "mu_above_capacity": u > 1.05 * c, "mu_starved": (x > 1.5) & (u < 0.30 * c), "not_below_limit": v >= t, "speed_too_low": v < 5,
-    }
+# Names and limits of the physical rules, any of which excludes an episode.
+PHYSICAL = {
+    "state_nonfinite": "minutes is null or doc is null or speed is null", "duration_exceeds_day": "minutes > 1440", "doc_above_physical": "doc > 8",
+    "speed_out_of_range": "speed not between 0 and 90", "mu_nonpositive": "mu <= 0", "doc_high_P_zero": "doc > 1 and minutes < 15", "mu_above_capacity": "mu > 1.05 * capacity",
+    "mu_starved": "doc > 1.5 and mu < 0.30 * capacity", "vt2_above_threshold": "speed >= limit", "vt2_too_low": "speed < 5",
+}
+
+
+def hard_rules(minutes: str, doc: str, speed: str, mu: str, capacity: str, limit: str) -> tuple[Column, Column]:
+    """A struct of the rules' inputs, to be added as `_own`, and the names of the physical rules that hold, joined by semicolons."""
+    own = F.struct(*(F.col(c).alias(n) for n, c in (("minutes", minutes), ("doc", doc), ("speed", speed), ("mu", mu), ("capacity", capacity), ("limit", limit))))
+    words = "|".join(("minutes", "doc", "speed", "mu", "capacity", "limit"))
+    hold = [F.when(F.expr(re.sub(rf"\b({words})\b", r"_own.\1", rule)), F.lit(name)) for name, rule in PHYSICAL.items()]
+    return own, F.concat_ws(";", *hold)
 
 
 def screen(df: DataFrame, by: list[str], valid: Column, soft: dict[str, Column] | None = None, minutes: str = "minutes", doc: str = "doc", speed: str = "min_speed", mu: str = "mu", capacity: str = "capacity", limit: str = "limit") -> DataFrame:
@@ -46,7 +55,8 @@ def screen(df: DataFrame, by: list[str], valid: Column, soft: dict[str, Column]
     d = robust_z(d, by, minutes, F.col("_v"), "z_minutes")
     d = robust_z(d, by, doc, F.col("_v"), "z_doc")
     rules = {"low_doc_long": (F.col(doc) < 0.5) & (F.col(minutes) > 60), "duration_outlier": F.col("z_minutes") > 3.5, "doc_outlier": F.col("z_doc") > 3.5} | (soft or {})
+    own, hard = hard_rules(minutes, doc, speed, mu, capacity, limit)
     names = lambda rs: F.concat_ws(";", *(F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rs.items()))
     count = sum((F.coalesce(c, F.lit(False)).cast("int") for c in rules.values()), F.lit(0))
-    d = d.withColumn("hard", names(hard_rules(minutes, doc, speed, mu, capacity, limit))).withColumn("soft", names(rules))
+    d = d.withColumn("_own", own).withColumn("hard", hard).drop("_own").withColumn("soft", names(rules))
     return d.withColumn("excluded", (F.col("hard") != "") | (count >= SOFT_TO_EXCLUDE)).withColumn("clean", F.col("_v") & ~F.col("excluded")).drop("_v")

@@ -73,6 +73,13 @@ def local_metres(lat: Column, lon: Column, lat0: float, lon0: float) -> tuple[Co
     return (lon - lon0) * (111_320.0 * math.cos(math.radians(lat0))), (lat - lat0) * 110_540.0
 
 
+def plane_feet(lon: Column, lat: Column, origin: tuple[float, float]) -> tuple[Column, Column]:
+    """x_ft and y_ft of a point on a plane about an origin (longitude, latitude)."""
+    import math
+
+    return ((lon - origin[0]) * (365_228.0 * math.cos(math.radians(origin[1])))).alias("x_ft"), ((lat - origin[1]) * 362_664.0).alias("y_ft")
+
+
 def segment_bearings(meta: DataFrame) -> DataFrame:
     return meta.select("tmc", bearing(F.col("start_latitude"), F.col("start_longitude"), F.col("end_latitude"), F.col("end_longitude")).alias("bearing"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowmark.functions import clock, physics
 from flowmark.operators import calibrate, episodes, ml, profiles, screen
+from flowmark.plans import episode_sql
 from flowmark.plans.measurement import _PERIOD, _W, r, registry, rounded, slots, thresholds
 from flowmark.plans.relational import _H, _J, _P, _REP, joined, performance_rows
 from flowmark.operators import ranking
@@ -31,12 +32,12 @@ def detected(spark, d) -> DataFrame:
     return episodes.detect_episodes(series(spark, d))
 
 
-@query()
+@query(episode_sql.DETECT)
 def detect_episodes(spark, d):
     return rounded(detected(spark, d))
 
 
-@query()
+@query(episode_sql.DETECT_WEEKDAY)
 def average_weekday_episodes(spark, d):
     s = slots(spark, d)
     p = profiles.weekday_profile(s).join(profiles.free_flow(s).withColumnRenamed("free_speed", "vf"), "tmc_code").withColumn("day", F.lit(0))
@@ -54,6 +55,13 @@ def screened_episodes(spark, d):
     return out.select("tmc_code", "day", "t0_min", "hard", "soft", "excluded", "clean", screen.regime(F.col("minutes"), F.col("min_speed"), F.col("limit"), F.col("z_minutes")).alias("regime"))
 
 
+@query(episode_sql.RULES)
+def ruled_episodes(spark, d):
+    """Physical rules, robust scores and regimes, without the rules that need fitted lines."""
+    out = screen.screen(detected(spark, d).withColumn("lane", F.lit(CAP)), ["period"], F.col("valid_for_mu"), capacity="lane")
+    return out.select("tmc_code", "day", "t0_min", "hard", "soft", "excluded", "clean", "z_minutes", screen.regime(F.col("minutes"), F.col("min_speed"), F.col("limit"), F.col("z_minutes")).alias("regime"))
+
+
 @query()
 def qvdf_calibration(spark, d):
     """Sensor and period first, all sensors of a period where a sensor has too few."""
@@ -93,7 +101,7 @@ def t2_episodes(spark, d) -> DataFrame:
     return t.select(F.col("t2_id").alias("id"), "link_id", "period", F.col("t0_hour").alias("t0"), F.col("t2_hour").alias("t2"), F.col("t3_hour").alias("t3"), F.col("min_speed_mph").alias("min_speed"), "p_hr")
 
 
-@query()
+@query(episode_sql.SELECTION)
 def overlap_selection(spark, d):
     return episodes.select_without_overlap(t2_episodes(spark, d), ["link_id", "period"])
 

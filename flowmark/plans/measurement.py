@@ -139,15 +139,12 @@ def hampel_filter(spark, d):
     return rounded(qc.hampel(slots(spark, d), "tmc_code", "slot_s", "speed").select("tmc_code", "slot_s", "roll_median", "roll_mad", "hampel_ok"))
 
 
-_G = f"""{_S}, f AS (SELECT tmc_code, min(slot_s) AS a, max(slot_s) AS b FROM s GROUP BY tmc_code), grid AS (SELECT tmc_code, unnest(range(a, b + 900, 900)) AS slot_s FROM f WHERE b - a <= 2592000),
+_G = f"""{_S}, f AS (SELECT tmc_code, min(slot_s) AS a, max(slot_s) AS b FROM s GROUP BY tmc_code), grid AS (SELECT tmc_code, unnest(range(a, b + 900, 900)) AS slot_s FROM f),
 y AS (SELECT grid.tmc_code, grid.slot_s, s.speed FROM grid LEFT JOIN s ON grid.tmc_code = s.tmc_code AND grid.slot_s = s.slot_s)"""
 
 
 def full_grid(spark, d) -> DataFrame:
-    """Every slot from a sensor's first to its last, null where nothing was seen. Gaps are filled by stretches of up to 96 slots, so no long array is made.
-
-    The SQL leaves out sensors that span more than 30 days; nothing is left out here.
-    """
+    """Every slot from a sensor's first to its last, null where nothing was seen. Gaps are filled by stretches of up to 96 slots, so no long array is made."""
     s = slots(spark, d).select("tmc_code", "slot_s", "speed")
     step = F.lit(900).cast("bigint")
     last = F.coalesce(F.lead("slot_s").over(Window.partitionBy("tmc_code").orderBy("slot_s")) - step, F.col("slot_s"))  # before the next reading

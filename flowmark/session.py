@@ -35,10 +35,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, which release() deletes."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _CUTS.append(path)
+    return path
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: a durable cut of the lineage that survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    _CUTS.append(path)
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

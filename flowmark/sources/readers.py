@@ -66,17 +66,102 @@ def read_network_union(spark: SparkSession, paths: dict[str, str], ddl: str = sc
     return rows.withColumn("_place", F.row_number().over(Window.partitionBy("link_id").orderBy("_rank"))).where("_place = 1").drop("_rank", "_place", "period")
 
 
+def read_weekday(spark: SparkSession, path: str, columns: dict[str, str] | None = None, measured: bool = False) -> DataFrame:
+    """(tmc_code, t_min, speed, flow) of an average weekday; the flow that is supplied counts only if it was `measured`."""
+    rows = read_csv(spark, path, "tmc_code string, t_min int, speed double, flow double", columns, ["tmc_code", "t_min", "speed"])
+    return rows if measured else rows.withColumn("flow", F.lit(None).cast("double"))
+
+
+def load_source(spark: SparkSession, spec: dict) -> DataFrame:
+    """(tmc_code, t_min, speed, flow): the average weekday of a source. spec: source ("readings", "average_weekday" or "measured"), path and optionally columns.
+
+    Readings are averaged from quarter-hour medians of working days; unknown sources are an error.
+    """
+    from flowmark.operators import profiles
+
+    kind, path, columns = spec.get("source"), spec["path"], spec.get("columns")
+    if kind == "readings":
+        slots = profiles.resample_median(profiles.clean_readings(read_readings(spark, path, columns)))
+        return profiles.weekday_profile(slots).select("tmc_code", "t_min", "speed", F.lit(None).cast("double").alias("flow"))
+    if kind in ("average_weekday", "measured"):
+        return read_weekday(spark, path, columns, kind == "measured")
+    raise ValueError(f"unknown source {kind!r}")
+
+
+def read_nodes_union(spark: SparkSession, paths: dict[str, str], order: tuple[str, ...] = ("MD", "AM", "PM", "NT"), origin: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """(node_id, x_ft, y_ft): nodes of all periods, each from the first period in `order` that has it, on a plane in feet about an origin (longitude, latitude)."""
+    from flowmark.operators.ranking import pick_first
+    from flowmark.operators.spatial import plane_feet
+
+    rank = F.coalesce(F.array_position(F.array(*map(F.lit, order)), F.col("period")), F.lit(99))
+    rows = read_periods(spark, paths, "node_id bigint, longitude double, latitude double").where("node_id is not null")
+    rows = pick_first(rows, ["node_id"], [rank, F.col("longitude").asc_nulls_last(), F.col("latitude").asc_nulls_last()])
+    return rows.select("node_id", *plane_feet(F.col("longitude"), F.col("latitude"), origin))
+
+
+def read_episode_files(spark: SparkSession, root: str, folders: tuple[str, ...], ddl: str, accepted: str = "accepted") -> DataFrame:
+    """Episodes of a run: from the first of `folders` (the numbered one, then older names) that exists under root. Rows that aren't accepted are an error."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        if p.getFileSystem(conf).exists(p):
+            rows = spark.read.schema(f"{ddl}, {accepted} boolean").parquet(f"{root}/{folder}")
+            if rows.where(~F.coalesce(F.col(accepted), F.lit(False))).limit(1).count():
+                raise ValueError(f"{folder}: rows that aren't accepted")
+            return rows.drop(accepted)
+    raise ValueError(f"none of {folders} exists under {root}")
+
+
+def read_vdf_table(spark: SparkSession, path: str, key: str = "vdf_code", default: str = "all") -> DataFrame:
+    """(key, alpha, beta): volume-delay parameters by code; an error without a row for the default code or with a code twice."""
+    from flowmark.operators.ranking import assert_unique
+    from flowmark.operators.resources import with_default
+
+    rows = read_csv(spark, path, f"{key} string, alpha double, beta double", required=[key, "alpha", "beta"]).where(F.col(key).isNotNull())
+    return with_default(assert_unique(rows, [key]), key, default)
+
+
 def with_corridor(df: DataFrame, pattern: str = r"/([^/]+)/[^/]+$") -> DataFrame:
     """df with the folder that a row's file lies in, as corridor."""
     return df.withColumn("corridor", F.regexp_extract(F.input_file_name(), pattern, 1))
 
 
+def with_occurrence(df: DataFrame, part: str, parts: list[str], order: str, width: int = 10_000_000) -> DataFrame:
+    """df with occurrence: the number of the row's part times `width` plus its place in the part by `order`."""
+    from pyspark.sql import Window
+
+    number = F.array_position(F.array(*map(F.lit, parts)), F.col(part)) - 1
+    return df.withColumn("occurrence", (number * width + F.row_number().over(Window.partitionBy(part).orderBy(order)) - 1).cast("bigint"))
+
+
+def with_time_columns(df: DataFrame, prefix: str = "spd_mph_") -> DataFrame:
+    """df, or an error if it has no column of a time of day (prefix and HH:MM) or one that names no time."""
+    times = [c[len(prefix) :] for c in df.columns if c.startswith(prefix)]
+    bad = [t for t in times if not (len(t) == 5 and t[2] == ":" and t[:2].isdigit() and t[3:].isdigit() and int(t[:2]) < 24 and int(t[3:]) < 60)]
+    if bad or not times:
+        raise ValueError(f"no times of day: {bad}" if bad else f"no column {prefix}HH:MM")
+    return df
+
+
+def read_geojson_lines(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """Properties and ends (x0, y0, x1, y1) of the LineStrings in newline-delimited GeoJSON."""
+    fields = ", ".join(p.strip().replace(" ", ": ", 1) for p in properties.split(","))
+    f = spark.read.text(path).select(F.from_json("value", f"type string, geometry struct<type: string, coordinates: array<array<double>>>, properties struct<{fields}>").alias("f"))
+    c = F.col("f.geometry.coordinates")
+    return f.where("f.geometry.type = 'LineString'").select("f.properties.*", c[0][0].alias("x0"), c[0][1].alias("y0"), F.element_at(F.element_at(c, -1), 1).alias("x1"), F.element_at(F.element_at(c, -1), 2).alias("y1"))
+
+
 # Layout of the binary demand table: magic, version and count, then records of origin, destination and volume.
 DTAB_MAGIC, DTAB_VERSION, DTAB_HEADER = b"DTAB", 1, struct.Struct("<4siq")
 DTAB_RECORD = np.dtype([("o_zone_id", "<i4"), ("d_zone_id", "<i4"), ("volume", "<f8")])
 DTAB_CHUNK = 1 << 20
 
 
+def local_path(path: str) -> str:
+    """The path of a file that all machines have mounted."""
+    return unquote(urlparse(path).path) if path.startswith("file:") else path
+
+
 def dtab_records(path: str) -> int:
     """Records of a binary demand table; an error if header or size don't fit."""
     with open(path, "rb") as f:
@@ -121,7 +206,7 @@ class DtabSource(DataSource):
         return "o_zone_id int, d_zone_id int, volume double"
 
     def reader(self, schema) -> DataSourceReader:
-        return _DtabReader([unquote(urlparse(p).path) if p.startswith("file:") else p for p in self.options["path"].split(",")])
+        return _DtabReader([local_path(p) for p in self.options["path"].split(",")])
 
 
 def read_dtab(spark: SparkSession, path: str) -> DataFrame:

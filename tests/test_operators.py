@@ -170,7 +170,7 @@ def test_screen_and_regime(spark):
     rows = [("a", 60.0, 0.5, 30.0, 1500.0, 2000.0, 42.0, True)] * 12 + [("a", 60.0, 9.0, 30.0, 1500.0, 2000.0, 42.0, True), ("a", 60.0, 0.5, 45.0, None, 2000.0, 42.0, False), ("a", 900.0, 0.4, 30.0, 1500.0, 2000.0, 42.0, True)]
     got = screen.screen(spark.createDataFrame(rows, "g string, minutes double, doc double, min_speed double, mu double, capacity double, limit double, ok boolean"), ["g"], F.col("ok")).collect()
     hard = {r["hard"] for r in got}
-    assert "doc_too_high" in hard and "not_below_limit" in hard and sum(r["clean"] for r in got) >= 12
+    assert "doc_above_physical" in hard and "vt2_above_threshold" in hard and sum(r["clean"] for r in got) >= 12
     r = one(spark, *(screen.regime(F.lit(m), F.lit(v), F.lit(42.0)) for m, v in ((20.0, 10.0), (130.0, 20.0), (70.0, 30.0), (40.0, 30.0), (40.0, 50.0))))
     assert list(r) == ["uncongested", "severe", "recurring", "mild", "uncongested"]
 
