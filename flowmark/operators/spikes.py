@@ -7,9 +7,10 @@ remainders of the whole source pick the outlying readings; of these, groups of a
 they also stand apart from the line across them by eight times the source's usual reading-to-reading scatter. Runs of one
 unchanged value and readings outside the physical range are found separately.
 
-Everything that describes a source (scatter, usual interval, season, limit) is made over all its readings by mergeable exact
-counts of rounded values, and a source of many readings is scanned in shards of equal numbers of readings with an overlap
-that is longer than anything the scan looks at, so the result doesn't depend on how a source is split.
+Everything that describes a source (scatter, usual interval, season, limit) is made over all its readings from rounded values.
+A source of many readings is scanned in shards of equal numbers of readings with an overlap that is longer than anything the
+scan looks at, and described by mergeable exact counts; the others are described where they are scanned, by the same rules.
+So the result doesn't depend on how a source is split.
 """
 
 from __future__ import annotations
@@ -166,6 +167,31 @@ def _runs(v: np.ndarray) -> np.ndarray:
     return np.repeat(length, length)
 
 
+def _middle(x: np.ndarray, digits: int) -> float:
+    """The median of x rounded to so many digits, NaN without values."""
+    return float(np.median(np.floor(x * 10.0**digits + 0.5) / 10.0**digits)) if len(x) else float("nan")
+
+
+def describe(t: np.ndarray, v: np.ndarray) -> tuple[float, int, float, np.ndarray | None]:
+    """(scatter, n, quiet, medians) of a whole source, as source_scatters and source_seasons give them; t in microseconds."""
+    sane = (v >= LOWEST) & (v <= HIGHEST)
+    new = np.flatnonzero(t[1:] != t[:-1]) + 1
+    both = new[sane[new] & sane[new - 1]]
+    scatter = _middle(np.abs(v[both] - v[both - 1]), 3)
+    gap = _middle(np.minimum((t[new] - t[new - 1]) / 10_000_000, 8640.0), 0)
+    quiet = QUIET_S if np.isnan(gap) else max(QUIET_S, 80 * gap)
+    day, medians = t[sane] // 86_400_000_000, None
+    if len(day) >= 96 and day.max() - day.min() >= 2:
+        x, slot = np.floor(v[sane] * 10 + 0.5) / 10, t[sane] % 86_400_000_000 // (86_400_000_000 // SLOTS)
+        order = np.lexsort((x, slot))
+        n = np.bincount(slot, minlength=SLOTS)
+        start = np.cumsum(n) - n
+        x, has = x[order], n > 0
+        medians = np.full(SLOTS, np.nan)
+        medians[has] = 0.5 * x[(start + (n - 1) // 2)[has]] + 0.5 * x[(start + n // 2)[has]]
+    return 1.0 if np.isnan(scatter) else scatter, len(both), quiet, medians
+
+
 def _judge(t, v, halo, scatter, quiet, medians):
     """(rows, kinds, remainders, deviations, own remainders, first deliveries) of what is stuck, impossible or watched in one shard, whose rows are sorted by time, then id."""
     first = np.r_[True, t[1:] != t[:-1]]  # a re-delivery has the time of the reading
@@ -186,7 +212,9 @@ def _judge(t, v, halo, scatter, quiet, medians):
 _SCANNED = "reading_id bigint, tmc_code string, speed double, n bigint, kind string, remainder double, deviation double, own double, fresh boolean"
 
 
-def _scan(hold: int = 200_000):
+def _scan(whole: bool, seasonal: bool, hold: int = 200_000):
+    """A scan of sorted sources, which describes them itself if they are `whole`."""
+
     def run(batches):
         kept: list[pa.RecordBatch] = []
         rows = 0
@@ -198,19 +226,25 @@ def _scan(hold: int = 200_000):
             ends = np.r_[change[1:], len(codes)]
             if not final:
                 change, ends = change[:-1], ends[:-1]
-            t, v, halo = tab["us"].to_numpy(), tab["v"].to_numpy(), tab["halo"].to_numpy()
-            scatter, quiet, medians = tab["scatter"].to_numpy(), tab["quiet"].to_numpy(), tab["medians"].combine_chunks()
+            t, v, halo = (tab[c].to_numpy() for c in ("us", "v", "halo"))
+            if not whole:
+                scatter, quiet, n, medians = tab["scatter"].to_numpy(), tab["quiet"].to_numpy(), tab["n"].to_numpy(), tab["medians"].combine_chunks()
             out = []
             for a, b in zip(change, ends):
-                season = medians[int(a)].as_py()
-                got = _judge(t[a:b], v[a:b], halo[a:b], scatter[a], quiet[a], None if season is None else np.array(season, float))
+                if whole:
+                    about = describe(t[a:b], v[a:b])
+                    about = about if seasonal else (*about[:3], None)
+                else:
+                    season = medians[int(a)].as_py()
+                    about = scatter[a], n[a], quiet[a], None if season is None else np.array(season, float)
+                got = _judge(t[a:b], v[a:b], halo[a:b], about[0], about[2], about[3])
                 if len(got[0]):
-                    out.append((got[0] + a, *got[1:]))
+                    out.append((got[0] + a, *got[1:], np.full(len(got[0]), about[1], "int64")))
             if out:
-                at, kind, rem, dev, own, fresh = (np.concatenate(x) for x in zip(*out))
+                at, kind, rem, dev, own, fresh, size = (np.concatenate(x) for x in zip(*out))
                 rows = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [tab["reading_id"].combine_chunks().take(rows), k.take(rows).cast(pa.string()), pa.array(v[at]), tab["n"].combine_chunks().take(rows), pa.array(kind, pa.string()), pa.array(rem), pa.array(dev), pa.array(own), pa.array(fresh)],
+                    [tab["reading_id"].combine_chunks().take(rows), k.take(rows).cast(pa.string()), pa.array(v[at]), pa.array(size), pa.array(kind, pa.string()), pa.array(rem), pa.array(dev), pa.array(own), pa.array(fresh)],
                     names=[x.split()[0] for x in _SCANNED.split(", ")],
                 )
             return tab.slice(int(ends[-1]) if len(ends) else 0)
@@ -227,36 +261,37 @@ def _scan(hold: int = 200_000):
     return run
 
 
+def busy_sources(rows: DataFrame, hot: int) -> tuple[DataFrame, int]:
+    """Names (k) of the sources with more than `hot` rows, and their number."""
+    if hot < 2 * HALO:
+        raise ValueError(f"hot must be {2 * HALO} at least")
+    busy = cut(rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("k"), "busy")
+    n = busy.count()
+    return F.broadcast(busy) if n <= LISTED else busy, n
+
+
 def split_sources(rows: DataFrame, hot: int) -> DataFrame:
-    """rows (k, us, v, reading_id) with `shard` and `halo`: sources of more than `hot` rows come in shards of `hot` distinct times, overlapping by HALO.
+    """rows (k, us, v, reading_id) in shards of `hot` distinct times per source, overlapping by HALO: with `shard` and `halo`.
 
     The place of a time in its source is its place in the day, ranked per source and day, after the number of times on the
     days before; so no source is sorted as a whole. Rows of the overlap come twice, once as halo.
     """
-    if hot < 2 * HALO:
-        raise ValueError(f"hot must be {2 * HALO} at least")
-    busy = cut(rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("k"), "busy")
-    named = busy.count()
-    if not named:
-        return rows.withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
-    names = F.broadcast(busy) if named <= LISTED else busy
-    rest = rows.join(names, "k", "left_anti").withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
     day = F.floor(F.col("us") / 86_400_000_000)
-    parts = rows.join(names, "k", "left_semi").withColumn("day", day).withColumn("place", F.dense_rank().over(Window.partitionBy("k", "day").orderBy("us")))
+    parts = rows.withColumn("day", day).withColumn("place", F.dense_rank().over(Window.partitionBy("k", "day").orderBy("us")))
     days = parts.groupBy("k", "day").agg(F.max("place").alias("m"))
     before = F.coalesce(F.sum("m").over(Window.partitionBy("k").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row per day of a source
     place = F.col("before") + F.col("place") - 1
     parts = parts.join(days.select("k", "day", before.alias("before")), ["k", "day"]).withColumn("shard", F.floor(place / hot).cast("int")).withColumn("within", place % hot)
     side = lambda when, by: F.when(when, F.struct((F.col("shard") + by).alias("shard"), F.lit(True).alias("halo")))
     copies = F.array_compact(F.array(F.struct("shard", F.lit(False).alias("halo")), side((F.col("within") < HALO) & (F.col("shard") > 0), -1), side(F.col("within") >= hot - HALO, 1)))
-    return rest.unionByName(parts.select("k", "us", "v", "reading_id", F.explode(copies).alias("x")).select("k", "us", "v", "reading_id", "x.shard", "x.halo"))
+    return parts.select("k", "us", "v", "reading_id", F.explode(copies).alias("x")).select("k", "us", "v", "reading_id", "x.shard", "x.halo")
 
 
 def source_seasons(rows: DataFrame) -> DataFrame:
     """k, medians (by half hour of the day, of values rounded to tenths) of the sources with 96 plausible values or more over at least three days."""
     slot = F.floor(F.pmod(F.col("us"), F.lit(86_400_000_000)) / (86_400_000_000 // SLOTS)).cast("int")
     day = F.floor(F.col("us") / 86_400_000_000)
-    per = rows.where(F.col("v").between(LOWEST, HIGHEST)).groupBy("k", slot.alias("slot")).agg(F.percentile(F.round("v", 1), 0.5).alias("m"), F.count("*").alias("n"), F.min(day).alias("a"), F.max(day).alias("b"))
+    per = rows.where(F.col("v").between(LOWEST, HIGHEST)).groupBy("k", slot.alias("slot")).agg(F.percentile(F.floor(F.col("v") * 10 + 0.5) / 10, 0.5).alias("m"), F.count("*").alias("n"), F.min(day).alias("a"), F.max(day).alias("b"))
     per = per.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("slot", "m"))).alias("by"), F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))  # SLOTS rows at most
     per = per.where("n >= 96 and b - a >= 2")
     return per.select("k", F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.try_element_at("by", i)).alias("medians"))
@@ -268,7 +303,7 @@ def source_scatters(parts: DataFrame) -> DataFrame:
     sane = F.when(F.col("v").between(LOWEST, HIGHEST), F.col("v"))
     new = F.lag("us").over(w) < F.col("us")
     rows = parts.withColumn("d", F.when(new, F.abs(sane - F.lag(sane).over(w)))).withColumn("gap", F.when(new, F.least((F.col("us") - F.lag("us").over(w)) / 10_000_000, F.lit(8640.0))))
-    out = rows.where("not halo and gap is not null").groupBy("k").agg(F.percentile(F.round("d", 3), 0.5).alias("scatter"), F.count("d").alias("n"), F.percentile(F.round("gap"), 0.5).alias("gap"))
+    out = rows.where("not halo and gap is not null").groupBy("k").agg(F.percentile(F.floor(F.col("d") * 1000 + 0.5) / 1000, 0.5).alias("scatter"), F.count("d").alias("n"), F.percentile(F.floor(F.col("gap") + 0.5), 0.5).alias("gap"))
     return out.select("k", F.coalesce("scatter", F.lit(1.0)).alias("scatter"), "n", F.greatest(F.lit(QUIET_S), 80 * F.col("gap")).alias("quiet"))
 
 
@@ -294,16 +329,22 @@ def flag_implausible(df: DataFrame, row_id: str = "reading_id", key: str = "tmc_
     """
     rows = df.select(code(key).alias("k"), micros(ts).alias("us"), number(value).alias("v"), F.col(row_id).alias("reading_id"))
     rows = rows.where("k is not null and us is not null and v is not null and reading_id is not null")
-    parts = split_sources(rows, hot).repartition("k", "shard")
-    about = source_scatters(parts)
-    about = about.join(source_seasons(rows), "k", "left") if seasonal else about.withColumn("medians", F.lit(None).cast("array<double>"))
-    about = parts.select("k", "shard").distinct().join(about, "k", "left")  # by shard, so that the readings aren't gathered by source
-    ordered = parts.join(about, ["k", "shard"], "left")
-    w = Window.partitionBy("k", "shard").orderBy("us", "reading_id")
-    once = F.when(F.row_number().over(w) == 1, F.col("medians"))  # one season per shard is enough for the batch
-    fill = [F.coalesce("scatter", F.lit(1.0)).alias("scatter"), F.coalesce("quiet", F.lit(QUIET_S)).alias("quiet"), F.coalesce("n", F.lit(0)).alias("n")]
-    ordered = ordered.select("k", "shard", "us", "v", "reading_id", "halo", *fill, once.alias("medians")).sortWithinPartitions("k", "shard", "us", "reading_id")
-    found = cut(ordered.mapInArrow(_scan(), _SCANNED), "scanned")
+    names, n_busy = busy_sources(rows, hot)
+    calm = (rows.join(names, "k", "left_anti") if n_busy else rows).withColumn("shard", F.lit(0)).withColumn("halo", F.lit(False))
+    calm = calm.select("k", "shard", "us", "v", "reading_id", "halo").repartition("k").sortWithinPartitions("k", "us", "reading_id")
+    scanned = calm.mapInArrow(_scan(True, seasonal), _SCANNED)
+    if n_busy:
+        busy = rows.join(names, "k", "left_semi")
+        parts = split_sources(busy, hot).repartition("k", "shard")
+        about = source_scatters(parts)
+        about = about.join(source_seasons(busy), "k", "left") if seasonal else about.withColumn("medians", F.lit(None).cast("array<double>"))
+        about = parts.select("k", "shard").distinct().join(about, "k", "left")  # by shard, so that the readings aren't gathered by source
+        w = Window.partitionBy("k", "shard").orderBy("us", "reading_id")
+        once = F.when(F.row_number().over(w) == 1, F.col("medians"))  # one season per shard is enough for the batch
+        fill = [F.coalesce("scatter", F.lit(1.0)).alias("scatter"), F.coalesce("quiet", F.lit(QUIET_S)).alias("quiet"), F.coalesce("n", F.lit(0)).alias("n")]
+        ordered = parts.join(about, ["k", "shard"], "left").select("k", "shard", "us", "v", "reading_id", "halo", *fill, once.alias("medians")).sortWithinPartitions("k", "shard", "us", "reading_id")
+        scanned = scanned.unionByName(ordered.mapInArrow(_scan(False, seasonal), _SCANNED))
+    found = cut(scanned, "scanned")
     limits = source_limits(found.where("kind = 'watched'"), alpha)
     judged = found.where("kind <> 'watched' or deviation > 0").join(limits, "tmc_code", "left")
     spike = (F.col("kind") == "watched") & (F.col("own") >= F.col("limit"))
