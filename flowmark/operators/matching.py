@@ -112,7 +112,7 @@ def match_corridors(sensors: DataFrame, links: DataFrame, beam: int = 12) -> Dat
             options = {}
             for a, da in near(s.start_x, s.start_y):
                 for b, db in near(s.end_x, s.end_y):
-                    for _, path in k_paths(graph, a, b, 2, 4 * max(s.miles, 0.05)) if a != b else []:
+                    for _, path in k_paths(graph, a, b, PATHS, 4 * max(s.miles, 0.05)) if a != b else []:
                         at = [by_pair[e] for e in zip(path, path[1:])]
                         score, facts = _route_score(ln.iloc[at], s, da, db)
                         route = tuple(int(x) for x in ids[at])

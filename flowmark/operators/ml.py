@@ -92,3 +92,21 @@ def bootstrap_delta(df: DataFrame, group: str, a: str, b: str, rounds: int = 200
     weight = sum((F.when(u > c, 1).otherwise(0) for c in (0.367879, 0.735759, 0.919699, 0.981012, 0.996340, 0.999406)), F.lit(0))
     drawn = g.withColumn("r", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn("w", weight).groupBy("r").agg((F.sum(F.col("w") * F.col("s")) / F.nullif(F.sum(F.col("w") * F.col("n")), F.lit(0))).alias("m"))
     return drawn.agg(F.avg("m").alias("mean"), F.percentile("m", F.lit(0.05)).alias("low"), F.percentile("m", F.lit(0.95)).alias("high")).join(g.agg(F.count("*").alias("n_groups")))
+
+
+def importance(df: DataFrame, features: list[str], target: str, n: int) -> DataFrame:
+    """(feature, importance, place): the n features with the greatest absolute correlation with the target; ties by name. One row per feature is ranked."""
+    from pyspark.sql import Window
+
+    row = df.agg(*(F.round(F.abs(F.corr(target, f)), 7).alias(f) for f in features))
+    long = row.unpivot([], features, "feature", "importance").where("importance is not null and not isnan(importance)")
+    place = F.row_number().over(Window.orderBy(F.desc("importance"), "feature")).cast("bigint")
+    return long.withColumn("place", place).where(F.col("place") <= n)
+
+
+def leave_group_out(df: DataFrame, group: str, by: list[str], value: str) -> DataFrame:
+    """(group, by..., n_others, prior): the mean of a class without the group's own rows; null where it has no others. Sums are made once per class, not per group."""
+    own = df.groupBy(group, *by).agg(F.sum(value).alias("s"), F.count("*").alias("n"))
+    whole = own.groupBy(*by).agg(F.sum("s").alias("ws"), F.sum("n").alias("wn"))
+    rest = F.col("wn") - F.col("n")
+    return own.join(whole, by).select(group, *by, rest.alias("n_others"), ((F.col("ws") - F.col("s")) / F.nullif(rest, F.lit(0))).alias("prior"))

@@ -205,6 +205,11 @@ q AS (SELECT *, last_value(vf IGNORE NULLS) OVER b AS lv, position - last_value(
 WINDOW b AS (PARTITION BY corridor ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY corridor ORDER BY position ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
 
 
+def positions_with_speed(spark, d) -> DataFrame:
+    """Corridor members with their place along the corridor and their median free-flow speed, where known."""
+    return spatial.corridor_positions(corridor_members(spark, d), "corridor", ["road_order", "tmc"], "miles")
+
+
 def held_out(spark, d) -> DataFrame:
     """Corridor members whose code ends in 1, 4 or 7 lose their value, to be filled from neighbours."""
     c = corridor_members(spark, d).withColumn("vf", F.when(~F.substring("tmc", -1, 1).isin("1", "4", "7"), F.col("vf")))
