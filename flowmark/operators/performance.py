@@ -84,15 +84,16 @@ def build_links(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return ok.withColumn("fftt", 60 * F.col("length") / F.col("free_speed")).withColumn("area", facility_digit(F.col("link_type"), True)).withColumn("facility", facility_digit(F.col("link_type")))
 
 
-def overlay_boundaries(links: DataFrame, lookup: DataFrame, observed: DataFrame) -> DataFrame:
-    """t0, t2, t3 per link: cleared, then the completed lookup, then observed triplets; an observed link without episode clears all three.
+def overlay_boundaries(links: DataFrame, lookup: DataFrame, observed: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """t0, t2, t3 per link (or other keys): cleared, then the completed lookup, then observed triplets; an observed link without episode clears all three.
 
-    lookup: link_id, t0, t2, t3. observed: link_id, t0, t2, t3, congested. A triplet with a gap counts as no triplet.
+    lookup: keys, t0, t2, t3. observed: keys, t0, t2, t3, congested. A triplet with a gap counts as no triplet.
     """
+    keys = keys or ["link_id"]
     whole = lambda p: F.col(f"{p}t0").isNotNull() & F.col(f"{p}t2").isNotNull() & F.col(f"{p}t3").isNotNull()
-    a = lookup.select("link_id", *(F.col(c).alias(f"l_{c}") for c in ("t0", "t2", "t3")))
-    b = observed.select("link_id", "congested", *(F.col(c).alias(f"o_{c}") for c in ("t0", "t2", "t3")))
-    j = links.select("link_id").join(a, "link_id", "left").join(b, "link_id", "left")
+    a = lookup.select(*keys, *(F.col(c).alias(f"l_{c}") for c in ("t0", "t2", "t3")))
+    b = observed.select(*keys, "congested", *(F.col(c).alias(f"o_{c}") for c in ("t0", "t2", "t3")))
+    j = links.select(*keys).join(a, keys, "left").join(b, keys, "left")
     source = F.when(F.col("congested") & whole("o_"), "observed").when(F.col("congested").isNotNull() & ~F.col("congested"), "observed_no_congestion").when(whole("l_"), "lookup").otherwise("none")
     pick = lambda c: F.when(source == "observed", F.col(f"o_{c}")).when(source == "lookup", F.col(f"l_{c}")).alias(c)
-    return j.select("link_id", pick("t0"), pick("t2"), pick("t3"), source.alias("source"))
+    return j.select(*keys, pick("t0"), pick("t2"), pick("t3"), source.alias("source"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +41,56 @@ def spatial_tiers(df: DataFrame, by: list[str], position: str, value: str, wides
     return d.withColumn("tier", tier).withColumn("filled", filled).withColumn("confidence", label)
 
 
+def _not_above(x: np.ndarray, y: np.ndarray, s: float) -> int:
+    """Pairs with different x whose slope is at most s, by sorted blocks that are merged level by level; x ascending, ties in x by y descending."""
+    z = y - s * x
+    n, width, total = len(z), 1, 0
+    # a pair counts if the later z is not above the earlier one; pairs of one x were put in descending y, so that they all count, and are taken off
+    while width < n:
+        for a in range(0, n - width, 2 * width):
+            left, right = z[a : a + width], z[a + width : a + 2 * width]
+            total += len(left) * len(right) - int(np.searchsorted(left, right, "left").sum())
+            z[a : a + 2 * width] = np.sort(z[a : a + 2 * width])
+        width *= 2
+    c = np.unique(x, return_counts=True)[1]
+    return total - int((c * (c - 1) // 2).sum())
+
+
+def median_slope(x: np.ndarray, y: np.ndarray) -> float:
+    """The median of the slopes of all pairs with different x, found by bisection over the slope with pairs counted, not made."""
+    order = np.lexsort((-y, x))
+    x, y = x[order], y[order]
+    c = np.unique(x, return_counts=True)[1]
+    pairs = len(x) * (len(x) - 1) // 2 - int((c * (c - 1) // 2).sum())
+    if not pairs:
+        return float("nan")
+    if len(x) <= 64:
+        i, j = np.triu_indices(len(x), 1)
+        apart = x[j] > x[i]
+        return float(np.median((y[j] - y[i])[apart] / (x[j] - x[i])[apart]))
+    bound = float((y.max() - y.min()) / np.diff(np.unique(x)).min()) + 1.0
+
+    def kth(k: int) -> float:
+        low, high = -bound, bound
+        for _ in range(80):
+            mid = (low + high) / 2
+            low, high = (low, mid) if _not_above(x, y, mid) >= k else (mid, high)
+        return high
+
+    return (kth((pairs + 1) // 2) + kth(pairs // 2 + 1)) / 2
+
+
 def theil_sen(df: DataFrame, by: list[str], x: str, y: str, limit: float = 20.0, least: int = 3) -> DataFrame:
-    """(by..., n, slope): median of the slopes of all pairs, within ±limit; for small groups (members of a corridor) by construction."""
+    """(by..., n, slope): median of the slopes of all pairs, within ±limit; null if all x of a group are the same. Pairs are counted, never made."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    g = d.groupBy(*by).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("x", "y"))).alias("p")).where(F.col("n") >= least)
-    slopes = F.expr("flatten(transform(p, (a, i) -> transform(filter(slice(p, i + 2, greatest(size(p) - i - 1, 0)), b -> b.x > a.x), b -> (b.y - a.y) / (b.x - a.x))))")
-    s = g.select(*by, "n", F.explode(slopes).alias("s"))
-    return s.groupBy(*by, "n").agg(clip(F.median("s"), -limit, limit).alias("slope"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.select(*by).schema)
+
+    def fit(g: pd.DataFrame) -> pd.DataFrame:
+        rows = {**{k: [g[k].iloc[0]] for k in by}, "n": [len(g)], "slope": [median_slope(g["x"].to_numpy(), g["y"].to_numpy()) if len(g) >= least else float("nan")]}
+        return pd.DataFrame(rows)
+
+    s = d.groupBy(*by).applyInPandas(fit, f"{kinds}, n bigint, slope double").where(F.col("n") >= least)
+    return s.select(*by, "n", clip(F.nanvl("slope", F.lit(None).cast("double")), -limit, limit).alias("slope")).where("slope is not null")
 
 
 def nearby_pairs(points: DataFrame, segments: DataFrame, radius_m: float, most: int = 8, widest_angle: float = 75.0) -> DataFrame:

@@ -9,7 +9,7 @@ from flowmark.functions import clock, physics
 from flowmark.functions.registry import register
 from flowmark.operators import classes, islands, matching, profiles, ranking, spatial
 from flowmark.plans.measurement import _F, _M, _PERIOD, _S, _W, registry, slots, thresholds
-from flowmark.plans.relational import _BR, _J, _L, _MAP, _REP, held_out, joined, links, mapping
+from flowmark.plans.relational import _ALL, _BR, _J, _L, _MAP, _REP, held_out, joined, links, mapping, positions_with_speed
 from flowmark.session import table
 
 QUERIES, SQL = {}, {}
@@ -71,7 +71,7 @@ def metrics_tables(spark, d):
     return g.select("corridor", F.coalesce("period", F.lit("DAY")).alias("period"), "n", "speed", "share", status.alias("status"))
 
 
-@query(f"""WITH {_BR}, b AS (SELECT *, ntile(5) OVER (PARTITION BY corridor ORDER BY position) AS block FROM p WHERE vf IS NOT NULL), f AS (SELECT unnest(range(1, 6)) AS fold),
+@query(f"""WITH {_ALL}, b AS (SELECT * EXCLUDE (fold), ntile(5) OVER (PARTITION BY corridor ORDER BY position) AS block FROM p WHERE vf IS NOT NULL), f AS (SELECT unnest(range(1, 6)) AS fold),
 z AS (SELECT fold, corridor, tmc, position, vf, CASE WHEN block <> fold THEN vf END AS known, block FROM b, f),
 y AS (SELECT *, last_value(known IGNORE NULLS) OVER a AS lv, position - last_value(CASE WHEN known IS NOT NULL THEN position END IGNORE NULLS) OVER a AS lg, first_value(known IGNORE NULLS) OVER c AS rv, first_value(CASE WHEN known IS NOT NULL THEN position END IGNORE NULLS) OVER c - position AS rg FROM z
 WINDOW a AS (PARTITION BY fold, corridor ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), c AS (PARTITION BY fold, corridor ORDER BY position ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
@@ -79,7 +79,7 @@ SELECT CASE WHEN lv IS NOT NULL AND rv IS NOT NULL THEN 'bracketed' WHEN lv IS N
 FROM y WHERE block = fold GROUP BY 1""")
 def blocked_validation(spark, d):
     """Anchors held out in five blocks along each corridor and filled from the others."""
-    b = held_out(spark, d).where("vf is not null").withColumn("block", F.ntile(5).over(Window.partitionBy("corridor").orderBy("position")))
+    b = positions_with_speed(spark, d).where("vf is not null").withColumn("block", F.ntile(5).over(Window.partitionBy("corridor").orderBy("position")))
     z = b.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(5)))).withColumn("known", F.when(F.col("block") != F.col("fold"), F.col("vf")))
     y = spatial.bracket(z, ["fold", "corridor"], "position", "known").where("block = fold")
     guess = F.coalesce(F.col("left") + (F.col("right") - F.col("left")) * physics.div(F.col("left_gap"), F.col("left_gap") + F.col("right_gap")), "left", "right")
@@ -108,26 +108,26 @@ def source_chains(spark, d):
     return matching.predecessors(sensor_ends(spark, d), 20_000.0).withColumn("gap_ft", F.round("gap_ft", 6))
 
 
-@query(f"""WITH {_BR}, t AS (SELECT tmc, corridor, lg, rg, lv, rv, vf, regexp_matches(corridor, '(?i)(HOV|EXPRESS|HOT|MANAGED)') AS managed FROM q) SELECT tmc, CASE WHEN vf IS NOT NULL THEN 0 WHEN managed THEN 1 WHEN least(lg, rg) * 5280 <= 500 THEN 2 WHEN least(lg, rg) <= 1 THEN 3 WHEN least(lg, rg) <= 5 THEN 4 ELSE 9 END AS tier,
+@query(f"""WITH {_BR}, t AS (SELECT fold, tmc, corridor, lg, rg, lv, rv, vf, regexp_matches(corridor, '(?i)(HOV|EXPRESS|HOT|MANAGED)') AS managed FROM q) SELECT fold, tmc, CASE WHEN vf IS NOT NULL THEN 0 WHEN managed THEN 1 WHEN least(lg, rg) * 5280 <= 500 THEN 2 WHEN least(lg, rg) <= 1 THEN 3 WHEN least(lg, rg) <= 5 THEN 4 ELSE 9 END AS tier,
 round(CASE WHEN lv IS NULL OR rv IS NULL THEN NULL ELSE least(greatest((lv * 0.5 + rv * 0.5) * exp(-least(lg, rg) / 1.5) + 60.0 * (1 - exp(-least(lg, rg) / 1.5)), least(lv, rv, 60.0)), greatest(lv, rv, 60.0)) END, 8) AS blend FROM t""")
 def treatment_tiers(spark, d):
     from flowmark.functions import text
 
-    b = spatial.bracket(held_out(spark, d), ["corridor"], "position", "vf")
+    b = spatial.bracket(held_out(spark, d), ["fold", "corridor"], "position", "vf")
     gap = F.least("left_gap", "right_gap")
     tier = F.when(F.col("vf").isNotNull(), 0).otherwise(spatial.treatment_tier(text.is_managed(F.col("corridor")), gap * 5280, gap))
     both = F.col("left").isNotNull() & F.col("right").isNotNull()
-    return b.select("tmc", tier.alias("tier"), F.when(both, spatial.profile_blend(F.col("left"), F.col("right"), F.lit(0.5), F.lit(60.0), gap, 1.5)).alias("blend"))
+    return b.select("fold", "tmc", tier.alias("tier"), F.when(both, spatial.profile_blend(F.col("left"), F.col("right"), F.lit(0.5), F.lit(60.0), gap, 1.5)).alias("blend"))
 
 
-@query(f"""WITH {_BR}, t AS (SELECT tmc, vf, lg, rg, lv, rv, coalesce(least(lg, rg), 99) AS gap FROM q WHERE vf IS NULL) SELECT tmc, CASE WHEN lv IS NULL AND gap <= 1 THEN 'before_first_within_1_mi' WHEN rv IS NULL AND gap <= 1 THEN 'after_last_within_1_mi' WHEN (lv IS NULL OR rv IS NULL) AND gap <= 5 THEN 'outside_within_5_mi' WHEN lv IS NULL OR rv IS NULL THEN 'outside_beyond_5_mi'
+@query(f"""WITH {_BR}, t AS (SELECT fold, tmc, vf, lg, rg, lv, rv, coalesce(least(lg, rg), 99) AS gap FROM q WHERE vf IS NULL) SELECT fold, tmc, CASE WHEN lv IS NULL AND gap <= 1 THEN 'before_first_within_1_mi' WHEN rv IS NULL AND gap <= 1 THEN 'after_last_within_1_mi' WHEN (lv IS NULL OR rv IS NULL) AND gap <= 5 THEN 'outside_within_5_mi' WHEN lv IS NULL OR rv IS NULL THEN 'outside_beyond_5_mi'
 WHEN (lg + rg) * 5280 <= 500 THEN 'between_anchors' ELSE 'within_corridor' END AS reason FROM t""")
 def unmatched_reasons(spark, d):
-    b = spatial.bracket(held_out(spark, d), ["corridor"], "position", "vf").where("vf is null")
+    b = spatial.bracket(held_out(spark, d), ["fold", "corridor"], "position", "vf").where("vf is null")
     yes, no = F.lit(True), F.lit(False)
     gap = F.coalesce(F.least("left_gap", "right_gap"), F.lit(99.0))
     reason = classes.unmatched_reason({"transition": no, "same_class": yes, "gap_mi": gap, "before": F.col("left").isNull(), "after": F.col("right").isNull(), "same_direction": yes, "connector": no, "managed": no, "between_ft": (F.col("left_gap") + F.col("right_gap")) * 5280, "within": yes, "terminal": no})
-    return b.select("tmc", reason.alias("reason"))
+    return b.select("fold", "tmc", reason.alias("reason"))
 
 
 @query(f"""WITH {_XY}, c AS (SELECT corridor, arg_min(sx, (coalesce(road_order, 1e9), tmc)) AS ax, arg_min(sy, (coalesce(road_order, 1e9), tmc)) AS ay, arg_min(ex, (coalesce(road_order, 1e9), tmc)) AS bx, arg_min(ey, (coalesce(road_order, 1e9), tmc)) AS byy FROM g GROUP BY corridor),
@@ -140,15 +140,9 @@ def ray_relations(spark, d):
     return g.join(first, "corridor").select("tmc", x.alias("x")).select("tmc", *(F.round(f"x.{c}", 5).alias(c) for c in ("along", "lateral", "score")))
 
 
-@query(f"""WITH {_J} SELECT perf_id FROM j WHERE NOT EXISTS (SELECT 1 FROM tmc_mapping m WHERE m.from_node_id = j.from_node_id AND m.to_node_id = j.to_node_id) AND period = 'AM'""")
+@query(f"""WITH {_J} SELECT perf_id, period FROM j WHERE NOT EXISTS (SELECT 1 FROM tmc_mapping m WHERE m.from_node_id = j.from_node_id AND m.to_node_id = j.to_node_id)""")
 def unmatched_override_keys(spark, d):
     """Keys of one table that another lacks: the check before overrides are applied."""
-    return joined(spark, d).where("period = 'AM'").join(table(spark, d, "tmc_mapping"), ["from_node_id", "to_node_id"], "left_anti").select("perf_id")
-
-
-@query(f"""WITH {_J} SELECT perf_id, period FROM j WHERE NOT EXISTS (SELECT 1 FROM tmc_mapping m WHERE m.from_node_id = j.from_node_id AND m.to_node_id = j.to_node_id)""")
-def unmatched_override_keys_by_period(spark, d):
-    """The same check over the rows of all periods."""
     return joined(spark, d).join(table(spark, d, "tmc_mapping"), ["from_node_id", "to_node_id"], "left_anti").select("perf_id", "period")
 
 

@@ -198,11 +198,14 @@ def corridor_members(spark, d) -> DataFrame:
     return meta.select(F.concat_ws(" ", "road", "direction").alias("corridor"), "tmc", "road_order", "miles").join(vf, "tmc", "left")
 
 
-_BR = f"""{_M}, c AS (SELECT road || ' ' || direction AS corridor, tmc, road_order, miles, CASE WHEN hash_ok THEN vf END AS vf FROM (SELECT meta.*, stage.vf, substr(tmc, -1) NOT IN ('1', '4', '7') AS hash_ok FROM meta
-LEFT JOIN (SELECT upper(trim(tmc_code)) AS k, median(free_flow_speed_model_mph) AS vf FROM stage0_outputs GROUP BY 1) stage ON meta.tmc = stage.k WHERE place = 1 AND road IS NOT NULL AND direction IS NOT NULL AND miles > 0)),
-p AS (SELECT *, sum(miles) OVER (PARTITION BY corridor ORDER BY road_order ASC NULLS FIRST, tmc ROWS UNBOUNDED PRECEDING) - miles / 2 AS position FROM c),
+_BR = f"""{_M}, c AS (SELECT road || ' ' || direction AS corridor, tmc, road_order, miles, fold, CASE WHEN ascii(substr(tmc, -1)) % 3 <> fold THEN vf END AS vf FROM (SELECT meta.*, stage.vf FROM meta
+LEFT JOIN (SELECT upper(trim(tmc_code)) AS k, median(free_flow_speed_model_mph) AS vf FROM stage0_outputs GROUP BY 1) stage ON meta.tmc = stage.k WHERE place = 1 AND road IS NOT NULL AND direction IS NOT NULL AND miles > 0), (VALUES (0), (1), (2)) folds(fold)),
+p AS (SELECT *, sum(miles) OVER (PARTITION BY fold, corridor ORDER BY road_order ASC NULLS FIRST, tmc ROWS UNBOUNDED PRECEDING) - miles / 2 AS position FROM c),
 q AS (SELECT *, last_value(vf IGNORE NULLS) OVER b AS lv, position - last_value(CASE WHEN vf IS NOT NULL THEN position END IGNORE NULLS) OVER b AS lg, first_value(vf IGNORE NULLS) OVER a AS rv, first_value(CASE WHEN vf IS NOT NULL THEN position END IGNORE NULLS) OVER a - position AS rg FROM p
-WINDOW b AS (PARTITION BY corridor ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY corridor ORDER BY position ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+WINDOW b AS (PARTITION BY fold, corridor ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), a AS (PARTITION BY fold, corridor ORDER BY position ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))"""
+
+
+_ALL = _BR.replace("(VALUES (0), (1), (2))", "(VALUES (3))")  # nothing is held out
 
 
 def positions_with_speed(spark, d) -> DataFrame:
@@ -211,29 +214,29 @@ def positions_with_speed(spark, d) -> DataFrame:
 
 
 def held_out(spark, d) -> DataFrame:
-    """Corridor members whose code ends in 1, 4 or 7 lose their value, to be filled from neighbours."""
-    c = corridor_members(spark, d).withColumn("vf", F.when(~F.substring("tmc", -1, 1).isin("1", "4", "7"), F.col("vf")))
-    return spatial.corridor_positions(c, "corridor", ["road_order", "tmc"], "miles")
+    """Corridor members three times (fold): in each, a third of them, by the last character of their code, lose their value, to be filled from neighbours. So every member is held out once."""
+    c = positions_with_speed(spark, d).withColumn("fold", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return c.withColumn("vf", F.when(F.ascii(F.substring("tmc", -1, 1)) % 3 != F.col("fold"), F.col("vf")))
 
 
 @query(f"""WITH {_BR}, t AS (SELECT *, CASE WHEN vf IS NOT NULL THEN 'A' WHEN lg + rg <= 10 THEN 'B' WHEN least(lg, rg) <= 5 THEN 'C' END AS tier FROM q)
-SELECT tmc, tier, round(CASE tier WHEN 'A' THEN vf WHEN 'B' THEN coalesce(lv + (rv - lv) * lg / nullif(lg + rg, 0), lv) WHEN 'C' THEN CASE WHEN lg <= coalesce(rg, 'infinity'::DOUBLE) THEN lv ELSE rv END END, 8) AS filled,
+SELECT fold, tmc, tier, round(CASE tier WHEN 'A' THEN vf WHEN 'B' THEN coalesce(lv + (rv - lv) * lg / nullif(lg + rg, 0), lv) WHEN 'C' THEN CASE WHEN lg <= coalesce(rg, 'infinity'::DOUBLE) THEN lv ELSE rv END END, 8) AS filled,
 CASE WHEN tier = 'A' THEN 'observed' WHEN tier = 'B' AND lg + rg <= 5 THEN 'high' WHEN tier = 'B' THEN 'medium' WHEN tier = 'C' THEN 'low' ELSE 'none' END AS confidence FROM t""")
 def spatial_tiers(spark, d):
     """As-of neighbours on both sides along the corridor; tiers A, B, C."""
-    return rounded(spatial.spatial_tiers(held_out(spark, d), ["corridor"], "position", "vf").select("tmc", "tier", "filled", "confidence"))
+    return rounded(spatial.spatial_tiers(held_out(spark, d), ["fold", "corridor"], "position", "vf").select("fold", "tmc", "tier", "filled", "confidence"))
 
 
-@query(f"WITH {_BR} SELECT tmc, round(CASE WHEN lg IS NULL THEN rv WHEN rg IS NULL THEN lv WHEN lg <= rg THEN lv ELSE rv END, 8) AS nearest, round(least(lg, rg), 8) AS gap FROM q WHERE lv IS NOT NULL OR rv IS NOT NULL")
+@query(f"WITH {_BR} SELECT fold, tmc, round(CASE WHEN lg IS NULL THEN rv WHEN rg IS NULL THEN lv WHEN lg <= rg THEN lv ELSE rv END, 8) AS nearest, round(least(lg, rg), 8) AS gap FROM q WHERE lv IS NOT NULL OR rv IS NOT NULL")
 def nearest_anchor(spark, d):
-    b = spatial.bracket(held_out(spark, d), ["corridor"], "position", "vf").where("left is not null or right is not null")
-    return rounded(b.select("tmc", F.when(F.col("left_gap").isNull(), F.col("right")).when(F.col("right_gap").isNull() | (F.col("left_gap") <= F.col("right_gap")), F.col("left")).otherwise(F.col("right")).alias("nearest"), F.least("left_gap", "right_gap").alias("gap")))
+    b = spatial.bracket(held_out(spark, d), ["fold", "corridor"], "position", "vf").where("left is not null or right is not null")
+    return rounded(b.select("fold", "tmc", F.when(F.col("left_gap").isNull(), F.col("right")).when(F.col("right_gap").isNull() | (F.col("left_gap") <= F.col("right_gap")), F.col("left")).otherwise(F.col("right")).alias("nearest"), F.least("left_gap", "right_gap").alias("gap")))
 
 
-@query(f"""WITH {_BR}, k AS (SELECT corridor, position AS x, vf AS y FROM p WHERE vf IS NOT NULL), n AS (SELECT corridor, count(*) AS n FROM k GROUP BY corridor HAVING count(*) >= 3),
+@query(f"""WITH {_ALL}, k AS (SELECT corridor, position AS x, vf AS y FROM p WHERE vf IS NOT NULL), n AS (SELECT corridor, count(*) AS n FROM k GROUP BY corridor HAVING count(*) >= 3),
 s AS (SELECT a.corridor, median((b.y - a.y) / (b.x - a.x)) AS slope FROM k a JOIN k b ON a.corridor = b.corridor AND a.x < b.x GROUP BY a.corridor) SELECT corridor, n, round(least(greatest(slope, -20), 20), 8) AS slope FROM n JOIN s USING (corridor)""")
 def theil_sen_slope(spark, d):
-    return rounded(spatial.theil_sen(held_out(spark, d), ["corridor"], "position", "vf"))
+    return rounded(spatial.theil_sen(positions_with_speed(spark, d), ["corridor"], "position", "vf"))
 
 
 # ---- aggregations ---------------------------------------------------------------------------------------------------
@@ -429,19 +432,9 @@ def hybrid_precedence(spark, d):
     return out
 
 
-@query(f"""WITH {_L}, t AS (SELECT lk.link_id, link_type, max(t2_hour) FILTER (t2_hour >= 0) AS own FROM lk LEFT JOIN link_t2 x ON lk.link_id = x.link_id AND x.period = 'AM' GROUP BY ALL), m AS (SELECT link_type, avg(own) AS v FROM t WHERE own IS NOT NULL GROUP BY link_type)
-SELECT link_id, round(coalesce(own, m.v), 8) AS t2, CASE WHEN own IS NOT NULL THEN 'carried_original' WHEN m.v IS NOT NULL THEN 'propagated' ELSE 'unmatched' END AS status FROM t LEFT JOIN m ON t.link_type = m.link_type""")
-def class_propagation(spark, d):
-    own = table(spark, d, "link_t2").where("period = 'AM' and t2_hour >= 0").groupBy("link_id").agg(F.max("t2_hour").alias("own"))
-    t = links(spark, d).select("link_id", "link_type").join(own, "link_id", "left")
-    m = t.where("own is not null").groupBy("link_type").agg(F.avg("own").alias("v"))
-    status = F.when(F.col("own").isNotNull(), "carried_original").when(F.col("v").isNotNull(), "propagated").otherwise("unmatched")
-    return t.join(m, "link_type", "left").select("link_id", r(F.coalesce("own", "v")).alias("t2"), status.alias("status"))
-
-
 @query(f"""WITH {_L}, k AS (SELECT unnest(['AM', 'MD', 'PM', 'NT']) AS period), t AS (SELECT lk.link_id, k.period, link_type, max(t2_hour) FILTER (t2_hour >= 0) AS own FROM lk CROSS JOIN k LEFT JOIN link_t2 x ON lk.link_id = x.link_id AND x.period = k.period GROUP BY ALL), m AS (SELECT link_type, period, avg(own) AS v FROM t WHERE own IS NOT NULL GROUP BY link_type, period)
 SELECT link_id, t.period, round(coalesce(own, m.v), 8) AS t2, CASE WHEN own IS NOT NULL THEN 'carried_original' WHEN m.v IS NOT NULL THEN 'propagated' ELSE 'unmatched' END AS status FROM t LEFT JOIN m ON t.link_type = m.link_type AND t.period = m.period""")
-def class_propagation_by_period(spark, d):
+def class_propagation(spark, d):
     """The same for each period: a link takes over the mean of its type in that period."""
     own = table(spark, d, "link_t2").where("t2_hour >= 0").groupBy("link_id", "period").agg(F.max("t2_hour").alias("own"))
     t = links(spark, d).select("link_id", "link_type", F.explode(F.array(*map(F.lit, PERIODS))).alias("period")).join(own, ["link_id", "period"], "left")
@@ -450,16 +443,19 @@ def class_propagation_by_period(spark, d):
     return t.join(m, ["link_type", "period"], "left").select("link_id", "period", r(F.coalesce("own", "v")).alias("t2"), status.alias("status"))
 
 
-@query(f"""WITH {_L}, {_REP}, o AS (SELECT link_id, t0_hour AS t0, t2_hour AS t2, t3_hour AS t3, coalesce(p_hr > 0, false) AS congested FROM rep WHERE place = 1 AND period = 'AM'), q AS (SELECT link_id, median(t0_hour) AS t0, median(t2_hour) AS t2, median(t3_hour) AS t3 FROM link_t2 WHERE period = 'MD' AND link_id IS NOT NULL GROUP BY link_id),
-s AS (SELECT lk.link_id, q.t0 AS a0, q.t2 AS a2, q.t3 AS a3, o.t0 AS b0, o.t2 AS b2, o.t3 AS b3, CASE WHEN congested AND o.t0 IS NOT NULL AND o.t2 IS NOT NULL AND o.t3 IS NOT NULL THEN 'observed' WHEN congested IS NOT NULL AND NOT congested THEN 'observed_no_congestion' WHEN q.t0 IS NOT NULL AND q.t2 IS NOT NULL AND q.t3 IS NOT NULL THEN 'lookup' ELSE 'none' END AS source
-FROM lk LEFT JOIN q ON lk.link_id = q.link_id LEFT JOIN o ON lk.link_id = o.link_id)
-SELECT link_id, round(CASE source WHEN 'observed' THEN b0 WHEN 'lookup' THEN a0 END, 8) AS t0, round(CASE source WHEN 'observed' THEN b2 WHEN 'lookup' THEN a2 END, 8) AS t2, round(CASE source WHEN 'observed' THEN b3 WHEN 'lookup' THEN a3 END, 8) AS t3, source FROM s""")
+@query(f"""WITH {_L}, {_REP}, pd AS (SELECT unnest(['AM', 'MD', 'PM', 'NT']) AS period), o AS (SELECT link_id, period, t0_hour AS t0, t2_hour AS t2, t3_hour AS t3, coalesce(p_hr > 0, false) AS congested FROM rep WHERE place = 1), q AS (SELECT link_id, median(t0_hour) AS t0, median(t2_hour) AS t2, median(t3_hour) AS t3 FROM link_t2 WHERE link_id IS NOT NULL GROUP BY link_id),
+s AS (SELECT lk.link_id, pd.period, q.t0 AS a0, q.t2 AS a2, q.t3 AS a3, o.t0 AS b0, o.t2 AS b2, o.t3 AS b3, CASE WHEN congested AND o.t0 IS NOT NULL AND o.t2 IS NOT NULL AND o.t3 IS NOT NULL THEN 'observed' WHEN congested IS NOT NULL AND NOT congested THEN 'observed_no_congestion' WHEN q.t0 IS NOT NULL AND q.t2 IS NOT NULL AND q.t3 IS NOT NULL THEN 'lookup' ELSE 'none' END AS source
+FROM lk, pd LEFT JOIN q ON lk.link_id = q.link_id LEFT JOIN o ON lk.link_id = o.link_id AND pd.period = o.period)
+SELECT link_id, period, round(CASE source WHEN 'observed' THEN b0 WHEN 'lookup' THEN a0 END, 8) AS t0, round(CASE source WHEN 'observed' THEN b2 WHEN 'lookup' THEN a2 END, 8) AS t2, round(CASE source WHEN 'observed' THEN b3 WHEN 'lookup' THEN a3 END, 8) AS t3, source FROM s""")
 def boundary_overlay(spark, d):
+    """Every link's boundaries in every period: the observed ones, else the link's medians over all its episodes."""
     t = table(spark, d, "link_t2").where("link_id is not null")
     cols = [F.col(f"{c}_hour").alias(c) for c in ("t0", "t2", "t3")]
-    observed = ranking.representative(t.where("period = 'AM'"), ["link_id"]).select("link_id", *cols, F.coalesce(F.col("p_hr") > 0, F.lit(False)).alias("congested"))
-    lookup = t.where("period = 'MD'").groupBy("link_id").agg(*(F.median(f"{c}_hour").alias(c) for c in ("t0", "t2", "t3")))
-    return rounded(performance.overlay_boundaries(links(spark, d), lookup, observed))
+    observed = ranking.representative(t, ["link_id", "period"]).select("link_id", "period", *cols, F.coalesce(F.col("p_hr") > 0, F.lit(False)).alias("congested"))
+    lookup = t.groupBy("link_id").agg(*(F.median(f"{c}_hour").alias(c) for c in ("t0", "t2", "t3")))
+    every = F.explode(F.array(*map(F.lit, ("AM", "MD", "PM", "NT"))))
+    lookup = lookup.withColumn("period", every)
+    return rounded(performance.overlay_boundaries(links(spark, d).withColumn("period", every), lookup, observed, ["link_id", "period"]))
 
 
 # ---- classes and links ----------------------------------------------------------------------------------------------

@@ -33,8 +33,8 @@ def test_entry(spark):
 
 
 def test_all_periods_and_bins(spark):
-    """What the AM queries and the narrow panels leave out comes out of their whole counterparts."""
-    for name in ("reconstructed_speeds_by_period", "unmatched_override_keys_by_period", "class_propagation_by_period"):
+    """All periods and all bins of the day take part."""
+    for name in ("reconstructed_speeds", "unmatched_override_keys", "class_propagation", "boundary_overlay"):
         assert {r["period"] for r in QUERIES[name](spark, DATA).select("period").distinct().collect()} >= {"AM", "MD", "PM", "NT"}, name
-    assert len(QUERIES["profile_panel_day"](spark, DATA).columns) == 97
-    assert QUERIES["wide_profile_to_long_day"](spark, DATA).select("t_min").distinct().count() == 96
+    assert len(QUERIES["profile_panel"](spark, DATA).columns) == 97
+    assert QUERIES["wide_profile_to_long"](spark, DATA).select("t_min").distinct().count() == 96
