@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_CUTS: list[str] = []  # folders written by cut() in this process
+_CUTS: list[str] = []  # folders written by cut() and the like in this process
+_TABLES: list[str] = []  # tables of bucketed()
 
 #: Characters counted as blanks around a code.
 BLANKS = " \t\r\n"
@@ -49,9 +50,29 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, label: str, keys: list[str], buckets: int) -> DataFrame:
+    """df in the shared folder, hashed by keys into files, so that joins on the keys move only their other side. release() drops it."""
+    path, spark = scratch(df.sparkSession, label), df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    _TABLES.append(name)
+    return spark.table(name)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files behind a table that cut() returned, once nothing reads it any more."""
+    spark, paths = df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for known in [c for c in _CUTS if any(p.split(":", 1)[-1].lstrip("/") == c.split(":", 1)[-1].lstrip("/") for p in paths)]:
+        _CUTS.remove(known)
+        p = spark._jvm.org.apache.hadoop.fs.Path(known)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables behind all cuts of this process, once no result that reads them is needed any more; returns their number."""
     jvm, n = spark._jvm, len(_CUTS)
+    while _TABLES:
+        spark.sql(f"drop table if exists {_TABLES.pop()}")
     while _CUTS:
         p = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
