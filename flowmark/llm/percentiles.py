@@ -1,10 +1,12 @@
 """Percentiles of very large numeric columns (problem 1).
 
 Exact: distributed multi-select. The values of a key and day are kept as sorted runs of bounded length. In each round every
-run proposes, from what is still possible of a target (a key, a span of days and a rank), the local value at the target's
-relative rank (every third round the local median, which guarantees progress); the weighted median of the proposals becomes
-the pivot; all runs count values below, equal and above it; the ruled-out range is discarded. Rounds go on until a target is
-found or at most FEW candidates are left, which are then gathered. Only counts, proposals and those few values are shuffled.
+run cuts what is still possible of a target (a key, a span of days and a rank) into SLICES slices and proposes their local
+medians, weighted by their sizes. Of the proposals of all runs the weighted median at the target's rank becomes a pivot, and
+so do the nearest ones on either side that are sure to lie beyond the target, whatever the slices hide. All runs count values
+below, equal and above the pivots three ways; the ruled-out ranges are discarded. A round leaves about 3 / SLICES of the
+candidates, so a target of 10^9 values needs six. Rounds go on until a target is found or at most FEW candidates are left,
+which are then gathered. Only counts, proposals and those few values are shuffled; the runs stay in their buckets.
 
 Mergeable: a digest of counts per key, day and bin of fixed width. Digests of files, partitions and days add up, and a
 percentile from them is within half a bin of the exact one between ranks.
@@ -14,14 +16,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmark.session import code, cut, number
+from flowmark.session import bucketed, code, cut, discard, number
 
 RUN_BITS = 20  # a run holds at most 2**20 values
 FEW = 128
+SLICES = 64
 RUNS_TOGETHER = 8  # runs of one key and day that stay in one task; more are spread by salt
 
 
@@ -74,13 +76,18 @@ def _propose(batches):
             for i in ts:
                 x, y = _bounds(v, f["lo"][i], f["hi"][i])
                 if y > x:
-                    out.append((f["tid"][i], v[x + min(y - x - 1, int(f["share"][i] * (y - x)))], y - x))
-        tid, p, c = zip(*out) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(tid, "int64"), pa.array(p, "float64"), pa.array(c, "int64")], names=["tid", "p", "c"])
+                    n = min(SLICES, y - x)
+                    edges = x + np.arange(n + 1) * (y - x) // n
+                    size = np.diff(edges)
+                    hidden = np.zeros(n, "int64")
+                    hidden[0] = size.max()
+                    out.append((np.full(n, f["tid"][i]), v[(edges[:-1] + edges[1:] - 1) // 2], size, hidden))
+        cols = [np.concatenate(c) for c in zip(*out)] if out else [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ("int64", "float64", "int64", "int64"))], names=["tid", "p", "c", "hidden"])
 
 
 def _count(batches):
-    names = ["tid", "lt", "eq", "max_lt", "min_gt"]
+    names = ["tid", "pivot", "lt", "eq", "max_lt", "min_gt"]
     for b in batches:
         out = []
         for v, ts, f in _slices(b):
@@ -88,9 +95,9 @@ def _count(batches):
                 x, y = _bounds(v, f["lo"][i], f["hi"][i])
                 if y > x:
                     l, r = np.searchsorted(v[x:y], f["pivot"][i], "left"), np.searchsorted(v[x:y], f["pivot"][i], "right")
-                    out.append((f["tid"][i], int(l), int(r - l), float(v[x + l - 1]) if l else None, float(v[x + r]) if x + r < y else None))
-        cols = list(zip(*out)) if out else [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ("int64", "int64", "int64", "float64", "float64"))], names=names)
+                    out.append((f["tid"][i], f["pivot"][i], int(l), int(r - l), float(v[x + l - 1]) if l else None, float(v[x + r]) if x + r < y else None))
+        cols = list(zip(*out)) if out else [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ("int64", "float64", "int64", "int64", "float64", "float64"))], names=names)
 
 
 def _gather(batches):
@@ -106,7 +113,7 @@ def _gather(batches):
 
 
 def _with_targets(runs: DataFrame, busy: DataFrame, state: DataFrame, *fields: str) -> DataFrame:
-    """Runs with the list of targets that their day counts for; the runs are hashed by (k, day, salt) already and stay where they are."""
+    """Runs with the list of targets that their day counts for; the runs are in buckets by (k, day, salt) and stay where they are."""
     nan = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c)
     wide = state.select("k", F.explode(F.sequence("d0", "d1")).alias("day"), F.struct("tid", nan("lo"), nan("hi"), *map(nan, fields)).alias("x"))
     packs = wide.groupBy("k", "day").agg(F.collect_list("x").alias("targets")).join(busy, ["k", "day"], "left")
@@ -121,12 +128,13 @@ def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int =
     """
     spark = runs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    runs = cut(runs, "runs")
-    sizes = cut(runs.groupBy("k", "day").agg(F.sum("n").alias("n"), F.ceil(F.count("*") / RUNS_TOGETHER).cast("int").alias("salts")), "sizes")
+    raw = cut(runs, "runs")
+    sizes = cut(raw.groupBy("k", "day").agg(F.sum("n").alias("n"), F.ceil(F.count("*") / RUNS_TOGETHER).cast("int").alias("salts")), "sizes")
     busy = sizes.where("salts > 1").select("k", "day", "salts")
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).otherwise(0)
-    runs = runs.join(busy, ["k", "day"], "left").withColumn("salt", salt).select("k", "day", "salt", "vals")
-    runs = runs.repartition(parts, "k", "day", "salt").persist(StorageLevel.DISK_ONLY)
+    runs = raw.join(busy, ["k", "day"], "left").withColumn("salt", salt).select("k", "day", "salt", "vals")
+    runs = bucketed(runs, "runs", ["k", "day", "salt"], parts)
+    discard(raw)
     days = spans.select("k", "d0", "d1", F.explode(F.sequence("d0", "d1")).alias("day"))
     totals = days.join(sizes, ["k", "day"]).groupBy("k", "d0", "d1").agg(F.sum("n").alias("n"))
     state = totals.withColumn("q", F.explode(F.array(*map(F.lit, qs))))
@@ -137,35 +145,37 @@ def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int =
         *(F.lit(None).cast("double").alias(c) for c in ("lo", "hi", "v0", "v1")),
     )
     state = cut(state, "select-0")
-    turn = 0
-    columns = state.columns
-    while state.where(F.col("v0").isNull() & (F.col("active") > few)).limit(1).count():
+    turn, columns = 0, state.columns
+    searching = F.col("v0").isNull() & (F.col("active") > few)
+    while state.where(searching).limit(1).count():
         turn += 1
-        open_ = state.where(F.col("v0").isNull() & (F.col("active") > few))
-        share = F.lit(0.5) if turn % 3 == 0 else (F.col("rank") - F.col("below") + 0.5) / F.col("active")
-        asked = _with_targets(runs, busy, open_.withColumn("share", share), "share").mapInArrow(_propose, "tid bigint, p double, c bigint")
+        two, r = (F.col("frac") > 0).cast("bigint"), F.col("rank") - F.col("below")
+        open_ = state.where(searching).withColumn("two", two).withColumn("r", r)
+        asked = _with_targets(runs, busy, open_).mapInArrow(_propose, "tid bigint, p double, c bigint, hidden bigint")
         w = Window.partitionBy("tid").orderBy("p")
-        weight = asked.groupBy("tid", "p").agg(F.sum("c").alias("c"))
-        weight = weight.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("all", F.sum("c").over(Window.partitionBy("tid")))
-        pivots = weight.where(F.col("upto") * 2 >= F.col("all")).groupBy("tid").agg(F.min("p").alias("pivot"))
-        open_ = cut(open_.join(pivots, "tid"), "pivots")
-        counts = _with_targets(runs, busy, open_, "pivot").mapInArrow(_count, "tid bigint, lt bigint, eq bigint, max_lt double, min_gt double")
-        counts = counts.groupBy("tid").agg(F.sum("lt").alias("lt"), F.sum("eq").alias("eq"), F.max("max_lt").alias("max_lt"), F.min("min_gt").alias("min_gt"))
-        s = open_.join(counts, "tid").withColumn("r", F.col("rank") - F.col("below"))
-        two = F.col("frac") > 0
-        left, edge = (F.col("r") + two.cast("int")) < F.col("lt"), (F.col("r") == F.col("lt") - 1) & two
-        here = (F.col("r") >= F.col("lt")) & (F.col("r") < F.col("lt") + F.col("eq"))
-        right = F.col("r") >= F.col("lt") + F.col("eq")
-        upper = F.when(F.col("r") + 1 < F.col("lt") + F.col("eq"), F.col("pivot")).otherwise(F.coalesce("min_gt", "pivot"))
-        s = s.select(
-            *(c for c in columns if c not in ("below", "active", "lo", "hi", "v0", "v1")),
-            F.when(right, F.col("below") + F.col("lt") + F.col("eq")).otherwise(F.col("below")).alias("below"),
-            F.when(left, F.col("lt")).when(right, F.col("active") - F.col("lt") - F.col("eq")).otherwise(F.lit(0)).alias("active"),
-            F.when(right, F.col("pivot")).otherwise(F.col("lo")).alias("lo"), F.when(left, F.col("pivot")).otherwise(F.col("hi")).alias("hi"),
-            F.when(edge, F.col("max_lt")).when(here, F.col("pivot")).alias("v0"), F.when(edge, F.col("pivot")).when(here, F.when(two, upper).otherwise(F.col("pivot"))).alias("v1"),
+        weight = asked.groupBy("tid", "p").agg(F.sum("c").alias("c"), F.sum("hidden").alias("hidden"))
+        weight = weight.withColumn("upto", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("hidden", F.sum("hidden").over(Window.partitionBy("tid")))
+        weight = weight.join(open_.select("tid", "r", "two"), "tid")
+        sure_below, sure_above = F.col("upto") <= F.col("r") - F.col("hidden"), F.col("upto") - F.col("c") > F.col("r") + F.col("two") + F.col("hidden")
+        picked = weight.groupBy("tid").agg(F.array(F.max(F.when(sure_below, F.col("p"))), F.min(F.when(F.col("upto") > F.col("r"), F.col("p"))), F.min(F.when(sure_above, F.col("p")))).alias("pivots"))
+        pivots = open_.join(picked, "tid").withColumn("pivot", F.explode(F.array_distinct(F.array_compact("pivots")))).drop("pivots")
+        counts = _with_targets(runs, busy, pivots, "pivot").mapInArrow(_count, "tid bigint, pivot double, lt bigint, eq bigint, max_lt double, min_gt double")
+        counts = counts.groupBy("tid", "pivot").agg(F.sum("lt").alias("lt"), F.sum("eq").alias("eq"), F.max("max_lt").alias("max_lt"), F.min("min_gt").alias("min_gt"))
+        c = counts.join(open_.select("tid", "r", "two"), "tid").withColumn("le", F.col("lt") + F.col("eq"))
+        right, left = F.col("le") <= F.col("r"), F.col("lt") > F.col("r") + F.col("two")
+        here, edge = (F.col("lt") <= F.col("r")) & (F.col("r") < F.col("le")), (F.col("two") == 1) & (F.col("lt") == F.col("r") + 1)
+        upper = F.when((F.col("two") == 1) & (F.col("r") + 1 >= F.col("le")), F.coalesce("min_gt", "pivot")).otherwise(F.col("pivot"))
+        c = c.groupBy("tid").agg(
+            F.max(F.when(right, F.col("pivot"))).alias("lo2"), F.coalesce(F.max(F.when(right, F.col("le"))), F.lit(0)).alias("gone"), F.min(F.when(left, F.col("pivot"))).alias("hi2"), F.min(F.when(left, F.col("lt"))).alias("kept"),
+            F.max(F.when(here, F.col("pivot")).when(edge, F.col("max_lt"))).alias("w0"), F.max(F.when(here, upper).when(edge, F.col("pivot"))).alias("w1"),
         )
-        done = state.where(F.col("v0").isNotNull() | (F.col("active") <= few))
-        state = cut(done.unionByName(s.select(*columns)), f"select-{turn}")
+        s = open_.join(c, "tid").select(
+            *(x for x in columns if x not in ("below", "active", "lo", "hi", "v0", "v1")), (F.col("below") + F.col("gone")).alias("below"), (F.coalesce("kept", "active") - F.col("gone")).alias("active"),
+            F.coalesce("lo2", "lo").alias("lo"), F.coalesce("hi2", "hi").alias("hi"), F.col("w0").alias("v0"), F.col("w1").alias("v1"),
+        )
+        after = cut(state.where(~searching).unionByName(s.select(*columns)), f"select-{turn}")
+        discard(state)
+        state = after
     rest = state.where("v0 is null")
     few_values = _with_targets(runs, busy, rest).mapInArrow(_gather, "tid bigint, vs array<double>")
     few_values = few_values.groupBy("tid").agg(F.sort_array(F.flatten(F.collect_list("vs"))).alias("vs"))
