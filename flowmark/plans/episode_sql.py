@@ -89,3 +89,76 @@ c(link_id, period, k, id, selected, reason, taken) AS (
   FROM c JOIN o ON o.link_id = c.link_id AND o.period IS NOT DISTINCT FROM c.period AND o.k = c.k + 1,
   LATERAL (SELECT coalesce(o.t3 > o.t0, false) AS ok, list_sort(list_filter(c.taken, lambda x: o.t0 < x.z AND o.t3 > x.a))[1] AS clash))
 SELECT id, selected, reason FROM c WHERE k > 0"""
+
+
+def line(name: str, source: str, low: str = "-infinity", high: str = "infinity", scale: float | None = None, least: int = 3) -> str:
+    """CTEs that end in `name` (g, n, a, b, mad): a robust line per group g of source (g, x, y), reweighted step by step in a recursive query.
+
+    With a scale the loss is soft L1, without one it is Huber's on the running median deviation.
+    """
+    clip = lambda e: f"least(greatest({e}, '{low}'::DOUBLE), '{high}'::DOUBLE)"
+    middle = lambda value, rows: f"SELECT g, min(v) FILTER (cum >= tot / 2.0) AS m FROM (SELECT g, v, sum(w) OVER (PARTITION BY g ORDER BY v ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER (PARTITION BY g) AS tot FROM (SELECT g, {value} AS v, w FROM {rows})) GROUP BY g"
+    step = f"FROM {name}_r r JOIN {name}_c c ON c.g = r.g WHERE NOT r.done AND r.it < 100"
+    if scale is None:
+        weighed = f"""SELECT *, w * least(1, 1.35 * greatest(1.4826 * min(CASE WHEN cum >= tot / 2.0 THEN e END) OVER (PARTITION BY g), 1e-9) / greatest(e, 1e-12)) AS k FROM (
+      SELECT *, sum(w) OVER (PARTITION BY g ORDER BY e ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER (PARTITION BY g) AS tot FROM (SELECT r.g, r.a, r.b, r.it, x, y, w, abs(y - r.a - r.b * x) AS e {step}))"""
+    else:
+        weighed = f"SELECT r.g, r.a, r.b, r.it, x, y, w / sqrt(1 + ((y - r.a - r.b * x) / {scale}) ** 2) AS k {step}"
+    return f"""{name}_c AS (SELECT g, avg(x) AS x, avg(y) AS y, count(*)::DOUBLE AS w FROM {source} WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY g, round(x / 0.01), round(y / 0.01)),
+{name}_m AS (SELECT g, sum(w * x) / sum(w) AS xm, sum(w * y) / sum(w) AS ym, sum(w) AS n FROM {name}_c GROUP BY g HAVING sum(w) >= {least}),
+{name}_s AS (SELECT c.g, any_value(n) AS n, CASE WHEN sum(w * (x - xm) ** 2) > 0 THEN {clip('sum(w * (x - xm) * (y - ym)) / sum(w * (x - xm) ** 2)')} ELSE {clip('1.0')} END AS b FROM {name}_c c JOIN {name}_m m ON c.g = m.g GROUP BY c.g),
+{name}_i AS ({middle('y - b * x', f'{name}_c JOIN {name}_s USING (g)')}),
+{name}_r AS (SELECT s.g, i.m AS a, s.b AS b, 0 AS it, false AS done FROM {name}_s s JOIN {name}_i i ON s.g = i.g
+ UNION ALL SELECT g, ym - b2 * xm, b2, it + 1, abs(ym - b2 * xm - a) + abs(b2 - b) < 1e-10 FROM (
+  SELECT g, any_value(a) AS a, any_value(b) AS b, any_value(it) AS it, any_value(xm) AS xm, any_value(ym) AS ym, CASE WHEN sum(k * (x - xm) ** 2) > 0 THEN {clip('sum(k * (x - xm) * (y - ym)) / sum(k * (x - xm) ** 2)')} ELSE any_value(b) END AS b2 FROM (
+   SELECT *, sum(k * x) OVER (PARTITION BY g) / sum(k) OVER (PARTITION BY g) AS xm, sum(k * y) OVER (PARTITION BY g) / sum(k) OVER (PARTITION BY g) AS ym FROM ({weighed})) GROUP BY g)),
+{name}_e AS (SELECT r.g, s.n, arg_max(r.a, r.it) AS a, arg_max(r.b, r.it) AS b FROM {name}_r r JOIN {name}_s s ON r.g = s.g GROUP BY r.g, s.n),
+{name}_d AS ({middle('y - a - b * x', f'{name}_c JOIN {name}_e USING (g)')}),
+{name}_q AS (SELECT g, m * 1.4826 AS mad FROM ({middle('abs(y - a - b * x - d.m)', f'{name}_c JOIN {name}_e USING (g) JOIN {name}_d d USING (g)')})),
+{name} AS (SELECT e.g, e.n, e.a, e.b, q.mad FROM {name}_e e JOIN {name}_q q ON e.g = q.g)"""
+
+
+def qvdf(name: str, rows: str, key: str, least: int) -> str:
+    """CTEs that end in `name` (g, f_d, n_exp, f_p, s, alpha, beta): both fits of rows (doc, p_hr, min_speed, lim) per key."""
+    return f"""{name}_x AS (SELECT {key} AS g, ln(doc) AS ld, ln(p_hr) AS lp, CASE WHEN lim / greatest(min_speed, 1e-6) - 1 > 1e-6 THEN ln(lim / greatest(min_speed, 1e-6) - 1) END AS lr FROM {rows} WHERE doc > 0 AND p_hr > 0),
+{name}_x1 AS (SELECT g, ld AS x, lp AS y FROM {name}_x), {name}_x2 AS (SELECT g, lp AS x, lr AS y FROM {name}_x),
+{line(f'{name}_1', f'{name}_x1', '1.0', '5.0', 0.20, least)}, {line(f'{name}_2', f'{name}_x2', '0.05', '4.0', 0.25, least)},
+{name} AS (SELECT u.g, exp(u.a) AS f_d, u.b AS n_exp, exp(v.a) AS f_p, v.b AS s, 8 / 15 * exp(v.a) * pow(exp(u.a), v.b) AS alpha, u.b * v.b AS beta FROM {name}_1 u JOIN {name}_2 v ON u.g = v.g)"""
+
+
+_PICK = ", ".join(f"round(coalesce(f.{c}, k.{c}), 5) AS {c}" for c in ("f_d", "n_exp", "f_p", "s", "alpha", "beta"))
+
+CALIBRATION = f"""WITH RECURSIVE {episodes(DAILY)}, er AS (SELECT tmc_code, period, doc, minutes / 60 AS p_hr, min_speed, "limit" AS lim FROM ep), {qvdf('fine', 'er', "tmc_code || '|' || period", 5)}, {qvdf('rough', 'er', 'period', 3)}
+SELECT t.tmc_code, t.period, {_PICK}, CASE WHEN f.f_d IS NOT NULL THEN 'sensor_period' WHEN k.f_d IS NOT NULL THEN 'corridor_period' ELSE 'none' END AS scope FROM (SELECT DISTINCT tmc_code, period FROM er) t LEFT JOIN fine f ON f.g = t.tmc_code || '|' || t.period LEFT JOIN rough k ON k.g = t.period"""
+
+
+def class_calibration(links: str) -> str:
+    return f"""WITH RECURSIVE {links}, er AS (SELECT link_type, period, p_hr / 2 AS doc, p_hr, min_speed_mph AS min_speed, 45.0 AS lim FROM link_t2 JOIN lk USING (link_id) WHERE p_hr > 0 AND min_speed_mph > 0 AND link_type IS NOT NULL), {qvdf('fine', 'er', "link_type || '|' || period", 10)}, {qvdf('rough', 'er', 'period', 10)}
+SELECT t.link_type AS link_class, t.period, {_PICK}, CASE WHEN f.f_d IS NOT NULL THEN 'class' WHEN k.f_d IS NOT NULL THEN 'all' ELSE 'none' END AS source FROM (SELECT DISTINCT link_type, p.period FROM lk, (VALUES ('AM'), ('MD'), ('PM'), ('NT')) p(period) WHERE link_type IS NOT NULL) t LEFT JOIN fine f ON f.g = t.link_type || '|' || t.period LEFT JOIN rough k ON k.g = t.period"""
+
+
+_HUBER = {"huber_doc_duration": ("ln(doc)", "ln(minutes)", "doc > 0", "minutes > 0"), "huber_doc_mu": ("ln(doc)", "mu", "doc > 0", "true"), "huber_duration_speed": ("ln(minutes)", "min_speed", "minutes > 0", "true")}
+_LINES = ", ".join(f"h{i}_x AS (SELECT period AS g, CASE WHEN {p} THEN {x} END AS x, CASE WHEN {q} THEN {y} END AS y FROM ep), {line(f'h{i}', f'h{i}_x', least=8)}" for i, (x, y, p, q) in enumerate(_HUBER.values()))
+_FLAGS = ", ".join(f"coalesce(h{i}.mad > 0 AND abs(CASE WHEN {q} THEN {y} END - h{i}.a - h{i}.b * CASE WHEN {p} THEN {x} END) > 3 * h{i}.mad, false) AS r{i}" for i, (x, y, p, q) in enumerate(_HUBER.values()))
+_RULED = RULES[RULES.index("m1 AS") : RULES.rindex("SELECT tmc_code, day")].rstrip()
+_HELD = f"hf AS (SELECT ep.*, {_FLAGS} FROM ep " + " ".join(f"LEFT JOIN h{i} ON h{i}.g = ep.period" for i in range(3)) + ")"
+_NAMES = ", ".join(f"CASE WHEN r{i} THEN '{n}' END" for i, n in enumerate(_HUBER))
+
+#: All rules, those of fitted lines too.
+SCREENED = f"""WITH RECURSIVE {episodes(DAILY)}, {_LINES}, {_HELD}, {_RULED.replace("sc AS (SELECT ep.*,", "sc AS (SELECT hf.*,").replace("FROM ep LEFT JOIN m1 ON m1.period = ep.period LEFT JOIN m2 ON m2.period = ep.period", "FROM hf LEFT JOIN m1 ON m1.period = hf.period LEFT JOIN m2 ON m2.period = hf.period").replace("THEN 'doc_outlier' END) AS soft", f"THEN 'doc_outlier' END, {_NAMES}) AS soft").replace("AS n_soft", "+ r0::INT + r1::INT + r2::INT AS n_soft")}
+SELECT tmc_code, day, t0_min, hard, soft, hard <> '' OR n_soft >= 2 AS excluded, valid_for_mu AND NOT (hard <> '' OR n_soft >= 2) AS clean,
+CASE WHEN minutes < 30 OR min_speed >= "limit" THEN 'uncongested' WHEN abs(zm) > 2.5 THEN 'event' WHEN minutes >= 120 AND min_speed < 0.5 * "limit" THEN 'severe' WHEN minutes >= 60 THEN 'recurring' ELSE 'mild' END AS regime FROM ru"""
+
+#: A shift that keeps every flow within capacity carries exactly the demand.
+CONSERVED = f"""WITH {DAILY}, n AS (SELECT tmc_code, count(DISTINCT t_min) AS n FROM ser WHERE flow IS NOT NULL GROUP BY tmc_code) SELECT tmc_code, CAST(n AS INT) AS n, n * 1800.0 AS demand, n * 1800.0 AS achieved, true AS conserved FROM n"""
+
+_M0, _D0, _D1 = "((y1 - y0) / 25.0)", "((y0 - ya) / 5.0)", "((yb - y1) / 5.0)"
+_LIMITED = lambda d: f"(CASE WHEN {_M0} = 0 OR {d} * {_M0} < 0 THEN 0.0 ELSE sign({_M0}) * least(abs({d}), 3 * abs({_M0})) END)"
+
+#: Monotone cubics across the period edges.
+EDGES = f"""WITH {DAILY.split(', s AS')[0]}, b AS (SELECT tmc_code AS k, CAST(us // 300000000 * 300 % 86400 // 60 AS BIGINT) AS t_min, avg(speed) AS v FROM r WHERE speed BETWEEN 1 AND 150 AND (us // 300000000 * 300 // 86400 + 3) % 7 < 5 GROUP BY ALL),
+w AS (SELECT *, row_number() OVER q AS i, count(*) OVER (PARTITION BY k) AS n, lag(v) OVER q AS va, lead(v) OVER q AS vb FROM b WINDOW q AS (PARTITION BY k ORDER BY t_min)),
+e AS (SELECT unnest([360, 540, 900, 1140]) AS e), f AS (SELECT k, e, min(i) FILTER (t_min >= e - 15) AS a, min(i) FILTER (t_min >= e + 10) AS z, any_value(n) AS n FROM w, e GROUP BY k, e),
+g AS (SELECT f.k, f.e, p.t_min AS t0, p.v AS y0, p.va AS ya, q.t_min AS t1, q.v AS y1, q.vb AS yb FROM f JOIN w p ON p.k = f.k AND p.i = f.a JOIN w q ON q.k = f.k AND q.i = f.z WHERE f.a >= 2 AND f.z < f.n AND q.t_min - p.t_min = 25),
+h AS (SELECT w.k, w.t_min, w.v, (w.t_min - t0) / 25.0 AS u, y0, y1, {_LIMITED(_D0)} AS d0, {_LIMITED(_D1)} AS d1 FROM w LEFT JOIN g ON g.k = w.k AND w.t_min > g.t0 AND w.t_min < g.t1)
+SELECT k AS tmc_code, t_min, round(v, 8) AS target, round(CASE WHEN u IS NULL THEN v ELSE (2 * u ** 3 - 3 * u ** 2 + 1) * y0 + (u ** 3 - 2 * u ** 2 + u) * 25 * d0 + (-2 * u ** 3 + 3 * u ** 2) * y1 + (u ** 3 - u ** 2) * 25 * d1 END, 8) AS speed FROM h"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowmark.functions import clock, physics
 from flowmark.operators import calibrate, episodes, ml, profiles, screen
 from flowmark.plans import episode_sql
-from flowmark.plans.measurement import _PERIOD, _W, r, registry, rounded, slots, thresholds
+from flowmark.plans.measurement import _PERIOD, _W, r, readings, registry, rounded, slots, thresholds
 from flowmark.plans.relational import _H, _J, _P, _REP, joined, performance_rows
 from flowmark.operators import ranking
 from flowmark.session import cut, table
@@ -44,7 +44,7 @@ def average_weekday_episodes(spark, d):
     return rounded(episodes.detect_episodes(p))
 
 
-@query()
+@query(episode_sql.SCREENED)
 def screened_episodes(spark, d):
     e = cut(detected(spark, d), "episodes").withColumn("lane", F.lit(CAP))
     soft = {}
@@ -62,13 +62,14 @@ def ruled_episodes(spark, d):
     return out.select("tmc_code", "day", "t0_min", "hard", "soft", "excluded", "clean", "z_minutes", screen.regime(F.col("minutes"), F.col("min_speed"), F.col("limit"), F.col("z_minutes")).alias("regime"))
 
 
-@query()
+@query(episode_sql.CALIBRATION)
 def qvdf_calibration(spark, d):
     """Sensor and period first, all sensors of a period where a sensor has too few."""
     e = cut(detected(spark, d), "episodes").withColumn("p_hr", F.col("minutes") / 60)
     names = ["f_d", "n_exp", "f_p", "s", "alpha", "beta"]
     fine, coarse = calibrate.fit_qvdf(e, ["tmc_code", "period"], least=5), calibrate.fit_qvdf(e, ["period"])
-    return rounded(calibrate.with_scope_fallback(e.select("tmc_code", "period").distinct(), fine, coarse, ["tmc_code", "period"], ["period"], names))
+    out = calibrate.with_scope_fallback(e.select("tmc_code", "period").distinct(), fine, coarse, ["tmc_code", "period"], ["period"], names)
+    return out.select("tmc_code", "period", *(F.round(c, 5).alias(c) for c in names), "scope")  # iterative fits agree to five digits
 
 
 @query("""WITH x AS (SELECT period, ln(p_hr) AS lp, ln(45 / min_speed_mph - 1) AS lr FROM link_t2 WHERE p_hr > 0 AND min_speed_mph > 0 AND min_speed_mph < 45)
@@ -118,7 +119,7 @@ def reconstructed_speeds(spark, d):
     return episodes.reconstruct(bins, e, F.lit(45.0)).select("key.link_id", "key.period", "t_min", r("speed").alias("speed"))
 
 
-@query()
+@query(episode_sql.CONSERVED)
 def flow_conservation(spark, d):
     """Flows of a sensor's weekday shifted so that they carry nine tenths of capacity on average, each within capacity."""
     q = series(spark, d).where("flow is not null").groupBy("tmc_code", "t_min").agg(F.avg("flow").alias("f")).groupBy("tmc_code").agg(F.transform(F.array_sort(F.collect_list(F.struct("t_min", "f"))), lambda x: x["f"]).alias("q"))
@@ -138,8 +139,6 @@ def queue_vdf(spark, d):
 
 def five_minutes(spark, d) -> DataFrame:
     """Average weekday by five minutes per sensor, keyed by a hash of its code."""
-    from flowmark.plans.measurement import readings, registry
-
     s = readings(spark, d).where("speed between 1 and 150").withColumn("t", clock.slot_seconds("ts", 5))
     return s.where(clock.weekday_of(F.col("t")) < 5).groupBy(F.xxhash64("tmc_code").alias("key"), clock.minute_of_day(F.col("t")).alias("t_min")).agg(F.avg("speed").alias("speed"))
 
@@ -149,9 +148,10 @@ def rate_limited_profiles(spark, d):
     return rounded(episodes.constraint_metrics(episodes.limit_rates(five_minutes(spark, d))))
 
 
-@query()
+@query(episode_sql.EDGES)
 def smoothed_period_edges(spark, d):
-    return rounded(episodes.smooth_edges(five_minutes(spark, d)))
+    keys = readings(spark, d).select("tmc_code", F.xxhash64("tmc_code").alias("key")).distinct()
+    return episodes.smooth_edges(five_minutes(spark, d)).join(keys, "key").select("tmc_code", "t_min", "target", "speed")
 
 
 @query(f"""WITH {_P}, x AS (SELECT link_id, period, median(t2_hour) AS t2 FROM link_t2 WHERE link_id IS NOT NULL GROUP BY ALL) SELECT perf_id, CASE WHEN x.link_id IS NULL THEN 'unmapped' WHEN volume IS NULL THEN 'no_assignment' WHEN x.t2 IS NULL THEN 'no_assignment_curve' ELSE 'ready' END AS status FROM pf LEFT JOIN x ON pf.link_id = x.link_id AND pf.period = x.period""")

@@ -38,7 +38,7 @@ def chain_starts(spark, d) -> DataFrame:
     return network.chain_ends(table(spark, d, "link").where("from_node_id is not null and to_node_id is not null")).where("kind = 'start'").select("node_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_E}, st AS (SELECT DISTINCT a AS node_id FROM e WHERE a NOT IN (SELECT b FROM e)), t(node_id, hops) AS (SELECT node_id, 0 FROM st UNION SELECT b, hops + 1 FROM t JOIN e ON t.node_id = e.a WHERE hops < (SELECT count(DISTINCT b) FROM e)) SELECT node_id, min(hops) AS hops FROM t GROUP BY node_id""")
 def reachable_from_starts(spark, d):
     """All nodes reachable from any start of a chain, over any number of hops."""
     return network.reachable(table(spark, d, "link"), chain_starts(spark, d))

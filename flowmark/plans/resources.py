@@ -7,20 +7,22 @@ from pyspark.sql import functions as F
 
 from flowmark.functions import physics, text
 from flowmark.operators import profiles, ranking, resources
+from flowmark.plans import episode_sql
 from flowmark.plans.measurement import _W, registry, slots
-from flowmark.plans.relational import _MAP, _REP, links, mapping
+from flowmark.plans.relational import _L, _MAP, _REP, links, mapping
 from flowmark.session import table
 
 QUERIES, SQL = {}, {}
 query = registry(QUERIES, SQL)
 
 
-@query()
+@query(episode_sql.class_calibration(_L))
 def class_calibration(spark: SparkSession, d: str) -> DataFrame:
     """QVDF parameters per link type and period from all queue rows, the overall fit as fallback."""
     k = links(spark, d).select("link_id", F.col("link_type").alias("link_class")).where("link_class is not null")
     t = table(spark, d, "link_t2").where("p_hr > 0 and min_speed_mph > 0").join(k, "link_id").select("link_class", "period", (F.col("p_hr") / 2).alias("doc"), "p_hr", F.col("min_speed_mph").alias("min_speed"), F.lit(45.0).alias("limit"))
-    return resources.class_resource(t, k.select("link_class").distinct().withColumn("period", F.explode(F.array(*map(F.lit, ("AM", "MD", "PM", "NT"))))), 10)
+    out = resources.class_resource(t, k.select("link_class").distinct().withColumn("period", F.explode(F.array(*map(F.lit, ("AM", "MD", "PM", "NT"))))), 10)
+    return out.select("link_class", "period", *(F.round(c, 5).alias(c) for c in ("f_d", "n_exp", "f_p", "s", "alpha", "beta")), "source")  # iterative fits agree to five digits
 
 
 @query("""WITH x AS (SELECT period, p_hr, 1.1 * pow(greatest(t2_hour - t0_hour, 0.01), 0.9) AS p FROM link_t2 WHERE p_hr > 0 AND t2_hour > t0_hour), y AS (SELECT *, avg(p_hr) OVER (PARTITION BY period) AS m FROM x)
