@@ -1,11 +1,11 @@
 """Percentiles of very large numeric columns (problem 1).
 
 Exact: distributed multi-select. The values of a key and day are kept as sorted runs of bounded length. In each round every
-run cuts what is still possible of a target (a key, a span of days and a rank) into SLICES slices and proposes their local
-medians, weighted by their sizes. Of the proposals of all runs the weighted median at the target's rank becomes a pivot, and
+run cuts what is still possible of a target (a key, a span of days and a rank) into slices, as many as the square root of
+its candidates and at most SLICES, and proposes their local medians, weighted by their sizes. Of the proposals of all runs the weighted median at the target's rank becomes a pivot, and
 so do the nearest ones on either side that are sure to lie beyond the target, whatever the slices hide. All runs count values
-below, equal and above the pivots three ways; the ruled-out ranges are discarded. A round leaves about 3 / SLICES of the
-candidates, so a target of 10^9 values needs six. Rounds go on until a target is found or at most FEW candidates are left,
+below, equal and above the pivots three ways; the ruled-out ranges are discarded. A round leaves about three slices of the
+candidates, so a target of 10^9 values in runs of a million needs six. Rounds go on until a target is found or at most FEW candidates are left,
 which are then gathered. Only counts, proposals and those few values are shuffled; the runs stay in their buckets.
 
 Mergeable: a digest of counts per key, day and bin of fixed width. Digests of files, partitions and days add up, and a
@@ -14,6 +14,8 @@ percentile from them is within half a bin of the exact one between ranks.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -76,7 +78,7 @@ def _propose(batches):
             for i in ts:
                 x, y = _bounds(v, f["lo"][i], f["hi"][i])
                 if y > x:
-                    n = min(SLICES, y - x)
+                    n = min(SLICES, math.isqrt(y - x - 1) + 1)  # so that proposals are few against what they are of
                     edges = x + np.arange(n + 1) * (y - x) // n
                     size = np.diff(edges)
                     hidden = np.zeros(n, "int64")
