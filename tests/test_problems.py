@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from flowmark.operators import grid, intervals, orphans, spikes, timestamps
@@ -43,6 +44,31 @@ def test_timestamp_forms(spark):
     assert [(c, g) for (c, w), g in zip(cases, got) if g != w] == []
 
 
+def test_timestamp_zones_in_texts_and_other_forms(spark):
+    cases = [
+        (("x", "2024-03-01 10:00:00 America/New_York"), us(2024, 3, 1, 15)), (("x", "2024-03-01T10:00:00-05:00[America/New_York]"), us(2024, 3, 1, 15)), (("x", "2024-03-01T10:00:00-04:00[America/New_York]"), None),
+        (("x", "2024-03-01T10:00:00[Europe/Berlin]"), us(2024, 3, 1, 9)), (("x", "2024-03-01 10:00 Mars/Base"), None), (("ny", "2024-03-10 02:30:00 America/New_York"), None), (("ny", "2024-03-01 10:00 UTC+1"), us(2024, 3, 1, 9)),
+        (("ny", "2024-03-01 10:00 GMT-05:30"), us(2024, 3, 1, 15, 30)), (("ny", "2024-03-01 10:00 ABC+1"), None), (("x", "20240301T1000Z"), us(2024, 3, 1, 10)), (("x", "20240301X100000Z"), None),
+        (("x", "Friday, 1 March 2024 10:00:00 UTC"), us(2024, 3, 1, 10)), (("x", "Monday, 1 March 2024 10:00:00 UTC"), None), (("x", "2024-061T10:00:00Z"), us(2024, 3, 1, 10)), (("x", "2023-366T10:00:00Z"), None),
+        (("x", "2024-W09-5T10:00:00Z"), us(2024, 3, 1, 10)), (("x", "2024-W53-1T10:00:00Z"), None), (("x", "2020-W53-5T10:00:00Z"), us(2021, 1, 1, 10)), (("ny", "03/01/2024 1:00 p.m."), us(2024, 3, 1, 18)),
+        (("ny", "03/01/2500 12:00"), us(2500, 3, 1, 17)), (("ny", "07/01/2500 12:00"), us(2500, 7, 1, 16)), (("x", "2024-03-01 10:00:00 America/Argentina/ComodRivadavia"), us(2024, 3, 1, 13)),
+        (("x", "2024-03-01T10:00:00.123456789-03:00[America/Argentina/Buenos_Aires]"), us(2024, 3, 1, 13) + 123456), (("x", "2024-03-01 10:00:00Z" + " and more" * 40), None),
+    ]
+    got = parsed(spark, [c for c, _ in cases])
+    assert [(c, g, w) for (c, w), g in zip(cases, got) if g != w] == []
+
+
+def test_unnamed_release_of_zones_is_refused(monkeypatch):
+    import builtins
+    import zoneinfo
+
+    real = builtins.__import__
+    monkeypatch.setattr(builtins, "__import__", lambda name, *a, **k: (_ for _ in ()).throw(ImportError()) if name == "tzdata" else real(name, *a, **k))
+    monkeypatch.setattr(zoneinfo, "TZPATH", ())
+    with pytest.raises(RuntimeError):
+        timestamps.tz_version()
+
+
 def test_zone_tables_follow_the_zone_database():
     random.seed(1)
     for name in ("America/New_York", "Europe/Berlin", "America/Phoenix", "Australia/Lord_Howe", "Asia/Kathmandu"):
