@@ -1,8 +1,9 @@
 """Overlapping and gapped time intervals (problem 6): two-level merge.
 
 Intervals are clipped into fixed time shards and equal pieces of a shard are counted together before the shuffle, so what a
-task holds of one entity and shard is bounded by the shard's length, not by the rows. Pieces are merged per shard, then the
-merged coverage is stitched over shard boundaries. Intervals of more than LONG shards skip the clipping and join the stitch.
+task holds of one entity and shard is bounded by the shard's length, not by the rows. Pieces are merged per shard. What touches
+no boundary of its shard is final; only the coverage at boundaries, two pieces a shard at most, is stitched per entity.
+Intervals of more than LONG shards skip the clipping; the coverage of their entities goes to the stitch as a whole.
 """
 
 from __future__ import annotations
@@ -34,15 +35,22 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str, shard: int =
         d = d.withColumn("piece", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         return d.groupBy(*by, "piece").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.sum("n").alias("n"))
 
-    local = joined(clip, ["k", "sh"]).select("k", "s", "e", "n")
+    local = joined(clip, ["k", "sh"]).select("k", "sh", "s", "e", "n")
     long = base.where(F.col("l") - F.col("f") >= LONG).groupBy("k", "s", "e").agg(F.count("*").alias("n"))
-    return joined(local.unionByName(long), ["k"]).select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end), F.col("n").alias("n_rows"))
+    whole = long.select("k", F.lit(True).alias("whole")).distinct()
+    local = local.join(whole, "k", "left").withColumn("open", F.coalesce("whole", F.lit(False)) | (F.col("s") == F.col("sh") * shard) | (F.col("e") == (F.col("sh") + 1) * shard))
+    stitched = joined(local.where("open").select("k", "s", "e", "n").unionByName(long), ["k"]).select("k", "s", "e", "n")
+    out = local.where("not open").select("k", "s", "e", "n").unionByName(stitched)
+    return out.select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end), F.col("n").alias("n_rows"))
 
 
 def coverage_and_gaps(df: DataFrame, key: str, start: str, end: str, shard: int = SHARD) -> DataFrame:
     """(key, kind, start, end, n_rows): `period` rows and, between successive periods of an entity, `gap` rows (n_rows null)."""
-    p = merge_intervals(df, key, start, end, shard)
-    p = p.withColumn("next", F.lead(start).over(Window.partitionBy(key).orderBy(start)))
+    p = merge_intervals(df, key, start, end, shard).withColumn("_sh", F.floor(F.col(start) / shard))
+    # the next period is the next in the same shard, else the first of the entity's next shard that has one
+    firsts = p.groupBy(key, "_sh").agg(F.min(start).alias("_first"))
+    firsts = firsts.select(key, "_sh", F.lead("_first").over(Window.partitionBy(key).orderBy("_sh")).alias("_later"))
+    p = p.withColumn("_own", F.lead(start).over(Window.partitionBy(key, "_sh").orderBy(start))).join(firsts, [key, "_sh"]).withColumn("next", F.coalesce("_own", "_later"))
     both = F.array(
         F.struct(F.lit("period").alias("kind"), F.col(start).alias("a"), F.col(end).alias("b"), F.col("n_rows").alias("n")),
         F.struct(F.lit("gap").alias("kind"), F.col(end).alias("a"), F.col("next").alias("b"), F.lit(None).cast("bigint").alias("n")),

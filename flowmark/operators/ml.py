@@ -8,6 +8,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowmark.session import cut
+
 # Fields that are known only after detection and must not be features.
 FORBIDDEN = ["t0", "t2", "t3", "t0_hour", "t2_hour", "t3_hour", "p_hr", "min_speed_mph"]
 
@@ -66,7 +68,7 @@ def pipeline(numbers: list[str], texts: list[str], target: str, model: str = "ri
 
 def cross_predict(df: DataFrame, numbers: list[str], texts: list[str], target: str, group: Column, model: str = "ridge", folds: int = 3) -> DataFrame:
     """df with fold and prediction, each row predicted by a model of the other folds."""
-    d = df.where(F.col(target).isNotNull()).withColumn("fold", group_fold(group, folds))
+    d = cut(df.where(F.col(target).isNotNull()).withColumn("fold", group_fold(group, folds)), "folds")  # read by every stage of every fold
     out = None
     moments = d.groupBy("fold").agg(F.count("*").alias("n"), F.sum(target).alias("s"), F.sum(F.col(target) * F.col(target)).alias("q")).collect()  # one row per fold
     for k in range(folds):

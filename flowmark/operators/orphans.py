@@ -15,7 +15,8 @@ from flowmark.session import hot_keys, micros
 
 KEYS_PER_BLOCK = 16  # 16 bits a key: about 0.3 % false positives
 MOST_BLOCKS = 1 << 20  # about 48 MB broadcast at most; beyond it only more references are verified exactly
-HOT, SALTS = 1_000_000, 16
+HOT = 1_000_000  # references of one key that stay together
+MOST_SALTS = 1024  # of one key; its versions are repeated as often
 _LOW, _HIGH = -(1 << 62), (1 << 62)
 
 
@@ -59,9 +60,10 @@ def find_orphans(refs: DataFrame, parents: DataFrame, key: str = "link_id", at:
     proven = tested.where(~F.col("_maybe")).select("_row", F.lit("missing").alias("_reason"))
 
     rest = tested.where("_maybe").select("_row", "_k", "_at", "_id")
-    busy = F.broadcast(hot_keys(rest, "_k", hot).select("_k", F.lit(True).alias("_hot")))  # at most rows / hot keys
-    rest = rest.join(busy, "_k", "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("_hot")
-    spread = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    salts = F.least(F.ceil(F.col("n") / hot) * 2, F.lit(MOST_SALTS)).cast("int")
+    busy = F.broadcast(hot_keys(rest, "_k", hot).select("_k", salts.alias("_salts")))  # at most rows / hot keys
+    rest = rest.join(busy, "_k", "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_salts")).cast("int"), F.lit(0))).drop("_salts")
+    spread = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     begun = F.coalesce("_from", F.lit(_LOW + 1))
     till = F.when(F.col("_from").isNull(), F.lit(_LOW + 1)).otherwise(F.coalesce("_to", F.lit(_HIGH)))
     versions = known.select("_k", begun.alias("_t"), till.alias("_till")).unionAll(ids.select("_k", F.lit(_LOW).alias("_t"), F.lit(_LOW).alias("_till"))).distinct()

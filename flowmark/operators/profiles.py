@@ -72,10 +72,12 @@ def observation_quality(readings: DataFrame, meta: DataFrame, limits: tuple[floa
     s = F.col("slot_s")
     rows = readings.join(meta.select(F.col("tmc").alias("tmc_code"), "road"), "tmc_code").where("road is not null")
     rows = rows.withColumn("slot_s", slot_seconds("ts")).withColumn("ok", F.coalesce(F.col("speed").between(*limits), F.lit(False)))
-    day, t = F.when(F.col("ok") & (weekday_of(s) < 5), day_number(s)), F.when(F.col("ok"), minute_of_day(s))
-    slot = F.when(F.col("ok"), s)
-    mine = rows.groupBy("road", "tmc_code").agg(F.avg(F.col("ok").cast("double")).alias("valid_share"), F.countDistinct(slot).alias("i"), F.countDistinct(day).alias("d"), F.countDistinct(t).alias("b"))
-    all_ = rows.groupBy("road").agg(F.countDistinct(slot).alias("ri"), F.countDistinct(day).alias("rd"), F.countDistinct(t).alias("rb"))
+    # one row per road, sensor and quarter hour; everything else is counted from these
+    seen = rows.groupBy("road", "tmc_code", "slot_s").agg(F.count("*").alias("n"), F.count_if("ok").alias("good"))
+    day, t = F.when((F.col("good") > 0) & (weekday_of(s) < 5), day_number(s)), F.when(F.col("good") > 0, minute_of_day(s))
+    mine = seen.groupBy("road", "tmc_code").agg((F.sum("good") / F.sum("n")).alias("valid_share"), F.count_if(F.col("good") > 0).alias("i"), F.countDistinct(day).alias("d"), F.countDistinct(t).alias("b"))
+    any_ = seen.groupBy("road", "slot_s").agg(F.max("good").alias("good"))
+    all_ = any_.groupBy("road").agg(F.count_if(F.col("good") > 0).alias("ri"), F.countDistinct(day).alias("rd"), F.countDistinct(t).alias("rb"))
     share = lambda a, b: F.coalesce(div(F.col(a).cast("double"), F.col(b)), F.lit(0.0))
     out = mine.join(all_, "road").select("tmc_code", "road", "valid_share", share("i", "ri").alias("interval_share"), share("d", "rd").alias("weekday_share"), share("b", "rb").alias("bin_share"))
     return out.withColumn("score", 0.20 * F.col("valid_share") + 0.50 * F.col("interval_share") + 0.15 * F.col("weekday_share") + 0.15 * F.col("bin_share"))

@@ -90,6 +90,15 @@ def stream_deduplicated(spark, d):
     return streams.run_deduplicated(spark, d)
 
 
-@query()
+@query("""WITH o AS (SELECT user_id, coalesce(value > 100, false) AS hit, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events WHERE user_id IS NOT NULL), g AS (SELECT *, i - row_number() OVER (PARTITION BY user_id, hit ORDER BY i) AS run FROM o),
+l AS (SELECT user_id, hit, run, count(*) AS c FROM g GROUP BY ALL) SELECT user_id, CAST(sum(c) AS BIGINT) AS events, CAST(coalesce(sum(c) FILTER (hit), 0) AS BIGINT) AS above, coalesce(max(c) FILTER (hit), 0) AS longest FROM l GROUP BY user_id""")
 def stream_stateful_runs(spark, d):
     return streams.run_stateful(spark, d)
+
+
+@query("""WITH o AS (SELECT user_id, epoch_us(ts) AS us FROM events WHERE ts IS NOT NULL), l AS (SELECT *, CASE WHEN us - lag(us) OVER w <= 1800000000 THEN 0 ELSE 1 END AS new FROM o WINDOW w AS (PARTITION BY user_id ORDER BY us)),
+g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS s FROM l), x AS (SELECT user_id, min(us) AS start_us, max(us) + 1800000000 AS end_us, count(*) AS n FROM g GROUP BY user_id, s)
+SELECT * FROM x WHERE end_us <= (SELECT max(us) // 1000 * 1000 - 604800000000 FROM o)""")
+def stream_sessions(spark, d):
+    """Sessions of users with gaps of half an hour, those that are closed for good."""
+    return streams.run_sessions(spark, d)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,12 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "7 days") -
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"))
 
 
+def run_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that the watermark has passed: (user_id, start_us, end_us, n)."""
+    out = finish(sessions(source(spark, sf_dir)).select("user_id", "session_window.start", "session_window.end", "n"))
+    return out.select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "n")
+
+
 RUNS = "user_id bigint, events bigint, above bigint, longest bigint"
 
 
@@ -68,12 +75,10 @@ def _runs(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd
     """Counts per user that live across batches: events, values above 100, longest run of them so far."""
     n, above, run, longest = state.get if state.exists else (0, 0, 0, 0)
     rows = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-    for v in rows["value"]:
-        n += 1
-        hit = v is not None and v > 100
-        above += int(hit)
-        run = run + 1 if hit else 0
-        longest = max(longest, run)
+    hit = (rows["value"] > 100).to_numpy()
+    place = np.arange(len(hit))
+    length = place - np.maximum.accumulate(np.where(hit, -1 - run, place))  # of the run up to each event; the open run counts on
+    n, above, run, longest = n + len(hit), above + int(hit.sum()), int(length[-1]), max(longest, int(length.max()))
     state.update((n, above, run, longest))
     yield pd.DataFrame({"user_id": [key[0]], "events": [n], "above": [above], "longest": [longest]})
 
