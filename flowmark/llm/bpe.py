@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -25,6 +27,9 @@ VOCABULARY = os.environ.get("FLOWMARK_VOCABULARY", "/opt/tokenizers/byte_bpe_50k
 # Fixed value: the pre-token pattern that the public vocabulary was made with.
 PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: What it comes to for ASCII texts, with letters, digits and blanks written out.
+PLAIN_PRE_TOKENS = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^ \t-\rA-Za-z0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+"
+
 MOST_STATES, MOST_WORDS, MOST_PAIRS = 200_000, 200_000, 500_000  # about 300 MB a process
 
 
@@ -33,7 +38,7 @@ class Transducer:
         self.ranks = ranks
         self.longest = max(map(len, ranks))
         self.openings = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.split = regex.compile(PRE_TOKENS).findall
+        self.any_split, self.plain_split = regex.compile(PRE_TOKENS).findall, re.compile(PLAIN_PRE_TOKENS).findall
         self.pairs: dict[tuple[int, int], bool] = {}
         self.text_of = {v: k for k, v in ranks.items()}
         self.words: dict[str, tuple[int, ...]] = {}
@@ -117,12 +122,17 @@ class Transducer:
         return out
 
     def word(self, w: str) -> tuple[int, ...]:
-        """Ids of one pre-token."""
+        """Ids of one pre-token. Where a long one fills the states, they are forgotten but for the present one, so that memory stays bounded inside it too."""
         out: list[int] = []
         s, moves = 0, self.moves
         for byte in w.encode():
             step = moves[s].get(byte)
             if step is None:
+                if len(self.keys) > MOST_STATES:
+                    (before, pending), last = self.keys[s], self.lasts[s]
+                    self.reset()
+                    s, moves = self.ids.get((before, pending)), self.moves
+                    s = self._state(before, pending, last) if s is None else s
                 step = self._move(s, byte)
             s, emitted = step
             if emitted:
@@ -130,23 +140,32 @@ class Transducer:
         out += self.ends[s]
         return tuple(out)
 
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
+    def split(self, text: str) -> list[str]:
+        """Pre-tokens of a text."""
+        return self.plain_split(text) if text.isascii() else self.any_split(text)
+
+    def parts(self, text: str | None) -> list[tuple[int, ...]]:
+        """The ids of each pre-token of a text."""
         if not text:
-            return out
-        words = self.words
-        for w in self.split(text):
-            ids = words.get(w)
-            if ids is None:
-                if len(self.keys) > MOST_STATES:
-                    self.reset()
-                ids = self.word(w)
-                if len(w) <= 24:
-                    if len(words) > MOST_WORDS:
-                        words.clear()
-                    words[w] = ids
-            out += ids
-        return out
+            return []
+        words, found = self.words, self.split(text)
+        got = list(map(words.get, found))
+        if None in got:
+            for i, ids in enumerate(got):
+                if ids is None:
+                    w = found[i]
+                    ids = got[i] = words.get(w) or self.word(w)
+                    if len(w) <= 24:
+                        if len(words) > MOST_WORDS:
+                            words.clear()
+                        words[w] = ids
+        return got
+
+    def encode(self, text: str | None) -> list[int]:
+        return list(chain.from_iterable(self.parts(text)))
+
+    def count(self, text: str | None) -> int:
+        return sum(map(len, self.parts(text)))
 
 
 @lru_cache(maxsize=2)
@@ -200,12 +219,13 @@ def decode(ids: list[int], path: str = VOCABULARY) -> str:
 
 def _encoder(path: str, keep: list[str], counts: bool):
     def run(batches):
-        encode = transducer(path).encode
+        made = transducer(path)
+        work = made.count if counts else made.encode
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):  # what a batch of long texts gives stays small
                 b = batch.slice(at, 1000)
-                ids = [encode(x) for x in b["_text"].to_pylist()]
-                col = pa.array([len(x) for x in ids], pa.int64()) if counts else pa.array(ids, pa.list_(pa.int32()))
+                ids = [work(x) for x in b["_text"].to_pylist()]
+                col = pa.array(ids, pa.int64() if counts else pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(b[c] for c in keep), col], names=[*keep, "n_tokens" if counts else "ids"])
 
     return run

@@ -177,6 +177,25 @@ def test_mixture_reaches_shares_within_caps(spark):
     assert mixing.mix_sources(df.limit(0), targets).count() == 0
 
 
+@have_vocabulary
+def test_plain_pre_tokens_equal_the_general_ones():
+    t = bpe.transducer()
+    rng = random.Random(8)
+    every = "".join(map(chr, range(128)))
+    texts = [every * 2] + ["".join(rng.choice(" \n\t\x1c\x1f\x0b ab1'sdltve.,_" + every) for _ in range(rng.randint(1, 40))) for _ in range(5000)]
+    assert all(t.plain_split(x) == t.any_split(x) for x in texts)
+
+
+@have_vocabulary
+def test_long_pre_tokens_keep_states_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "MOST_STATES", 50)
+    with open(bpe.VOCABULARY, "rb"):
+        t = bpe.transducer.__wrapped__()
+    rng = random.Random(9)
+    for word in ("".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöü") for _ in range(4000)), "ab" * 3000, "é" * 500):
+        assert list(t.word(word)) == bpe.transducer().encode(word) and len(t.keys) <= 60
+
+
 LINES = {
     "prose": "The queue on the bypass reached the bridge at 6:45 and did not recover until 10:15.\nThat was confirmed by phone.",
     "list": "- Corvale Parkway\n- Jaswick Bypass\n- Kelford Expressway\n- check threshold",
