@@ -38,19 +38,20 @@ def merge_intervals(df: DataFrame, key: str, start: str, end: str, shard: int =
     local = joined(clip, ["k", "sh"]).select("k", "sh", "s", "e", "n")
     long = base.where(F.col("l") - F.col("f") >= LONG).groupBy("k", "s", "e").agg(F.count("*").alias("n"))
     whole = long.select("k", F.lit(True).alias("whole")).distinct()
-    local = local.join(whole, "k", "left").withColumn("open", F.coalesce("whole", F.lit(False)) | (F.col("s") == F.col("sh") * shard) | (F.col("e") == (F.col("sh") + 1) * shard))
-    stitched = joined(local.where("open").select("k", "s", "e", "n").unionByName(long), ["k"]).select("k", "s", "e", "n")
-    out = local.where("not open").select("k", "s", "e", "n").unionByName(stitched)
+    open_ = F.coalesce("whole", F.lit(False)) | (F.col("s") == F.col("sh") * shard) | (F.col("e") == (F.col("sh") + 1) * shard)
+    # what is final is a group of its own in the stitch, by its start
+    local = local.join(whole, "k", "left").select("k", F.when(~open_, F.col("s")).alias("g"), "s", "e", "n")
+    out = joined(local.unionByName(long.withColumn("g", F.lit(None).cast("bigint")).select("k", "g", "s", "e", "n")), ["k", "g"])
     return out.select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end), F.col("n").alias("n_rows"))
 
 
 def coverage_and_gaps(df: DataFrame, key: str, start: str, end: str, shard: int = SHARD) -> DataFrame:
     """(key, kind, start, end, n_rows): `period` rows and, between successive periods of an entity, `gap` rows (n_rows null)."""
+    # the next period is the next in the same shard; for the last of a shard, the next among the first and last ones of the shards
     p = merge_intervals(df, key, start, end, shard).withColumn("_sh", F.floor(F.col(start) / shard))
-    # the next period is the next in the same shard, else the first of the entity's next shard that has one
-    firsts = p.groupBy(key, "_sh").agg(F.min(start).alias("_first"))
-    firsts = firsts.select(key, "_sh", F.lead("_first").over(Window.partitionBy(key).orderBy("_sh")).alias("_later"))
-    p = p.withColumn("_own", F.lead(start).over(Window.partitionBy(key, "_sh").orderBy(start))).join(firsts, [key, "_sh"]).withColumn("next", F.coalesce("_own", "_later"))
+    w = Window.partitionBy(key, "_sh").orderBy(start)
+    p = p.withColumn("_own", F.lead(start).over(w)).withColumn("_inner", F.when(F.col("_own").isNotNull() & F.lag(start).over(w).isNotNull(), F.col(start)))
+    p = p.withColumn("next", F.coalesce("_own", F.lead(start).over(Window.partitionBy(key, "_inner").orderBy(start))))
     both = F.array(
         F.struct(F.lit("period").alias("kind"), F.col(start).alias("a"), F.col(end).alias("b"), F.col("n_rows").alias("n")),
         F.struct(F.lit("gap").alias("kind"), F.col(end).alias("a"), F.col("next").alias("b"), F.lit(None).cast("bigint").alias("n")),
