@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowmark.operators.groups import map_groups
+
 BIN = 0.01  # width of the cells of log values; points of a cell are represented by their mean
 
 LINE = "n bigint, intercept double, slope double, mad double, at_bound boolean"
@@ -40,22 +42,24 @@ def robust_line(x, y, w, loss: str = "soft_l1", scale: float = 0.2, low: float =
 
 
 def fit_lines(df: DataFrame, by: list[str], x: str, y: str, loss: str = "soft_l1", scale: float = 0.2, low: float = -np.inf, high: float = np.inf, least: int = 3, width: float = BIN) -> DataFrame:
-    """(by..., LINE): a robust line of y on x per group. Rows with a null or non-finite x or y are left out, groups below `least` give none."""
+    """(by..., LINE): a robust line of y on x per group. Rows with a null key or a null or non-finite x or y are left out, groups below `least` give none."""
     ok = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    for k in by:
+        ok = ok & F.col(k).isNotNull()
     cells = df.where(ok).groupBy(*by, F.round(F.col(x) / width).alias("_cx"), F.round(F.col(y) / width).alias("_cy")).agg(F.avg(x).alias("_x"), F.avg(y).alias("_y"), F.count("*").alias("_w"))
 
-    def fit(g: pd.DataFrame) -> pd.DataFrame:
+    def fit(g: dict) -> dict | None:
         n = int(g["_w"].sum())
         if n < least:
-            return pd.DataFrame(columns=[*by, "n", "intercept", "slope", "mad", "at_bound"])
-        xs, ys, ws = (g[c].to_numpy(float) for c in ("_x", "_y", "_w"))
+            return None
+        xs, ys, ws = (g[c].astype(float) for c in ("_x", "_y", "_w"))
         a, b = robust_line(xs, ys, ws, loss, scale, low, high)
         r = ys - a - b * xs
         mad = 1.4826 * _weighted_median(np.abs(r - _weighted_median(r, ws)), ws)
-        return pd.DataFrame({**{k: [g[k].iloc[0]] for k in by}, "n": [n], "intercept": [a], "slope": [b], "mad": [mad], "at_bound": [bool(min(abs(b - low), abs(b - high)) < 1e-3)]})
+        return {**{k: [g[k][0]] for k in by}, "n": [n], "intercept": [a], "slope": [b], "mad": [mad], "at_bound": [bool(min(abs(b - low), abs(b - high)) < 1e-3)]}
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*by).schema)
-    return cells.groupBy(*by).applyInPandas(fit, f"{kinds}, {LINE}")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema)
+    return map_groups(cells, by, ["_cx", "_cy"], fit, f"{kinds}, {LINE}")  # many groups share a batch
 
 
 def huber_flags(df: DataFrame, by: list[str], x: str, y: str, out: str, log_x: bool = False, log_y: bool = False, limit: float = 3.0, least: int = 8) -> DataFrame:

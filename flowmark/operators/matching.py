@@ -1,7 +1,7 @@
 """Matching corridors of sensors to the link network: candidates, routes, transitions, and the best chain of routes.
 
-A corridor (its sensors in order and the links near it) is the unit of work and bounded by its nature; candidates near the
-sensors' ends come from a grid join outside of it (spatial.nearby_pairs).
+Routes are searched per sensor, among the links that a grid join finds around it. The chain of a corridor is chosen from the
+few best routes of each of its sensors, so only these tables come together, never the links.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmark.operators.network import k_paths
+from flowmark.operators.network import k_paths, within
 
 # Penalties of the transition between the routes of successive sensors, and limits in miles and feet.
 CONNECTOR_MILES, CONNECTOR_BASE, CONNECTOR_PER_MILE, DISCONNECTED = 1.0, 20.0, 80.0, 250.0
@@ -74,81 +74,128 @@ def _route_score(rows: pd.DataFrame, s, start_ft: float, end_ft: float) -> tuple
 
 
 MATCHES = "corridor string, tmc string, place int, links string, score double, margin double, transition string, confidence double, length_ratio double, mean_offset_ft double, most_offset_ft double, mean_turn double, switches int"
+_FACTS = ("length_ratio", "mean_offset_ft", "most_offset_ft", "mean_turn", "switches")
+ROUTES = "corridor string, tmc string, links array<bigint>, first bigint, last bigint, score double, length_ratio double, mean_offset_ft double, most_offset_ft double, mean_turn double, switches int, near array<struct<node: bigint, miles: double>>"
+REACH_FT = 3500.0  # ends of links farther from a sensor's end are no candidates
+MILE_FT = 5280.0
 
 
-def match_corridors(sensors: DataFrame, links: DataFrame, beam: int = 12) -> DataFrame:
-    """MATCHES: the route of links of each sensor of a corridor that fits best as a chain.
+def near_links(sensors: DataFrame, links: DataFrame) -> DataFrame:
+    """links of the same corridor around each sensor, with its tmc: those with an end in a grid cell that the sensor's box, widened by its reach, touches."""
+    s = sensors.where("corridor is not null").select("corridor", "tmc", *(F.col(c).cast("double").alias(c) for c in ("start_x", "start_y", "end_x", "end_y", "miles")))
+    reach = REACH_FT + MILE_FT * F.greatest(4 * F.greatest("miles", F.lit(0.05)), F.lit(CONNECTOR_MILES))  # a route stays within that of its start
+    size = 4 * MILE_FT
+    cells = lambda a, b: F.explode(F.sequence(F.floor((F.least(a, b) - reach) / size), F.floor((F.greatest(a, b) + reach) / size)))
+    s = s.select("corridor", "tmc", cells("start_x", "end_x").alias("cx"), "start_y", "end_y", "miles").select("corridor", "tmc", "cx", cells("start_y", "end_y").alias("cy"))
+    own = links.where("corridor is not null").select(*(F.coalesce(F.col(c), F.col(c)).alias(c) for c in ("corridor", "link_id", "from_node_id", "to_node_id", "miles", "streetname", "facility", "ax", "ay", "bx", "by")))
+    cell = lambda x, y: F.struct(F.floor(F.col(x) / size).alias("cx"), F.floor(F.col(y) / size).alias("cy"))
+    at = own.withColumn("_c", F.explode(F.array_distinct(F.array(cell("ax", "ay"), cell("bx", "by"))))).select(*own.columns, "_c.cx", "_c.cy")
+    return at.join(s, ["corridor", "cx", "cy"]).select("tmc", *own.columns).distinct()
 
-    sensors: corridor, tmc, road, road_order, miles, start_x, start_y, end_x, end_y (feet). links: corridor, link_id,
-    from_node_id, to_node_id, miles, streetname, facility, ax, ay, bx, by (feet), those near the corridor. Routes run between
-    the nearest ends of links; a step keeps the `beam` best chains. Sensors without a route come out with no links.
+
+def sensor_routes(sensors: DataFrame, links: DataFrame) -> DataFrame:
+    """ROUTES: the best routes of links for each sensor by itself, 2 * PATHS at most, and the nodes from which a short connector leads to a route's start.
+
+    Routes run between the CANDIDATES nearest ends of links within REACH_FT of the sensor's ends, up to PATHS for each pair.
     """
 
     def work(key, sn: pd.DataFrame, ln: pd.DataFrame) -> pd.DataFrame:
-        sn = sn.sort_values(["road_order", "tmc"], na_position="last")
+        empty = pd.DataFrame(columns=["corridor", "tmc", "links", "first", "last", "score", *_FACTS, "near"])
+        if not len(sn) or not len(ln):
+            return empty
+        s = next(sn.itertuples())
         ln = ln.drop_duplicates("link_id").sort_values("link_id")
         graph: dict = {}
+        back: dict = {}
         by_pair: dict = {}
-        for i, r in enumerate(ln.itertuples()):
-            if (r.from_node_id, r.to_node_id) not in by_pair or ln["miles"].iloc[by_pair[r.from_node_id, r.to_node_id]] > r.miles:
-                by_pair[r.from_node_id, r.to_node_id] = i
+        miles = ln["miles"].to_numpy()
+        for i, (a, b) in enumerate(zip(ln["from_node_id"], ln["to_node_id"])):
+            if (a, b) not in by_pair or miles[by_pair[a, b]] > miles[i]:
+                by_pair[a, b] = i
         for (a, b), i in sorted(by_pair.items()):
-            graph.setdefault(a, []).append((b, max(float(ln["miles"].iloc[i]), 1e-6)))
+            graph.setdefault(a, []).append((b, max(float(miles[i]), 1e-6)))
+            back.setdefault(b, []).append((a, max(float(miles[i]), 1e-6)))
         ids = ln["link_id"].to_numpy()
-        places = {}
+        places: dict = {}
         for r in ln.itertuples():
             places.setdefault(r.from_node_id, (r.ax, r.ay))
             places.setdefault(r.to_node_id, (r.bx, r.by))
         nodes = np.array(sorted(places))
-        xy = np.array([places[n] for n in nodes]) if len(nodes) else np.zeros((0, 2))
+        xy = np.array([places[n] for n in nodes])
 
         def near(x, y):
             d = np.hypot(xy[:, 0] - x, xy[:, 1] - y)
-            at = np.argsort(d, kind="stable")[:CANDIDATES]
-            return [(int(nodes[i]), float(d[i])) for i in at if d[i] <= 3500]
+            return [(int(nodes[i]), float(d[i])) for i in np.argsort(d, kind="stable")[:CANDIDATES] if d[i] <= REACH_FT]
+
+        options = {}
+        for a, da in near(s.start_x, s.start_y):
+            for b, db in near(s.end_x, s.end_y):
+                for _, path in k_paths(graph, a, b, PATHS, 4 * max(s.miles, 0.05)) if a != b else []:
+                    at = [by_pair[e] for e in zip(path, path[1:])]
+                    score, facts = _route_score(ln.iloc[at], s, da, db)
+                    route = tuple(int(x) for x in ids[at])
+                    if route not in options or score < options[route][0]:
+                        options[route] = (score, facts, path)
+        ranked = sorted(options.items(), key=lambda o: (o[1][0], o[0]))[: PATHS * 2]
+        if not ranked:
+            return empty
+        joins = {p: [{"node": int(n), "miles": float(m)} for n, m in sorted(within(back, p, CONNECTOR_MILES).items())] for p in {x[1][2][0] for x in ranked}}
+        rows = [(key[0], key[1], list(route), int(path[0]), int(path[-1]), score, *(facts[c] for c in _FACTS), joins[path[0]]) for route, (score, facts, path) in ranked]
+        return pd.DataFrame(rows, columns=empty.columns)
+
+    sn = sensors.where("corridor is not null").select(*(F.coalesce(F.col(c), F.col(c)).alias(c) for c in ("corridor", "tmc", "road", "miles", "start_x", "start_y", "end_x", "end_y")))
+    return sn.groupBy("corridor", "tmc").cogroup(near_links(sensors, links).groupBy("corridor", "tmc")).applyInPandas(work, ROUTES)
+
+
+def match_corridors(sensors: DataFrame, links: DataFrame, beam: int = 12) -> DataFrame:
+    """MATCHES: the route of links of each sensor of a corridor that fits best as a chain.
+
+    sensors: corridor, tmc, road, road_order, miles, start_x, start_y, end_x, end_y (feet). links: corridor, link_id,
+    from_node_id, to_node_id, miles, streetname, facility, ax, ay, bx, by (feet), those near the corridor. Routes are searched
+    per sensor among the links around it, so a long corridor is many tasks; the chain is then chosen from these tables alone,
+    with the `beam` best chains kept at each step. Sensors without a route come out with no links.
+    """
+    routes = sensor_routes(sensors, links)
+    steps = sensors.where("corridor is not null").select("corridor", "tmc", "road_order").join(routes, ["corridor", "tmc"], "left")
 
+    def work(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         chains: list[tuple[float, list]] = [(0.0, [])]
-        for s in sn.itertuples():
-            options = {}
-            for a, da in near(s.start_x, s.start_y):
-                for b, db in near(s.end_x, s.end_y):
-                    for _, path in k_paths(graph, a, b, PATHS, 4 * max(s.miles, 0.05)) if a != b else []:
-                        at = [by_pair[e] for e in zip(path, path[1:])]
-                        score, facts = _route_score(ln.iloc[at], s, da, db)
-                        route = tuple(int(x) for x in ids[at])
-                        if route not in options or score < options[route][0]:
-                            options[route] = (score, facts, path)
-            ranked = sorted(options.items(), key=lambda o: (o[1][0], o[0]))[: PATHS * 2]
+        order = g[["road_order", "tmc"]].drop_duplicates("tmc").sort_values(["road_order", "tmc"], na_position="last")
+        by_tmc = {t: x for t, x in g.groupby("tmc")}
+        for tmc in order["tmc"]:
+            ranked = [(tuple(int(x) for x in r.links), r) for r in by_tmc[tmc].itertuples() if r.links is not None]
+            ranked.sort(key=lambda o: (o[1].score, o[0]))
             if not ranked:
-                chains = [(c, [*steps, (s.tmc, None)]) for c, steps in chains]
+                chains = [(c, [*steps_, (tmc, None)]) for c, steps_ in chains]
                 continue
+            joins = [{x["node"]: x["miles"] for x in r.near} for _, r in ranked]
             grown = []
-            for cost, steps in chains:
-                last = next((x[1] for x in reversed(steps) if x[1]), None)
-                for i, (route, (score, facts, path)) in enumerate(ranked):
+            for cost, steps_ in chains:
+                last = next((x[1] for x in reversed(steps_) if x[1]), None)
+                for i, (route, r) in enumerate(ranked):
                     if last is None:
                         how, more = "predecessor_no_path", 0.0
                     elif set(last[0]) & set(route):
                         how, more = "shared_link", 0.0
-                    elif last[3][-1] == path[0]:
+                    elif last[1].last == r.first:
                         how, more = "node_connected", 0.0
+                    elif last[1].last in joins[i]:
+                        how, more = "short_connector", CONNECTOR_BASE + CONNECTOR_PER_MILE * joins[i][last[1].last]
                     else:
-                        link = k_paths(graph, last[3][-1], path[0], 1, CONNECTOR_MILES)
-                        how, more = ("short_connector", CONNECTOR_BASE + CONNECTOR_PER_MILE * link[0][0]) if link else ("disconnected", DISCONNECTED)
-                    best_other = ranked[1][1][0] - score if i == 0 and len(ranked) > 1 else None
-                    grown.append((cost + score + more, [*steps, (s.tmc, (route, score, facts, path, how, best_other))]))
+                        how, more = "disconnected", DISCONNECTED
+                    margin = ranked[1][1].score - r.score if i == 0 and len(ranked) > 1 else None
+                    grown.append((cost + r.score + more, [*steps_, (tmc, (route, r, how, margin))]))
             chains = sorted(grown, key=lambda c: (c[0], str(c[1][-1][1][0])))[:beam]
         rows = []
         for i, (tmc, x) in enumerate(chains[0][1]):
             if x is None:
                 rows.append((key[0], tmc, i + 1, None, None, None, "no_path", None, None, None, None, None, None))
             else:
-                route, score, f, _, how, margin = x
-                rows.append((key[0], tmc, i + 1, ";".join(map(str, route)), score, margin, how, max(0.0, min(100.0, 100 - score)), *(f[c] for c in ("length_ratio", "mean_offset_ft", "most_offset_ft", "mean_turn", "switches"))))
+                route, r, how, margin = x
+                rows.append((key[0], tmc, i + 1, ";".join(map(str, route)), r.score, margin, how, max(0.0, min(100.0, 100 - r.score)), *(getattr(r, c) for c in _FACTS)))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in MATCHES.split(", ")])
 
-    own = links.select(*(F.coalesce(F.col(c), F.col(c)).alias(c) for c in ("corridor", "link_id", "from_node_id", "to_node_id", "miles", "streetname", "facility", "ax", "ay", "bx", "by")))
-    return sensors.where("corridor is not null").groupBy("corridor").cogroup(own.where("corridor is not null").groupBy("corridor")).applyInPandas(work, MATCHES)
+    return steps.groupBy("corridor").applyInPandas(work, MATCHES)
 
 
 def ordered_links(matches: DataFrame) -> DataFrame:

@@ -69,6 +69,19 @@ def _dijkstra(graph: dict, start, goal, banned_nodes=frozenset(), banned_edges=f
     return None
 
 
+def within(graph: dict, start, most: float) -> dict:
+    """Least cost from start to every node within `most`."""
+    heap, done = [(0.0, start)], {}
+    while heap:
+        cost, node = heapq.heappop(heap)
+        if node not in done:
+            done[node] = cost
+            for nxt, w in graph.get(node, ()):
+                if nxt not in done and cost + w <= most:
+                    heapq.heappush(heap, (cost + w, nxt))
+    return done
+
+
 def k_paths(graph: dict, start, goal, k: int, cutoff: float = float("inf")) -> list[tuple[float, tuple]]:
     """Up to k loopless paths by cost: each next path leaves a found one at some node, avoiding what found ones do there."""
     first = _dijkstra(graph, start, goal, cutoff=cutoff)
@@ -94,30 +107,39 @@ def k_paths(graph: dict, start, goal, k: int, cutoff: float = float("inf")) -> l
 PATHS = "corridor string, start_id bigint, end_id bigint, place int, cost double, path string, miles double"
 
 
-def corridor_paths(edges: DataFrame, pairs: DataFrame, k: int = 6, cutoff: float = float("inf")) -> DataFrame:
-    """PATHS: up to k loopless paths per pair inside each corridor's own (bounded) sub-network.
+PAIRS_TOGETHER = 500  # pairs of one corridor that stay in one task
+
+
+def corridor_paths(edges: DataFrame, pairs: DataFrame, k: int = 6, cutoff: float = float("inf"), together: int = PAIRS_TOGETHER) -> DataFrame:
+    """PATHS: up to k loopless paths per pair inside each corridor's own sub-network.
 
-    edges: corridor, from_node_id, to_node_id, cost, and miles if known. pairs: corridor, start_id, end_id.
+    edges: corridor, from_node_id, to_node_id, cost, and miles if known. pairs: corridor, start_id, end_id; repeated ones count
+    once. A corridor with many pairs is spread over tasks of `together` pairs each, to all of which its cheapest links per
+    pair of nodes go; what a task holds is one corridor's links.
     """
 
     def work(key, e: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         graph: dict = {}
-        best: dict = {}
         length: dict = {}
-        for a, b, w, m in zip(e["from_node_id"], e["to_node_id"], e["cost"], e["miles"] if "miles" in e else [float("nan")] * len(e)):
-            if w > 0 and w < best.get((a, b), float("inf")):
-                best[a, b], length[a, b] = w, m
-        for (a, b), w in sorted(best.items()):
+        for a, b, w, m in zip(e["a"], e["b"], e["cost"], e["miles"]):
             graph.setdefault(a, []).append((b, w))
+            length[a, b] = m
+        for out in graph.values():
+            out.sort()
         rows = []
-        for s, t in sorted(set(zip(p["start_id"], p["end_id"]))):
+        for s, t in sorted(zip(p["start_id"], p["end_id"])):
             rows += [(key[0], s, t, i + 1, c, ";".join(str(int(x)) for x in path), sum(length[x] for x in zip(path, path[1:]))) for i, (c, path) in enumerate(k_paths(graph, s, t, k, cutoff))]
         return pd.DataFrame(rows, columns=["corridor", "start_id", "end_id", "place", "cost", "path", "miles"])
 
-    e = edges.where("corridor is not null and from_node_id is not null and to_node_id is not null and cost is not null").groupBy("corridor")
-    own = pairs.where("corridor is not null and start_id is not null and end_id is not null")
-    own = own.select(*(F.coalesce(F.col(c), F.col(c)).alias(c) for c in ("corridor", "start_id", "end_id")))  # columns of its own, as pairs may come from edges
-    return e.cogroup(own.groupBy("corridor")).applyInPandas(work, PATHS)
+    miles = F.col("miles").cast("double") if "miles" in edges.columns else F.lit(None).cast("double")
+    e = edges.where("corridor is not null and from_node_id is not null and to_node_id is not null and cost > 0")
+    e = e.groupBy("corridor", F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b")).agg(F.min(F.struct(F.col("cost").cast("double").alias("cost"), miles.alias("miles"))).alias("x")).select("corridor", "a", "b", "x.cost", "x.miles")
+    own = pairs.where("corridor is not null and start_id is not null and end_id is not null").select("corridor", "start_id", "end_id").distinct()
+    own = cut(own, "pairs")
+    salts = own.groupBy("corridor").agg(F.ceil(F.count("*") / together).cast("int").alias("salts"))
+    own = own.join(salts, "corridor").withColumn("salt", F.pmod(F.xxhash64("start_id", "end_id"), F.col("salts")).cast("int")).drop("salts")
+    spread = e.join(salts, "corridor").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return spread.groupBy("corridor", "salt").cogroup(own.groupBy("corridor", "salt")).applyInPandas(work, PATHS)
 
 
 def gap_bridges(edges: DataFrame, gaps: DataFrame, own: str = "on_corridor", ramp: str = "is_ramp", off_factor: float = 6.0, ramp_factor: float = 12.0, longest: float = 3.0) -> DataFrame:

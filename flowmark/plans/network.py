@@ -57,7 +57,7 @@ def chain_ends(spark, d):
 
 
 def corridor_edges(spark, d) -> DataFrame:
-    """Each street's own links and one pair of its nodes to connect."""
+    """The links of each street that have a length."""
     return links(spark, d).where("streetname is not null and length > 0").select(F.col("streetname").alias("corridor"), "link_id", "from_node_id", "to_node_id", F.col("length").alias("miles"), F.col("length").alias("cost"))
 
 

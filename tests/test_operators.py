@@ -384,3 +384,115 @@ def test_gap_bridges_prefer_the_corridor(spark):
     g = spark.createDataFrame([("c", 1, 3), ("c", 3, 9), ("c", 1, 9), ("c", 3, 1)], "corridor string, start_id bigint, end_id bigint")
     got = {(r["start_id"], r["end_id"]): (r["path"], r["miles"]) for r in network.gap_bridges(e, g).collect()}
     assert got == {(1, 3): ("1;2;3", 2.0), (3, 9): ("3;9", 2.9)}
+
+
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from flowmark import session
+
+    fake = lambda master, known=None: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: known), sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError):
+        session.shared_dir(fake("spark://head:7077"))
+    with pytest.raises(ValueError):
+        session.shared_dir(fake("local-cluster[3,2,1024]"))
+    assert session.shared_dir(fake("spark://head:7077", "hdfs://shared")) == "hdfs://shared"
+    assert session.shared_dir(fake("local[4]")).startswith("file://")
+
+
+def test_early_deletion_leaves_other_tables(spark):
+    from flowmark import session
+
+    a, b = session.cut(spark.range(5), "a"), session.cut(spark.range(7), "b")
+    session.discard(a)
+    assert b.count() == 7 and session.cut(spark.range(0), "empty").count() == 0
+    t = session.bucketed(spark.range(50).withColumn("k", F.col("id") % 5), "t", ["k"], 3)
+    assert t.groupBy("k").count().count() == 5
+    session.release(spark)
+    with pytest.raises(Exception):
+        b.count()
+
+
+def test_long_chains_are_followed_to_their_end(spark):
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(100)], "from_node_id bigint, to_node_id bigint, cost double")
+    start = spark.createDataFrame([(0,)], "node_id bigint")
+    assert {r["node_id"]: r["hops"] for r in network.reachable(e, start).collect()} == {i: i for i in range(101)}
+    assert max(r["cost"] for r in network.shortest_costs(e, start).collect()) == 100.0
+
+
+def test_sensors_of_more_than_two_months_keep_their_grid(spark, tmp_path):
+    from flowmark.plans import measurement
+
+    t0 = datetime(2025, 1, 1)
+    rows = [(i, "A", t0 + timedelta(days=i), 50.0) for i in range(70)]
+    spark.createDataFrame(rows, "reading_id bigint, tmc_code string, measurement_tstamp timestamp_ntz, speed double").withColumn("reference_speed", F.lit(1.0)).withColumn("confidence_score", F.lit(30.0)).write.parquet(str(tmp_path / "readings.parquet"))
+    grid = measurement.full_grid(spark, str(tmp_path))
+    assert grid.count() == 69 * 96 + 1 and grid.where("speed is not null").count() == 70
+
+
+def machine(v, states, limit, rules):
+    """Steps one by one, for comparison with the cuts."""
+    out, i, n = [], 0, len(v)
+    support = lambda at, start: states[at] in episodes.ACTIVE
+    while i < n:
+        entry = next((j for j in range(i, n) if states[j] in episodes.ENTRY), None)
+        if entry is None:
+            break
+        start = next((j for j in range(entry, n - 1) if v[j + 1] < limit), None)
+        if start is None:
+            break
+        end = None
+        for j in range(start + 1, n):
+            quiet = next((q for q in range(j - start) if support(j - q, start)), j - start)
+            known = [x for x in v[max(start, j - rules.mean_steps + 1) : j + 1] if not np.isnan(x)]
+            if quiet > rules.gap_steps and not (known and np.mean(known) <= limit):
+                end = j
+                out.append((start, max(start, j - quiet + 1)))
+                break
+        if end is None:
+            out.append((start, n - 1))
+            break
+        i = end + 1
+    return out
+
+
+def test_episode_cuts_equal_steps():
+    rng = np.random.default_rng(11)
+    for k in range(3000):
+        rules = episodes.Rules(gap_steps=int(rng.integers(0, 4)), mean_steps=1)
+        rules = episodes.Rules(gap_steps=rules.gap_steps, mean_steps=int(rng.integers(1, rules.gap_steps + 3)))
+        v = np.round(rng.choice([20, 30, 40, 44, 46, 50, 60, 70], int(rng.integers(1, 40))) + rng.normal(0, 2, 1)[0], 1)
+        v[rng.random(len(v)) < 0.1] = np.nan
+        states = episodes.label_states(v, 64.0, rules)
+        limit = rules.congested_share * 64.0
+        assert episodes.episode_bounds(v, states, limit, rules) == machine(v, states, limit, rules), (v, states)
+    with pytest.raises(ValueError):
+        episodes.Rules(gap_steps=0, mean_steps=4)
+
+
+def test_median_slope_counts_pairs():
+    rng = np.random.default_rng(12)
+    for n in (3, 65, 150):
+        x, y = rng.integers(0, 40, n).astype(float), rng.normal(0, 1, n)
+        i, j = np.triu_indices(n, 1)
+        o = np.argsort(x, kind="stable")
+        dx, dy = x[o][j] - x[o][i], y[o][j] - y[o][i]
+        assert abs(spatial.median_slope(x, y) - np.median((dy / np.where(dx > 0, dx, 1))[dx > 0])) < 1e-9
+    assert np.isnan(spatial.median_slope(np.ones(5), np.arange(5.0)))
+
+
+def test_sources_are_dispatched_and_refused(spark, tmp_path):
+    from flowmark.sources import readers
+
+    with pytest.raises(ValueError):
+        readers.load_source(spark, {"source": "satellite", "path": "x"})
+    spark.createDataFrame([("a", 1, True), ("b", 2, False)], "tmc string, t2 int, accepted boolean").write.parquet(str(tmp_path / "episodes"))
+    with pytest.raises(ValueError):
+        readers.read_episode_files(spark, str(tmp_path), ("03-episodes", "episodes"), "tmc string, t2 int")
+    with pytest.raises(ValueError):
+        readers.read_episode_files(spark, str(tmp_path), ("none",), "tmc string, t2 int")
+    with pytest.raises(ValueError):
+        readers.with_time_columns(spark.createDataFrame([(1, 2.0)], "link_id int, `spd_mph_25:00` double"))
+    spark.createDataFrame([("1", 0.1, 4.0)], "vdf_code string, alpha double, beta double").write.option("header", True).csv(str(tmp_path / "vdf"))
+    with pytest.raises(ValueError):
+        readers.read_vdf_table(spark, str(tmp_path / "vdf"))
