@@ -11,7 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowmark.session import cut
+
 BUCKETS = 16_384  # per source; the bucket table has at most sources times this many rows
+LISTED = 1_000_000  # rows up to which a table of sources or buckets is broadcast; a larger one is joined by shuffle
+
+
+def counted(df: DataFrame, label: str) -> DataFrame:
+    """df, written and counted, with a hint to broadcast it if it has at most LISTED rows."""
+    df = cut(df, label)
+    return F.broadcast(df) if df.count() <= LISTED else df
 
 
 def sampling_key(doc_id: str, weight: str, seed: int) -> Column:
@@ -44,13 +53,13 @@ def mix_sources(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFram
     document of a source is taken if at least half of it fits. Ties in the key are broken by doc_id.
     """
     docs = docs.where("source is not null and n_tokens > 0 and weight > 0").select("doc_id", "source", "n_tokens", "weight")
-    plan = source_plan(docs, targets).select("source", "max_repeats", "epochs", "rest")
-    rows = docs.join(F.broadcast(plan), "source").withColumn("key", sampling_key("doc_id", "weight", seed))  # targets are a fixed small table
+    plan = counted(source_plan(docs, targets).select("source", "max_repeats", "epochs", "rest"), "plan")
+    rows = docs.join(plan, "source").withColumn("key", sampling_key("doc_id", "weight", seed))
     rows = rows.withColumn("bucket", F.least(F.floor((1 - F.exp(-0.6 * F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"))
     w = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fill = rows.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("t"), F.first("rest").alias("limit")).withColumn("upto", F.sum("t").over(w))
     fill = fill.where(F.col("upto") - F.col("t") < F.col("limit")).select("source", "bucket", (F.col("upto") - F.col("t")).alias("before"), "upto", "limit")
-    rows = rows.join(F.broadcast(fill), ["source", "bucket"], "left")
+    rows = rows.join(counted(fill, "fill"), ["source", "bucket"], "left")
     sure = F.coalesce(F.col("upto") <= F.col("limit"), F.lit(False))
     edge = rows.where(F.col("limit").isNotNull() & (F.col("upto") > F.col("limit")))
     order = Window.partitionBy("source", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)

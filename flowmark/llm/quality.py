@@ -365,7 +365,7 @@ def unnatural_documents(docs: DataFrame, tail: float = TAIL, text: str = "text")
     return scored.where(F.size("tails") > 0).select("doc_id", "_text").mapInArrow(_check, "doc_id bigint, kind string").where("kind is not null")
 
 
-WEIGHING = ("mean_word", "symbol_ratio", "digit_ratio", "common_share")
+WEIGHING = ("symbol_ratio", "digit_ratio", "common_share")
 
 
 def with_weight(docs: DataFrame, keep: tuple[str, ...], text: str = "text", which: tuple[str, ...] = WEIGHING) -> DataFrame:

@@ -123,5 +123,11 @@ SQL = {
     "p1_digest": f"""WITH {_V}, g AS (SELECT k, count(*) AS n, quantile_disc(floor(x / 0.5), [0.5, 0.95, 0.99]) AS ignored, list(floor(x / 0.5) ORDER BY x) AS xs FROM v GROUP BY k),
         u AS (SELECT k, n, xs, CAST(unnest([0.5, 0.95, 0.99]) AS DOUBLE) AS q FROM g)
         SELECT k AS tmc_code, q, n, (xs[CAST(floor(q * (n - 1)) AS BIGINT) + 1] + 0.5) * 0.5 AS value FROM u""",
+    "p2_survivors": f"""WITH {_P}, z AS (SELECT *, coalesce(trust, '-infinity'::DOUBLE) AS tr, coalesce(seen, '-infinity'::TIMESTAMP) AS at_, coalesce(volume >= 0 AND NOT isnan(volume), false)::INT + 2 * coalesce(speed_mph >= 0 AND NOT isnan(speed_mph), false)::INT
+          + 4 * coalesce(travel_time >= 0 AND NOT isnan(travel_time), false)::INT + 8 * coalesce(doc >= 0 AND NOT isnan(doc), false)::INT AS mask FROM a),
+        s AS (SELECT * FROM z WHERE NOT EXISTS (SELECT 1 FROM z o WHERE o.link_id = z.link_id AND o.period = z.period AND o.row_id <> z.row_id AND o.mask & z.mask = z.mask AND o.tr >= z.tr AND (o.at_ > z.at_ OR (o.at_ = z.at_ AND o.row_id < z.row_id)))),
+        y AS (SELECT *, row_number() OVER (PARTITION BY link_id, period ORDER BY tr DESC, at_ DESC, row_id) AS layer FROM s WHERE n >= 2)
+        SELECT link_id, period, any_value(n) AS n_rows, arg_min(row_id, layer) AS base_row_id, {", ".join(f"arg_min({f}, layer) FILTER (mask & {1 << i} > 0) AS {f}, arg_min(row_id, layer) FILTER (mask & {1 << i} > 0) AS {f}_row, CAST(min(layer) FILTER (mask & {1 << i} > 0) AS INT) AS {f}_layer" for i, f in enumerate(("volume", "speed_mph", "travel_time", "doc")))}
+        FROM y GROUP BY link_id, period""",
     "p2_found": f"WITH {_P} SELECT table_name, link_id, period, field, row_id FROM r WHERE place = 1",
 }

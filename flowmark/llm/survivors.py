@@ -18,12 +18,17 @@ from pyspark.sql import functions as F
 from flowmark.session import number
 
 
+MOST_FIELDS = 10  # 2**fields running maxima a row
+
+
 def skyline(df: DataFrame, group: list[str], fields: list[str], trust: Column, recency: Column, row_id: str) -> DataFrame:
     """The undominated records: group..., row_id, fields..., mask (bit i: field i is filled), layer (1 is the base), n_rows of the group.
 
     A field is filled if its value is neither null, NaN nor negative. Higher trust is better, null the worst; later recency is
     better, null the worst; ids are unique. Rows with a null in a group column belong to no group.
     """
+    if len(fields) > MOST_FIELDS:
+        raise ValueError(f"{len(fields)} fields: their combinations are kept in one row, so {MOST_FIELDS} at most; give more in several calls")
     rows = df.where(" and ".join(f"`{g}` is not null" for g in group))
     filled = lambda f: F.coalesce(number(f) >= 0, F.lit(False))
     mask = sum((F.when(filled(f), 1 << i).otherwise(0) for i, f in enumerate(fields)), F.lit(0))
