@@ -162,3 +162,26 @@ e AS (SELECT unnest([360, 540, 900, 1140]) AS e), f AS (SELECT k, e, min(i) FILT
 g AS (SELECT f.k, f.e, p.t_min AS t0, p.v AS y0, p.va AS ya, q.t_min AS t1, q.v AS y1, q.vb AS yb FROM f JOIN w p ON p.k = f.k AND p.i = f.a JOIN w q ON q.k = f.k AND q.i = f.z WHERE f.a >= 2 AND f.z < f.n AND q.t_min - p.t_min = 25),
 h AS (SELECT w.k, w.t_min, w.v, (w.t_min - t0) / 25.0 AS u, y0, y1, {_LIMITED(_D0)} AS d0, {_LIMITED(_D1)} AS d1 FROM w LEFT JOIN g ON g.k = w.k AND w.t_min > g.t0 AND w.t_min < g.t1)
 SELECT k AS tmc_code, t_min, round(v, 8) AS target, round(CASE WHEN u IS NULL THEN v ELSE (2 * u ** 3 - 3 * u ** 2 + 1) * y0 + (u ** 3 - 2 * u ** 2 + u) * 25 * d0 + (-2 * u ** 3 + 3 * u ** 2) * y1 + (u ** 3 - u ** 2) * 25 * d1 END, 8) AS speed FROM h"""
+
+
+def _calm(d: str) -> str:
+    return f"(sign({d}) * greatest(abs({d}) - 4.0, 0.0))"
+
+
+def _lasting(d: str) -> str:
+    """Whether a change keeps the mean over three steps within 4 mph if it dies down as fast as it may."""
+    c, cc = _calm(d), _calm(_calm(d))
+    return f"(abs(d2) + abs(d1) + abs({d}) <= 12.000000000001 AND abs(d1) + abs({d}) + abs({c}) <= 12.000000000001 AND abs({d}) + abs({c}) + abs({cc}) <= 12.000000000001)"
+
+
+_TRIED = "(safe + (want - safe) * ((acc.lo + acc.hi) / 2))"
+
+#: Limited profiles step by step, the share of a change that lasts found by halving; then their greatest changes.
+LIMITED = f"""WITH RECURSIVE {DAILY.split(', s AS')[0]}, b AS (SELECT tmc_code AS k, CAST(us // 300000000 * 300 % 86400 // 60 AS BIGINT) AS t_min, avg(speed) AS v FROM r WHERE speed BETWEEN 1 AND 150 AND (us // 300000000 * 300 // 86400 + 3) % 7 < 5 GROUP BY ALL),
+w AS (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY t_min) AS i FROM b),
+z(k, i, pos, d1, d2) AS (SELECT k, i, v, 0.0::DOUBLE, 0.0::DOUBLE FROM w WHERE i = 1
+ UNION ALL SELECT k, i, pos + d, d, d1 FROM (SELECT k, i, pos, d1, CASE WHEN {_lasting('want')} THEN want ELSE safe + (want - safe) *
+   (list_reduce(list_transform(range(0, 31), lambda x: {{'lo': 0.0::DOUBLE, 'hi': 1.0::DOUBLE}}), lambda acc, x: CASE WHEN {_lasting(_TRIED)} THEN {{'lo': (acc.lo + acc.hi) / 2, 'hi': acc.hi}} ELSE {{'lo': acc.lo, 'hi': (acc.lo + acc.hi) / 2}} END)).lo END AS d
+  FROM (SELECT z.k, w.i, z.pos, z.d1, z.d2, {_calm('z.d1')} AS safe, least(greatest(w.v - z.pos, z.d1 - 4.0, -8.0), z.d1 + 4.0, 8.0) AS want FROM z JOIN w ON w.k = z.k AND w.i = z.i + 1))),
+c AS (SELECT k, i, pos - lag(pos) OVER q AS d FROM z WINDOW q AS (PARTITION BY k ORDER BY i)), e AS (SELECT k, d, avg(abs(d)) OVER (q ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS m, count(d) OVER (q ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS n, (d - lag(d) OVER q) * 144 AS a FROM c WINDOW q AS (PARTITION BY k ORDER BY i))
+SELECT k AS tmc_code, round(max(abs(d)), 6) AS most_change, round(max(m) FILTER (n = 3), 6) AS most_mean_change, round(max(abs(a)), 4) AS most_acceleration FROM e GROUP BY k"""

@@ -143,9 +143,11 @@ def five_minutes(spark, d) -> DataFrame:
     return s.where(clock.weekday_of(F.col("t")) < 5).groupBy(F.xxhash64("tmc_code").alias("key"), clock.minute_of_day(F.col("t")).alias("t_min")).agg(F.avg("speed").alias("speed"))
 
 
-@query()
+@query(episode_sql.LIMITED)
 def rate_limited_profiles(spark, d):
-    return rounded(episodes.constraint_metrics(episodes.limit_rates(five_minutes(spark, d))))
+    keys = readings(spark, d).select("tmc_code", F.xxhash64("tmc_code").alias("key")).distinct()
+    m = episodes.constraint_metrics(episodes.limit_rates(five_minutes(spark, d))).join(keys, "key")
+    return m.select("tmc_code", F.round("most_change", 6).alias("most_change"), F.round("most_mean_change", 6).alias("most_mean_change"), F.round("most_acceleration", 4).alias("most_acceleration"))
 
 
 @query(episode_sql.EDGES)

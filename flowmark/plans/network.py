@@ -44,7 +44,9 @@ def reachable_from_starts(spark, d):
     return network.reachable(table(spark, d, "link"), chain_starts(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_E.split(", s AS")[0]}, w AS (SELECT from_node_id AS a, to_node_id AS b, min(length) AS w FROM link WHERE length > 0 AND from_node_id IS NOT NULL AND to_node_id IS NOT NULL GROUP BY ALL), st AS (SELECT DISTINCT a AS node_id FROM e WHERE a NOT IN (SELECT b FROM e)),
+t(source_id, node_id, cost, i) AS (SELECT node_id, node_id, 0.0::DOUBLE, 0 FROM st UNION ALL SELECT source_id, node_id, min(cost), i + 1 FROM (SELECT t.source_id, x.b AS node_id, t.cost + x.w AS cost, t.i FROM t JOIN (SELECT a, b, w FROM w UNION ALL SELECT DISTINCT n, n, 0.0 FROM (SELECT a AS n FROM e UNION SELECT b FROM e)) x ON t.node_id = x.a WHERE t.i < 64) GROUP BY source_id, node_id, i)
+SELECT source_id, node_id, round(cost, 8) AS cost FROM t WHERE i = 64""")
 def shortest_costs_from_starts(spark, d):
     """Least costs from every start of a chain to all nodes it reaches, without a cutoff: up to starts times nodes rows."""
     e = table(spark, d, "link").where("from_node_id is not null and to_node_id is not null").withColumn("cost", F.col("length"))
