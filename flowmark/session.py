@@ -51,10 +51,10 @@ def cut(df: DataFrame, label: str) -> DataFrame:
 
 
 def bucketed(df: DataFrame, label: str, keys: list[str], buckets: int) -> DataFrame:
-    """df in the shared folder, hashed by keys into files, so that joins on the keys move only their other side. release() drops it."""
+    """df, already repartitioned by keys into `buckets`, as a table of so many buckets in the shared folder, so that joins on the keys move only their other side. release() drops it."""
     path, spark = scratch(df.sparkSession, label), df.sparkSession
     name = f"{label}_{uuid.uuid4().hex}"
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
+    df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name)
     _TABLES.append(name)
     return spark.table(name)
 

@@ -406,7 +406,7 @@ def test_early_deletion_leaves_other_tables(spark):
     a, b = session.cut(spark.range(5), "a"), session.cut(spark.range(7), "b")
     session.discard(a)
     assert b.count() == 7 and session.cut(spark.range(0), "empty").count() == 0
-    t = session.bucketed(spark.range(50).withColumn("k", F.col("id") % 5), "t", ["k"], 3)
+    t = session.bucketed(spark.range(50).withColumn("k", F.col("id") % 5).repartition(3, "k"), "t", ["k"], 3)
     assert t.groupBy("k").count().count() == 5
     session.release(spark)
     with pytest.raises(Exception):
