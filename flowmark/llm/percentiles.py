@@ -1,6 +1,6 @@
 """Percentiles of very large numeric columns (problem 1).
 
-Exact: distributed multi-select. The values of a key and day are kept as sorted runs of bounded length. In each round every
+Exact: distributed multi-select. The values of a key and day are kept as one sorted run, or as several if they are very many. In each round every
 run cuts what is still possible of a target (a key, a span of days and a rank) into slices, as many as the square root of
 its candidates and at most SLICES, and proposes their local medians, weighted by their sizes. Of the proposals of all runs the weighted median at the target's rank becomes a pivot, and
 so do the nearest ones on either side that are sure to lie beyond the target, whatever the slices hide. All runs count values
@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 
 from flowmark.session import bucketed, code, cut, discard, number
 
-RUN_BITS = 20  # a run holds at most 2**20 values
+RUN_BITS = 20  # a block holds at most 2**20 values; so many values of a key and day come together in a run, more are spread over runs by salt
 FEW = 128
 SLICES = 64
-RUNS_TOGETHER = 8  # runs of one key and day that stay in one task; more are spread by salt
 
 
 def clean_values(df: DataFrame, key: str, ts: str, value: str, lowest: float, highest: float) -> DataFrame:
@@ -35,11 +34,11 @@ def clean_values(df: DataFrame, key: str, ts: str, value: str, lowest: float, hi
     return rows.where(F.col("k").isNotNull() & F.col("day").isNotNull() & F.col("v").between(lowest, highest))
 
 
-def value_runs(values: DataFrame) -> DataFrame:
-    """(k, day, block, n, vals): sorted runs; a run comes from one block of at most 2**RUN_BITS rows of one partition."""
+def value_blocks(values: DataFrame) -> DataFrame:
+    """(k, day, block, n, vals): the values of a key and day in one block of at most 2**RUN_BITS rows of one partition."""
     block = F.expr(f"shiftright(monotonically_increasing_id(), {RUN_BITS})")
-    runs = values.withColumn("block", block).groupBy("k", "day", "block").agg(F.sort_array(F.collect_list("v")).alias("vals"))
-    return runs.select("k", "day", "block", F.size("vals").alias("n"), "vals")
+    blocks = values.withColumn("block", block).groupBy("k", "day", "block").agg(F.collect_list("v").alias("vals"))
+    return blocks.select("k", "day", "block", F.size("vals").alias("n"), "vals")
 
 
 def digest(values: DataFrame, width: float = 0.5) -> DataFrame:
@@ -123,18 +122,19 @@ def _with_targets(runs: DataFrame, busy: DataFrame, state: DataFrame, *fields: s
     return runs.join(packs, ["k", "day", "salt"]).select("vals", "targets")
 
 
-def multi_select(runs: DataFrame, spans: DataFrame, qs: list[float], few: int = FEW) -> DataFrame:
+def multi_select(blocks: DataFrame, spans: DataFrame, qs: list[float], few: int = FEW) -> DataFrame:
     """(k, d0, d1, q, n, value): exact percentiles, linear between ranks, of the values of key k on days d0 to d1 (inclusive).
 
     spans: distinct (k, d0, d1). Spans without values give no row. Ties need no care: equal values are counted together.
     """
-    spark = runs.sparkSession
+    spark = blocks.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    raw = cut(runs, "runs")
-    sizes = cut(raw.groupBy("k", "day").agg(F.sum("n").alias("n"), F.ceil(F.count("*") / RUNS_TOGETHER).cast("int").alias("salts")), "sizes")
+    raw = cut(blocks, "blocks")
+    sizes = cut(raw.groupBy("k", "day").agg(F.sum("n").alias("n")).withColumn("salts", F.ceil(F.col("n") / (1 << RUN_BITS)).cast("int")), "sizes")
     busy = sizes.where("salts > 1").select("k", "day", "salts")
     salt = F.when(F.col("salts") > 1, F.pmod(F.xxhash64("block"), F.col("salts")).cast("int")).otherwise(0)
-    runs = raw.join(busy, ["k", "day"], "left").withColumn("salt", salt).select("k", "day", "salt", "vals")
+    runs = raw.join(busy, ["k", "day"], "left").withColumn("salt", salt).repartition(parts, "k", "day", "salt")
+    runs = runs.groupBy("k", "day", "salt").agg(F.sort_array(F.flatten(F.collect_list("vals"))).alias("vals"))
     runs = bucketed(runs, "runs", ["k", "day", "salt"], parts)
     discard(raw)
     days = spans.select("k", "d0", "d1", F.explode(F.sequence("d0", "d1")).alias("day"))
@@ -194,8 +194,8 @@ def span_percentiles(readings: DataFrame, outputs: DataFrame, qs: list[float], l
     """
     spans = outputs.select(code("tmc_code").alias("k"), F.unix_date("obs_start").alias("d0"), F.unix_date("obs_end").alias("d1"))
     spans = spans.where("k is not null and d0 <= d1").distinct()
-    runs = value_runs(clean_values(readings, "tmc_code", "measurement_tstamp", "speed", lowest, highest))
-    return multi_select(runs, spans, qs, few)
+    blocks = value_blocks(clean_values(readings, "tmc_code", "measurement_tstamp", "speed", lowest, highest))
+    return multi_select(blocks, spans, qs, few)
 
 
 def misfit_outputs(readings: DataFrame, outputs: DataFrame, tolerance: float = 2.0, few: int = FEW) -> DataFrame:
