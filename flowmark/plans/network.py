@@ -63,7 +63,13 @@ def corridor_edges(spark, d) -> DataFrame:
     return links(spark, d).where("streetname is not null and length > 0").select(F.col("streetname").alias("corridor"), "link_id", "from_node_id", "to_node_id", F.col("length").alias("miles"), F.col("length").alias("cost"))
 
 
-@query()
+@query("""WITH RECURSIVE lr AS (SELECT *, row_number() OVER (PARTITION BY link_id ORDER BY valid_from DESC NULLS LAST, valid_to DESC NULLS FIRST, length ASC NULLS LAST, lanes ASC NULLS LAST, link_type ASC NULLS LAST, free_speed ASC NULLS LAST, capacity ASC NULLS LAST, streetname ASC NULLS LAST, from_node_id ASC NULLS LAST, to_node_id ASC NULLS LAST) AS place FROM link),
+e AS (SELECT streetname AS corridor, link_id, from_node_id AS a, to_node_id AS b, length AS miles FROM lr WHERE place = 1 AND streetname IS NOT NULL AND length > 0 AND from_node_id IS NOT NULL AND to_node_id IS NOT NULL),
+w AS (SELECT corridor, a, b, min(miles) AS w FROM e GROUP BY corridor, a, b),
+pr AS (SELECT corridor, a AS s, b AS t FROM e WHERE a <> b UNION SELECT x.corridor, x.a, y.b FROM e x JOIN e y ON x.corridor = y.corridor AND x.b = y.a AND x.link_id <> y.link_id WHERE x.a <> y.b),
+g(corridor, s, node, path, cost) AS (SELECT DISTINCT corridor, s, s, [s], 0.0::DOUBLE FROM pr UNION ALL SELECT g.corridor, g.s, w.b, list_append(g.path, w.b), g.cost + w.w FROM g JOIN w ON w.corridor = g.corridor AND w.a = g.node WHERE NOT list_contains(g.path, w.b)),
+r AS (SELECT pr.corridor, pr.s, pr.t, g.path, g.cost, row_number() OVER (PARTITION BY pr.corridor, pr.s, pr.t ORDER BY round(g.cost, 9), g.path) AS place FROM pr JOIN g ON g.corridor = pr.corridor AND g.s = pr.s AND g.node = pr.t)
+SELECT corridor, s AS start_id, t AS end_id, CAST(place AS INT) AS place, round(cost, 8) AS cost, array_to_string(path, ';') AS path, round(cost, 8) AS miles FROM r WHERE place <= 3""")
 def corridor_paths(spark, d):
     """Up to three paths inside each street between the ends of its links and of successive links."""
     e = corridor_edges(spark, d).where("from_node_id is not null and to_node_id is not null")
