@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +34,107 @@ def reachable(edges: DataFrame, sources: DataFrame, most_hops: int | None = None
     return seen
 
 
-def shortest_costs(edges: DataFrame, sources: DataFrame, cutoff: float = float("inf")) -> DataFrame:
+WHOLE = 1_000_000  # links and sources together up to which each task searches the whole network
+TOGETHER = 64  # sources searched at once
+PANEL = 4_000_000  # labels of such a search
+ENDLESS = 1e300  # stands for an infinite cost, which isn't the same as being out of reach
+
+
+class _Network:
+    """Links by the node they lead to, for searches from many sources at once; nodes are numbered by their number of such links, most first."""
+
+    def __init__(self, tails: pa.Array, heads: pa.Array, costs: np.ndarray, sources: pa.Array):
+        every = pa.chunked_array([tails, heads, sources]).combine_chunks().dictionary_encode()
+        place, k, n = every.indices.to_numpy(), len(tails), len(every.dictionary)
+        by = np.argsort(-np.bincount(place[k : 2 * k], minlength=n), kind="stable")
+        number = np.empty(n, np.int64)
+        number[by] = np.arange(n)
+        place = number[place]
+        order = np.argsort(place[k : 2 * k], kind="stable")
+        self.ids, self.sources = every.dictionary.take(pa.array(by)), place[2 * k :]
+        self.tail, self.head, self.cost = place[:k][order], place[k : 2 * k][order], np.minimum(costs[order], ENDLESS)[:, None]
+        self.first = np.searchsorted(self.head, np.arange(n + 1))
+
+    def costs(self, sources: np.ndarray, cutoff: float, most: int = 2048, many: int = 32) -> np.ndarray:
+        """Least costs, nodes by sources, infinite where out of reach. Only nodes behind an improved one are looked at again, until nothing improves."""
+        best = np.full((len(self.ids), len(sources)), np.inf)
+        best[sources, np.arange(len(sources))] = 0.0
+        improved = np.zeros(len(self.ids), bool)
+        improved[sources] = True
+
+        def steps(links):
+            x = best[self.tail[links]]
+            x += self.cost[links]
+            return x if cutoff == np.inf else np.where(x > cutoff, np.inf, x)
+
+        while improved.any():
+            nodes = np.unique(self.head[improved[self.tail]])
+            improved[:] = False
+            crowded = int(np.searchsorted(self.first[nodes] - self.first[nodes + 1], -many))  # those with more than `many` links come first
+            for node in nodes[:crowded]:
+                old = best[node]
+                least = old.copy()
+                for at in range(self.first[node], self.first[node + 1], most):
+                    np.minimum(least, steps(slice(at, min(at + most, self.first[node + 1]))).min(axis=0), out=least)
+                improved[node] = (least < old).any()
+                best[node] = least
+            for at in range(crowded, len(nodes), most):
+                part = nodes[at : at + most]
+                begin, n = self.first[part], self.first[part + 1] - self.first[part]
+                old = best[part]
+                least = old.copy()
+                for i in range(n[0]):  # the i-th link of each node that has as many
+                    own = int(np.searchsorted(-n, -i))
+                    np.minimum(least[:own], steps(begin[:own] + i), out=least[:own])
+                improved[part] = (least < old).any(axis=1)
+                best[part] = least
+        return best
+
+
+def _from_sources(cutoff: float):
+    def run(batches):
+        for batch in batches:
+            for starts, links in zip(batch.column("starts"), batch.column("links")):
+                e = links.values
+                net = _Network(e.field("a"), e.field("b"), e.field("w").to_numpy(), starts.values)
+                width = max(1, min(TOGETHER, PANEL // len(net.ids)))
+                for at in range(0, len(net.sources), width):
+                    own = net.sources[at : at + width]
+                    best = net.costs(own, cutoff)
+                    for c in range(0, len(own), 8):  # batches of moderate size
+                        part = np.ascontiguousarray(best[:, c : c + 8].T)
+                        s, node = np.nonzero(part < np.inf)
+                        cost = part[s, node]
+                        cost[cost >= ENDLESS] = np.inf
+                        yield pa.RecordBatch.from_arrays([net.ids.take(pa.array(own[c + s])), net.ids.take(pa.array(node)), pa.array(cost)], names=["source_id", "node_id", "cost"])
+
+    return run
+
+
+def shortest_costs(edges: DataFrame, sources: DataFrame, cutoff: float = float("inf"), whole: int = WHOLE) -> DataFrame:
     """(source_id, node_id, cost): least cost from each source to every node within the cutoff; costs are above 0.
 
-    Only improved labels are extended in each round, so a round's join is as small as its frontier. Rounds end when nothing
-    improves, which they do as costs are above 0; so all costs are final.
+    Networks of up to `whole` links and sources go to each task as one row, and a task searches them from its sources, so
+    nothing but the result grows with sources times nodes. Larger ones are searched in rounds over labels. Both end when
+    nothing improves, which they do as costs are above 0; so all costs are final, and the same.
     """
-    e = edges.where("cost > 0").groupBy(F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b")).agg(F.min("cost").alias("w"))
-    e = cut(e, "cost-edges")
-    labels = sources.select(F.col("node_id").alias("source_id"), "node_id", F.lit(0.0).alias("cost")).where("node_id is not null").distinct()
-    labels = cut(labels, "cost-0")
+    e = edges.where("cost > 0 and from_node_id is not null and to_node_id is not null").groupBy(F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b")).agg(F.min(F.col("cost").cast("double")).alias("w"))
+    e = cut(e.where("not isnan(w)"), "cost-edges")
+    own = cut(sources.select("node_id").where("node_id is not null").distinct(), "cost-sources")
+    starts = own.count()
+    if e.count() + starts > whole:
+        return _costs_in_rounds(e, own, cutoff)
+    kind = e.schema["a"].dataType.simpleString()
+    tasks = max(1, -(-starts // TOGETHER))
+    own = own.select(F.col("node_id").cast(kind).alias("node_id")).groupBy(F.pmod(F.xxhash64("node_id"), F.lit(tasks)).alias("task")).agg(F.collect_list("node_id").alias("starts"))
+    graph = e.agg(F.collect_list(F.struct("a", F.col("b").cast(kind).alias("b"), "w")).alias("links"))
+    rows = edges.sparkSession.range(0, tasks, 1, tasks).withColumnRenamed("id", "task").join(F.broadcast(own), "task").crossJoin(F.broadcast(graph))
+    return rows.select("starts", "links").mapInArrow(_from_sources(cutoff), f"source_id {kind}, node_id {kind}, cost double")
+
+
+def _costs_in_rounds(e: DataFrame, own: DataFrame, cutoff: float) -> DataFrame:
+    """The same by rounds over labels, of which only improved ones are extended, so a round's join is as small as its frontier."""
+    labels = cut(own.select(F.col("node_id").alias("source_id"), "node_id", F.lit(0.0).alias("cost")), "cost-0")
     frontier, i = labels, 0
     while frontier.limit(1).count():
         i += 1

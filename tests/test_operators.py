@@ -264,6 +264,34 @@ def test_reach_and_costs_of_long_chains(spark):
     assert {r["node_id"]: r["cost"] for r in network.shortest_costs(df, src, 1e9).collect()} == {i: i / 2 for i in range(71)}
 
 
+def test_costs_take_no_round_per_link(spark):
+    """Costs along a chain write as many tables as costs over one link, so labels of many sources aren't written again in each round."""
+    from flowmark import session
+
+    counts = []
+    for n in (1, 40):
+        df = spark.createDataFrame([(i, i + 1, 0.5) for i in range(n)], "from_node_id bigint, to_node_id bigint, cost double").coalesce(1)
+        before = len(session._CUTS)
+        got = network.shortest_costs(df, spark.createDataFrame([(i,) for i in range(n)], "node_id bigint").coalesce(1)).collect()
+        counts.append(len(session._CUTS) - before)
+        assert {(r["source_id"], r["node_id"]): r["cost"] for r in got} == {(i, j): (j - i) / 2 for i in range(n) for j in range(i, n + 1)}
+    assert counts[0] == counts[1]
+
+
+def test_costs_of_whole_networks_equal_rounds(spark):
+    """Searches of the whole network in a task and rounds over labels agree: hubs, loops, repeated, null, NaN, endless and unusable links, sources off the network, cutoffs."""
+    rng = np.random.default_rng(5)
+    links = [(f"n{a}", f"n{b}", float(c)) for a, b, c in zip(rng.integers(0, 60, 150), rng.integers(0, 60, 150), rng.uniform(0.1, 2, 150))]
+    links += [(f"n{a}", "n3", 1.0 + a / 7) for a in range(45)]  # many links to one node
+    links += [("n1", "n1", 1.0), (None, "n2", 1.0), ("n2", None, 1.0), ("n2", "n4", None), ("n5", "n6", float("nan")), ("n7", "x", math.inf), ("x", "y", 1.0), ("n8", "z", 0.0), ("n8", "z", -1.0)]
+    df = spark.createDataFrame(links, "from_node_id string, to_node_id string, cost double").coalesce(1)
+    src = spark.createDataFrame([(f"n{i}",) for i in range(0, 60, 3)] + [("n7",), ("n7",), ("alone",), (None,)], "node_id string").coalesce(1)
+    for cutoff in (math.inf, 1.5):
+        one, two = ({(r["source_id"], r["node_id"]): r["cost"] for r in network.shortest_costs(df, src, cutoff, whole).collect()} for whole in (network.WHOLE, 0))
+        assert one == two and one["alone", "alone"] == 0.0 and (("n7", "y") in one) == (cutoff == math.inf)
+    assert network.shortest_costs(df, src.limit(0)).count() == 0 and network.shortest_costs(df.limit(0), src).count() == 22
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test data here")
 def test_reach_and_costs_from_all_starts(spark):
     """Against a search in Python from every start of a chain."""
