@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
 from datetime import datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +138,67 @@ def test_smoother_equals_dense_gaussian_posterior():
     assert np.allclose(level[:, 0], (cov @ rhs)[::2]) and np.allclose(sd[:, 0], np.sqrt(np.diag(cov)[::2]))
 
 
+def test_readings_at_their_times_equal_dense_gaussian_posterior():
+    """Condensed intervals and the smoother over them against the joint Gaussian of the states at all readings and slot middles, solved at once."""
+    rng = np.random.default_rng(3)
+    steps, r, q = 7, 1.5, 0.4
+    times = [np.sort(rng.random(m)) for m in (0, 3, 1, 0, 8, 2, 1)]
+    values = [rng.normal(50, 3, len(x)) for x in times]
+    points = sorted([(float(t), None) for t in range(steps)] + [(t + float(d), float(v)) for t in range(steps) for d, v in zip(times[t], values[t])])
+    n = 2 * len(points)
+    prec, rhs = np.zeros((n, n)), np.zeros(n)
+    prec[0, 0], prec[1, 1], rhs[0] = 1 / 50, 1 / 4, 50 / 50
+    for i, (t, v) in enumerate(points):
+        b = slice(2 * i, 2 * i + 2)
+        if i:
+            a, dt = slice(2 * i - 2, 2 * i), t - points[i - 1][0]
+            left = math.exp(-dt / 8)
+            f = np.array([[1, 8 * (1 - left)], [0, left]])
+            u = (np.arange(20_000) + 0.5) * dt / 20_000  # slope noise of a moment, as the level and the slope have it at the end
+            h = np.stack([8 * (1 - np.exp(-u / 8)), np.exp(-u / 8)])
+            qi = np.linalg.inv(q * h @ h.T * dt / 20_000)
+            prec[b, b] += qi
+            prec[a, a] += f.T @ qi @ f
+            prec[a, b] -= f.T @ qi
+            prec[b, a] -= qi @ f
+        if v is not None:
+            prec[2 * i, 2 * i] += 1 / r
+            rhs[2 * i] += v / r
+    cov = np.linalg.inv(prec)
+    mids = [2 * i for i, (_, v) in enumerate(points) if v is None]
+    by = sorted((i for i in range(steps) if len(times[i])), key=lambda i: -len(times[i]))
+    begin = np.cumsum([0] + [len(x) for x in times])
+    parts = np.repeat(grid.nothing(np.array([q]))[None], steps, axis=0)
+    one = np.ones(len(by))
+    parts[by, :, 0] = grid.condense(np.concatenate(times), np.concatenate(values), begin[by], np.array([len(times[i]) for i in by]), r * one, q * one).T
+    level, sd = grid.posterior(parts, np.array([50.0]))
+    assert np.allclose(level[:, 0], (cov @ rhs)[mids], rtol=1e-5) and np.allclose(sd[:, 0], np.sqrt(np.diag(cov)[mids]), rtol=1e-5)
+
+
+def test_grid_takes_readings_at_their_own_times(spark):
+    """Two series with the same means and mean places in every slot, whose readings rise in one and fall in the other: what comes after differs accordingly."""
+    t0 = datetime(2025, 1, 1)
+    rows = []
+    for c, turn in (("UP", 1), ("DOWN", -1)):
+        for i in [0, 1, 2, 8, 9]:
+            rows += [(c, t0 + timedelta(seconds=900 * i + (450 if s == 0 else 450 + s * 400)), 50.0 + turn * s * 4) for s in (-1, 0, 1)]
+    got = {(r["tmc_code"], (r["slot_s"] - int((t0 - E).total_seconds())) // 900): r for r in grid.regular_grid(readings(spark, rows)).collect()}
+    assert all(abs(got["UP", i]["speed_mean"] - got["DOWN", i]["speed_mean"]) < 1e-9 for i in (0, 1, 2, 8, 9))
+    assert got["UP", 3]["speed_smooth"] > got["DOWN", 3]["speed_smooth"] + 1 and got["UP", 7]["speed_smooth"] < got["DOWN", 7]["speed_smooth"] - 1
+
+
+@pytest.mark.parametrize("most", [2_000_000, 400, 100, 60])
+def test_grid_is_the_same_in_any_batches(most):
+    """Sources that arrive in many small batches, and those of too many readings to hold, give the same grid."""
+    rng = np.random.default_rng(9)
+    us = [np.sort(rng.integers(0, 400 * 900_000_000, n)) for n in (400, 500, 3)]
+    us[1][400:] += 300 * 900_000_000  # a break
+    t = pa.table({"k": ["A"] * 400 + ["B"] * 500 + ["C"] * 3, "us": np.concatenate(us), "v": np.where(rng.random(903) < 0.02, 200.0, rng.normal(50, 5, 903))})
+    whole, small = (pa.Table.from_batches(g).sort_by([("tmc_code", "ascending"), ("slot_s", "ascending")]) for g in (grid._grid(900, 192)(t.to_batches()), grid._grid(900, 192, 50, most)(t.to_batches(max_chunksize=17))))
+    for c in whole.column_names:
+        assert whole[c].to_pylist() == pytest.approx(small[c].to_pylist(), abs=1e-9) if c.startswith("speed") else whole[c].to_pylist() == small[c].to_pylist()
+
+
 def test_grid_fills_held_out_slots_within_its_deviation(spark):
     """Of slots left out of a noisy series with a wandering slope, as the smoother takes it to be, nearly all lie within three deviations of their fills, which beat carrying the last value forward."""
     rng = np.random.default_rng(8)
